@@ -73,3 +73,41 @@ def maybe_broadcast(df: DataFrame, row_bytes: int, limit_bytes: int = 8 << 20) -
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def sorted_runs(batches, keys: int = 1):
+    """Arrow tables of whole runs of equal leading ``keys`` columns (integers), from sorted batches.
+
+    Several runs may share a table; no run is cut. Yields (table, first row of each run).
+    """
+    import numpy as np
+    import pyarrow as pa
+
+    def starts(table):
+        new = np.zeros(table.num_rows, dtype=bool)
+        new[:1] = True
+        for k in range(keys):
+            c = table.column(k).to_numpy()
+            new[1:] |= c[1:] != c[:-1]
+        return np.flatnonzero(new)
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        same = np.logical_and.reduce([c == c[-1] for c in cols])
+        goes_on = held and all(held[-1].column(k)[-1].as_py() == c[0] for k, c in enumerate(cols))
+        if held and not goes_on:
+            table = pa.Table.from_batches(held)
+            yield table, starts(table)
+            held = []
+        cut = 0 if same.all() else int(np.flatnonzero(~same)[-1]) + 1  # the last run may go on in the next batch
+        if cut:
+            table = pa.Table.from_batches([*held, batch.slice(0, cut)])
+            yield table, starts(table)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        table = pa.Table.from_batches(held)
+        yield table, starts(table)
