@@ -87,4 +87,4 @@ def since(df: DataFrame, runs: DataFrame, when: str, source: str | None = None)
 
 def latest_runs(log: DataFrame) -> DataFrame:
     """The last state of each run of an append-only run log, with the number of failures before it."""
-    return log.groupBy("run_id").agg(F.max_by("run_status", F.struct("at", "run_status")).alias("run_status"), F.max("at").alias("at"), F.count_if(F.col("run_status") == "FAILED").alias("retry_count"))
+    return log.groupBy("run_id").agg(F.max_by("run_status", F.struct("changed_at", "run_status")).alias("run_status"), F.max("changed_at").alias("changed_at"), F.count_if(F.col("run_status") == "FAILED").alias("retry_count"))

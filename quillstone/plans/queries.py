@@ -148,7 +148,7 @@ def incremental_cursor(spark, sf_dir):
 @query
 def run_lifecycle(spark, sf_dir):
     state = F.element_at(F.array(*map(F.lit, ("RUNNING", "FAILED", "COMPLETED", "PARTIAL"))), (F.col("event_id") % 4 + 1).cast("int"))
-    return records.latest_runs(table(spark, sf_dir, "events").select((F.col("user_id") % 200).alias("run_id"), state.alias("run_status"), F.col("ts").alias("at")))
+    return records.latest_runs(table(spark, sf_dir, "events").select((F.col("user_id") % 200).alias("run_id"), state.alias("run_status"), F.col("ts").alias("changed_at")))
 
 
 # --- resolution ----------------------------------------------------------------------------------
