@@ -159,8 +159,9 @@ def edit_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     ranges = ranges or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.approxQuantile("doc_id", [i / ranges for i in range(1, ranges)], 0.25 / ranges)
-    bounds = np.unique(np.array(cuts, dtype=np.int64))
+    shares = F.array(*(F.lit(i / ranges) for i in range(1, ranges)))
+    cuts = rows.agg(F.percentile_approx("doc_id", shares, 4 * ranges)).first()[0] if ranges > 1 else []
+    bounds = np.unique(np.array(cuts or [], dtype=np.int64))
     heads = {r["chunk"]: r["key"] for r in _chunked(rows, bounds, None, False).groupBy("chunk").agg(F.min("key").alias("key")).collect()}  # ``ranges`` rows at most
     wanted: dict[int, list[int]] = {}
     order = sorted(heads)
