@@ -24,7 +24,9 @@ SAMPLE_PER_LANGUAGE = 1_000
 TEXT_WEIGHT = 0.3
 STRENGTH = 20.0
 MIN_POSTERIOR = 0.5
-SLACK = 0.75
+#: Trigrams that a text needs to be told from no language at all; how far below the usual it may lie.
+FEW = 100
+SLACK = 4.0
 
 _TO_SPACE = bytes(32 if c < 128 and not chr(c).isalpha() else c for c in range(256))
 
@@ -75,18 +77,22 @@ def train(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> Model:
         total += np.frombuffer(row["counts"], np.int64).reshape(total.shape)
     model = Model(total.astype(np.float64))
 
-    def lowest(batches):
-        floors = np.full(len(languages), np.inf)
+    def usual(batches):
+        of, means = [], []
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                n, means = model.score(text)
-                if n >= 20:
-                    floors[index[label]] = min(floors[index[label]], means.max())
-        yield pa.RecordBatch.from_arrays([pa.array([floors.tobytes()], pa.binary())], names=["floors"])
-
-    # The least likely sample text of each language, less some slack: what lies below is no known language.
-    floors = np.min([np.frombuffer(r["floors"], np.float64) for r in few.mapInArrow(lowest, "floors binary").collect()] or [np.full(len(languages), -np.inf)], axis=0)
-    model.floors = np.where(np.isfinite(floors), floors - SLACK, -np.inf)
+                n, m = model.score(text)
+                if n >= FEW:
+                    of.append(index[label])
+                    means.append(float(m.max()))
+        yield pa.RecordBatch.from_arrays([pa.array(of, pa.int32()), pa.array(means, pa.float64())], names=["of", "mean"])
+
+    # What is far below the usual of each language's sample is no known language; outliers in the sample do not move it.
+    found, floors = few.mapInArrow(usual, "of int, mean double").collect(), np.full(len(languages), -np.inf)  # a number per sample text
+    for i in range(len(languages)):
+        if len(x := np.array([r["mean"] for r in found if r["of"] == i])):
+            floors[i] = np.median(x) - SLACK
+    model.floors = floors
     return model
 
 
@@ -120,7 +126,7 @@ def _scored(rows: DataFrame, model: Model, languages: tuple[str, ...]) -> DataFr
                 n, m = model.score(text or "")
                 ns.append(n)
                 means.append(m)
-                known.append(bool(n) and (n < 20 or bool((m >= model.floors).any())))
+                known.append(bool(n) and (n < FEW or bool((m >= model.floors).any())))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ns, pa.int64()), pa.array(means, pa.list_(pa.float64())), pa.array(known, pa.bool_())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
