@@ -6,6 +6,7 @@ fetched by something else and read from where they landed.
 
 from __future__ import annotations
 
+import codecs
 import csv
 import io
 import re
@@ -45,9 +46,9 @@ def sniff(head: bytes) -> tuple[str, str]:
 
 def _decodes(head: bytes, encoding: str) -> bool:
     try:
-        head.decode(encoding)
-    except UnicodeDecodeError as error:
-        return error.end >= len(head) - 3  # a character cut at the end of the sample
+        codecs.getincrementaldecoder(encoding)().decode(head)  # a character cut at the end is no fault
+    except UnicodeDecodeError:
+        return False
     return True
 
 
