@@ -121,9 +121,9 @@ def _identifier(instance: Column) -> Column:
 
 
 def discover(occurrences: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(instance, kind, score) of instances that confident patterns reach, from stored occurrences."""
+    """(instance, kind, score, seed) of the known instances: seeds, and those that confident patterns reach; from stored occurrences."""
     edges = stored(occurrences.filter("pattern <> '' and instance <> ''").groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
-    known = stored(occurrences.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind")).withColumn("score", F.lit(1.0)), "pii-known")
+    known = stored(occurrences.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind")).withColumns({"score": F.lit(1.0), "seed": F.lit(True)}), "pii-known")
     size = known.count()
     for _ in range(rounds):
         marked = edges.drop("kind").join(known.select("instance", "kind"), "instance", "left")
@@ -136,7 +136,7 @@ def discover(occurrences: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_
         )
         reached = edges.select("pattern", "instance").join(maybe_broadcast(good, 120), "pattern").join(known.select("instance"), "instance", "left_anti").filter(_identifier(F.col("instance")))
         scored = reached.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
-        best = scored.groupBy("instance").agg(F.min_by("kind", F.struct(-F.col("score"), F.col("kind"))).alias("kind"), F.max("score").alias("score"))
+        best = scored.groupBy("instance").agg(F.min_by("kind", F.struct(-F.col("score"), F.col("kind"))).alias("kind"), F.max("score").alias("score")).withColumn("seed", F.lit(False))
         known = stored(known.unionByName(best), "pii-known")
         if known.count() == size:
             break
@@ -146,7 +146,7 @@ def discover(occurrences: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_
 
 def _found(occurrences: DataFrame, **options) -> DataFrame:
     """(_k1, _k2, _more): the discovered spans of each text that has any."""
-    known = discover(occurrences, **options).filter("score < 1")
+    known = discover(occurrences, **options).filter("not seed").drop("seed")
     hits = occurrences.filter("kind < 0").drop("kind").join(maybe_broadcast(stored(known, "pii-new"), 160), "instance")
     spans = hits.groupBy("_k1", "_k2").agg(F.collect_set(F.struct("start", F.col("kind").alias("rank"), "stop")).alias("_more"))
     return stored(spans, "pii-found")
@@ -176,7 +176,9 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
 
     Overlapping spans get the tag of the first. Null texts stay null; all columns are kept.
     """
-    based = _base(_keyed(docs, id_col, text_col))
+    # The row travels as one struct, so that no column of it can clash with the working ones.
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    based = _base(_keyed(whole, "doc_id", "text"))
     found = _found(stored(_occurrences(based), "pii-tokens"), **options)
     rows = based.join(maybe_broadcast(found, 200), ["_k1", "_k2"], "left").withColumn("_spans", _all_spans())
     tags = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
@@ -187,4 +189,5 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
         return F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), F.when(x["start"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
 
     clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return rows.withColumn(text_col, F.when(F.col(text_col).isNotNull(), F.when(F.size("_spans") > 0, clean).otherwise(text))).select(*docs.columns)
+    new = F.when(F.col("text").isNotNull(), F.when(F.size("_spans") > 0, clean).otherwise(text))
+    return rows.select(*(new.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
