@@ -61,21 +61,27 @@ def sample(docs: DataFrame, text_col: str, label_col: str, languages: tuple[str,
 
 
 def train(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> Model:
-    """A model from (text, label) rows of a bounded sample: counts are summed in the tasks."""
+    """A model from (text, label) rows of a bounded sample: counts are summed in the tasks.
+
+    Trigrams that one text alone of a language's sample holds count as unseen, so that a mislabelled text
+    does not make itself likely.
+    """
     index = {k: i for i, k in enumerate(languages)}
     few = labelled.coalesce(8)
 
     def count(batches):
-        counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+        counts = np.zeros((2, len(languages), BUCKETS), dtype=np.int64)  # occurrences, texts
         for batch in batches:
             for text, label in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                counts[index[label]] += np.bincount(trigrams(text), minlength=BUCKETS)
+                n = np.bincount(trigrams(text), minlength=BUCKETS)
+                counts[0, index[label]] += n
+                counts[1, index[label]] += n > 0
         yield pa.RecordBatch.from_arrays([pa.array([counts.tobytes()], pa.binary())], names=["counts"])
 
-    total = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+    total = np.zeros((2, len(languages), BUCKETS), dtype=np.int64)
     for row in few.mapInArrow(count, "counts binary").collect():  # 8 arrays at most
         total += np.frombuffer(row["counts"], np.int64).reshape(total.shape)
-    model = Model(total.astype(np.float64))
+    model = Model(np.where(total[1] > 1, total[0], 0).astype(np.float64))
 
     def usual(batches):
         of, means = [], []
