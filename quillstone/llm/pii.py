@@ -33,20 +33,43 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: A token with a digit or an at sign, from its start.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 CONTEXT_CHARS = 64
+BLOCK = 64
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _scan(items: Column, zero: Column, advance, emit, fields: str) -> Column:
+    """array<struct<fields>> of ``emit(state, item)`` (an array) for all items, the state going on by ``advance(state, item)``.
+
+    Spark copies an aggregate's accumulator at every step, so the items are cut into blocks: a first pass finds the
+    state before each block, a second gathers within blocks. The cost is linear in the items but for one number a block.
+    """
+    cut = lambda p: F.transform(F.sequence(F.lit(0), F.ceil(F.size(p) / BLOCK).cast("int") - 1), lambda i: F.slice(p, i * BLOCK + 1, F.lit(BLOCK)))
+
+    def before(blocks):
+        step = lambda acc, block: F.struct(F.aggregate(block, acc["state"], advance).alias("state"), F.concat(acc["all"], F.array(acc["state"])).alias("all"))
+        return F.aggregate(blocks, F.struct(zero.alias("state"), F.slice(F.array(zero), 1, 0).alias("all")), step, lambda acc: acc["all"])
+
+    def gathered(z):
+        step = lambda acc, x: F.struct(advance(acc["state"], x).alias("state"), F.concat(acc["out"], emit(acc["state"], x)).alias("out"))
+        return F.aggregate(z["block"], F.struct(z["state"].alias("state"), F.array().cast(f"array<struct<{fields}>>").alias("out")), step, lambda acc: acc["out"])
+
+    return _let(items, lambda p: _let(cut(p), lambda blocks: F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), before(blocks).alias("state")), gathered))))
 
 
 def _spans(text: Column, pattern: str) -> Column:
     """array<struct<start, stop, found>> of a pattern's matches, in code points."""
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
-    none = F.array().cast("array<struct<start:int,stop:int,found:string,gap:string>>")
 
-    def step(acc, x):
-        start = acc["at"] + F.length("gap" if x is None else x["gap"])
-        stop = start + F.length(x["found"])
-        out = F.when(x["found"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct(start.alias("start"), stop.alias("stop"), x["found"].alias("found"), F.right(x["gap"], F.lit(CONTEXT_CHARS)).alias("gap")))))
-        return F.struct(F.coalesce(stop, start).alias("at"), out.alias("out"))
+    def emit(at, x):
+        start = at + F.length(x["gap"])
+        one = F.struct(start.alias("start"), (start + F.length(x["found"])).alias("stop"), x["found"].alias("found"), F.right(x["gap"], F.lit(CONTEXT_CHARS)).alias("gap"))
+        return F.filter(F.array(one), lambda y: y["found"].isNotNull())
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda acc: acc["out"])
+    return _scan(parts, F.lit(0), lambda at, x: at + F.length(x["gap"]) + F.coalesce(F.length(x["found"]), F.lit(0)), emit, "start:int,stop:int,found:string,gap:string")
 
 
 def _digits(found: Column) -> Column:
@@ -104,14 +127,34 @@ def _base(rows: DataFrame) -> DataFrame:
     return rows.select("*", F.array_sort(F.concat(*(_tagged(F.col(f"_{k}"), k) for k in KINDS))).alias("_base"))
 
 
+def _with_kind(tokens: Column, base: Column) -> Column:
+    """``tokens`` with the kind of a base span each overlaps (-1: none), the one that reaches furthest.
+
+    One sweep: tokens by their ends and base spans by their starts. Of the base spans that start before a
+    token ends, the one that reaches furthest tells whether any overlaps it.
+    """
+    a = F.transform(tokens, lambda t: F.struct(t["stop"].alias("at"), F.lit(0).alias("base"), t["start"].alias("start"), F.lit(-1).alias("rank"), t["stop"].alias("stop"), t["found"].alias("found"), t["gap"].alias("gap")))
+    b = F.transform(base, lambda s: F.struct(s["start"].alias("at"), F.lit(1).alias("base"), s["start"].alias("start"), s["rank"].alias("rank"), s["stop"].alias("stop"), F.lit("").alias("found"), F.lit("").alias("gap")))
+
+    def advance(state, x):
+        further = (x["base"] == 1) & (x["stop"] > state["reach"])
+        return F.when(further, F.struct(x["stop"].alias("reach"), x["rank"].alias("rank"))).otherwise(state)
+
+    def emit(state, x):
+        one = F.struct(x["start"].alias("start"), x["stop"].alias("stop"), x["found"].alias("found"), x["gap"].alias("gap"), F.when(state["reach"] > x["start"], state["rank"]).otherwise(-1).alias("kind"))
+        return F.filter(F.array(one), lambda y: x["base"] == 0)
+
+    sweep = _scan(F.array_sort(F.concat(a, b)), F.struct(F.lit(0).alias("reach"), F.lit(-1).alias("rank")), advance, emit, "start:int,stop:int,found:string,gap:string,kind:int")
+    return F.when(F.size(tokens) > 0, sweep)
+
+
 def _occurrences(based: DataFrame) -> DataFrame:
     """Identifier-like tokens: keys, start, stop, instance, pattern, and the kind a base span gives it (-1: none)."""
     found = F.when(F.col("_text").rlike("[0-9@]"), _spans(F.col("_text"), TOKEN))
-    rows = based.select("_k1", "_k2", "_base", F.explode(found).alias("t"))
+    rows = based.select("_k1", "_k2", F.explode(_with_kind(found, F.col("_base"))).alias("t"))
     lead = F.length(F.regexp_extract(F.col("t.found"), r"^[(\[{<\"']{0,8}", 0))
     body = F.regexp_extract(F.expr("substring(t.found, 1, 256)"), r"^[(\[{<\"']{0,8}(.*?)[.,;:!?)\]}>\"']{0,8}$", 1)
-    known = F.coalesce(F.get(F.filter("_base", lambda s: (s["start"] < F.col("t.stop")) & (s["stop"] > F.col("t.start"))), 0)["rank"], F.lit(-1))
-    rows = rows.select("_k1", "_k2", (F.col("t.start") + lead).alias("start"), F.lower(body).alias("instance"), F.lower(F.regexp_extract("t.gap", r"([^\x20\x09-\x0D]+[\x20\x09]+[^\x20\x09-\x0D]+)[\x20\x09]+$", 1)).alias("pattern"), known.alias("kind"))
+    rows = rows.select("_k1", "_k2", (F.col("t.start") + lead).alias("start"), F.lower(body).alias("instance"), F.lower(F.regexp_extract("t.gap", r"([^\x20\x09-\x0D]+[\x20\x09]+[^\x20\x09-\x0D]+)[\x20\x09]+$", 1)).alias("pattern"), F.col("t.kind").alias("kind"))
     return rows.select("*", (F.col("start") + F.length("instance")).alias("stop"))
 
 
