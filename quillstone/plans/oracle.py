@@ -256,3 +256,33 @@ SELECT count(*) AS n_rows, count(k.k) AS n_members, round_even(100 * count(k.k):
     "field_matrix": _w(BASE, "SELECT source_key, " + ", ".join(f"avg(CASE WHEN coalesce(trim({c}), '') <> '' THEN 1.0 ELSE 0 END) > 0.5 AS has_{c}" for c in ("trade_name", "street", "phone", "corp_number", "naics")) + " FROM landing GROUP BY 1"),
     "page_mailto": r"""SELECT page_id, coalesce(list_aggregate(list_sort(list_distinct(regexp_extract_all(html || '<a href="MAILTO:Info@' || page_id || '.example.com">x</a><a href="mailto:a.b@c.example.ca?subject=x">y</a>', '(?i)mailto:([a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,})', 1))), 'string_agg', '|'), '') AS emails FROM pages""",
 }
+
+# --- enrichment ----------------------------------------------------------------------------------
+_LANDING = f"WITH landing AS ({landing_sql()})"
+_ANSWERS = _LANDING + ", answers AS (SELECT record_id AS entity_id, legal_name || '0' AS legal_name, status, issued_date FROM landing WHERE row_key % 3 = 0)"
+_PHONE = r"(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}"
+ORACLE_SQL |= {
+    "enrich_directors": _LANDING + """
+SELECT DISTINCT e.record_id AS entity_id, 'Director ' || (f.row_key % 7) AS person_name, 'DIRECTOR' AS role_type, 'HIGH' AS confidence
+FROM landing f JOIN landing e ON e.corp_number = f.corp_number
+WHERE e.corp_number <> '' AND f.row_key % 2 = 0 AND f.row_key % 5 <> 0 AND NOT (e.row_key % 3 = 0 AND e.row_key % 7 = f.row_key % 7)""",
+    "enrich_register": _ANSWERS + """
+SELECT entity_id, field, value, 'bc_orgbook' AS enrichment_source, 'MEDIUM' AS confidence FROM (
+  SELECT entity_id, 'legal_name' AS field, legal_name AS value FROM answers UNION ALL SELECT entity_id, 'status', status FROM answers UNION ALL SELECT entity_id, 'registration_date', issued_date FROM answers
+) WHERE trim(value) <> ''""",
+    "enrich_register_updates": _w(BASE, f"""
+SELECT record_id AS entity_id, CASE WHEN row_key % 3 = 0 AND trim(status) <> '' THEN trim(status) ELSE n_status END AS status,
+  CASE WHEN row_key % 3 = 0 AND trim(status) <> '' THEN {AS_OF} WHEN row_key % 8 <> 0 THEN {AS_OF} - to_hours(CAST(row_key % 900 * 24 AS INT)) END AS last_verified_at
+FROM rec"""),
+    "enrich_website_phones": f"""
+WITH pages_ AS (SELECT page_id, html || '<p>(416) 555-' || lpad(CAST(page_id % 10000 AS VARCHAR), 4, '0') || ' or +1 604.555.0199; 416.555.' || lpad(CAST(page_id % 10000 AS VARCHAR), 4, '0') || ', 999-555-0100</p>' AS html FROM pages),
+raw AS (SELECT page_id, unnest(regexp_extract_all(html, '{_PHONE}')) AS raw_value FROM pages_),
+ten AS (SELECT *, right(regexp_replace(raw_value, '[^0-9]', '', 'g'), 10) AS ten FROM raw)
+SELECT page_id AS entity_id, 'PHONE' AS kind, min(raw_value) AS raw_value, '+1' || ten AS value, 'LOW' AS confidence FROM ten
+WHERE regexp_matches(ten, '^[2-9][0-9][0-9][2-9]') AND substr(ten, 1, 3) IN {_in((*t.AREA_CODES, *t.TOLL_FREE))} AND NOT (page_id % 4 = 0 AND ten = '6045550199') GROUP BY page_id, ten""",
+    "enrich_directors_due": _LANDING + """
+SELECT 'e' || record_id AS event_id, record_id AS entity_id, corp_number FROM landing WHERE corp_number <> '' AND row_key % 2 = 0 AND row_key % 3 <> 0 ORDER BY event_id, corp_number LIMIT 50 OFFSET 10""",
+    "enrich_registers_due": _w(BASE, """
+SELECT record_id AS entity_id, CASE WHEN row_key % 11 <> 0 THEN n_legal END AS business_name, CASE WHEN row_key % 2 = 0 THEN CAST(row_key AS VARCHAR) END AS bc_reg_id FROM rec
+WHERE n_province = 'BC' AND NOT (row_key % 5 <> 0 AND row_key % 7 < 3) AND (row_key % 2 = 0 OR (row_key % 11 <> 0 AND n_legal IS NOT NULL)) ORDER BY entity_id, bc_reg_id LIMIT 25"""),
+}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import normalise as n
 from quillstone.functions import tables as t
-from quillstone.operators import extract, history, listing, profile, quality, records, resolve
+from quillstone.operators import enrich, extract, history, listing, profile, quality, records, resolve
 from quillstone.operators.normalised import normalised
 from quillstone.plans.landing import landing
 
@@ -362,6 +362,64 @@ def export_rows(spark, sf_dir):
     return listing.for_csv(listing.export(rows, contacts, flags, has_phone=True))
 
 
+# --- enrichment ----------------------------------------------------------------------------------
+def corp_numbers(rows: DataFrame) -> DataFrame:
+    return rows.filter("corp_number <> ''").select(F.col("record_id").alias("entity_id"), F.lit("CORP_NUMBER").alias("id_type"), F.col("corp_number").alias("id_value"))
+
+
+@query
+def enrich_directors(spark, sf_dir):
+    rows = landing(spark, sf_dir)
+    name = F.concat(F.lit("Director "), (F.col("row_key") % 7).cast("string"))
+    found = rows.filter("row_key % 2 = 0").select("corp_number", F.when(F.col("row_key") % 5 == 0, "").otherwise(name).alias("director_name"))
+    people = rows.filter("row_key % 3 = 0").select(F.col("record_id").alias("entity_id"), name.alias("person_name"), F.lit("DIRECTOR").alias("role_type"))
+    return enrich.new_directors(found, corp_numbers(rows), people)
+
+
+def answers(spark, sf_dir) -> DataFrame:
+    """Two register answers for every third record."""
+    rows = landing(spark, sf_dir).filter("row_key % 3 = 0").select("*", F.explode(F.array(F.lit(1), F.lit(0))).alias("position"))
+    return rows.select(F.col("record_id").alias("entity_id"), "position", F.concat("legal_name", F.col("position").cast("string")).alias("legal_name"), "status", F.col("issued_date").alias("registration_date"), F.lit(None).cast("string").alias("entity_type"))
+
+
+@query
+def enrich_register(spark, sf_dir):
+    return enrich.register_observations(answers(spark, sf_dir))
+
+
+@query
+def enrich_register_updates(spark, sf_dir):
+    known = entities(spark, sf_dir).select("entity_id", "status", "last_verified_at")
+    return enrich.register_updates(known, answers(spark, sf_dir), F.lit(AS_OF).cast("timestamp"))
+
+
+@query
+def enrich_website_phones(spark, sf_dir):
+    four = F.lpad((F.col("page_id") % 10000).cast("string"), 4, "0")
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("entity_id"), F.concat("html", F.lit("<p>(416) 555-"), four, F.lit(" or +1 604.555.0199; 416.555."), four, F.lit(", 999-555-0100</p>")).alias("html"))
+    contacts = pages.filter("entity_id % 4 = 0").select("entity_id", F.lit("PHONE").alias("kind"), F.lit("+16045550199").alias("value"))
+    return enrich.website_phones(pages, contacts)
+
+
+@query
+def enrich_directors_due(spark, sf_dir):
+    rows = landing(spark, sf_dir)
+    k = F.col("row_key")
+    events = rows.select(F.concat(F.lit("e"), "record_id").alias("event_id"), F.col("record_id").alias("entity_id"), F.when(k % 2 == 0, "FEDERAL_INCORPORATION").alias("event_type"), F.when(k % 3 == 0, enrich.ATTEMPTED).when(k % 3 == 1, F.col("legal_name")).alias("raw_value"))
+    numbers = corp_numbers(rows)
+    tried = enrich.directors_due(events, numbers, 10)
+    return enrich.directors_due(enrich.mark_attempted(events, tried), numbers)
+
+
+@query
+def enrich_registers_due(spark, sf_dir):
+    rows = norm(spark, sf_dir)
+    k = F.col("row_key")
+    known = rows.filter("row_key % 2 = 0").select(F.col("record_id").alias("entity_id"), F.lit("BC_REG_ID").alias("id_type"), k.cast("string").alias("id_value"))
+    seen = rows.select(F.col("record_id").alias("entity_id"), F.lit("legal_name").alias("field"), (k % 5 != 0).alias("is_current"), F.when(k % 7 < 3, enrich.REGISTER).alias("enrichment_source"))
+    return enrich.registers_due(rows.select(F.col("record_id").alias("entity_id"), "province", F.when(k % 11 != 0, F.col("legal_name")).alias("canonical_name")), known, seen)
+
+
 # --- profiles ------------------------------------------------------------------------------------
 @query
 def missingness(spark, sf_dir):

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quillstone.operators import extract, history, listing, profile, records, resolve
+from quillstone.operators import enrich, extract, history, listing, profile, records, resolve
 from quillstone.plans import queries as q
 from quillstone.sources import catalogue, readers
 from quillstone.streaming import changes
@@ -163,3 +163,30 @@ def test_streams(spark, tmp_path):
     assert [(r["entity_id"], r["old_value"], r["new_value"]) for r in run(changes.changed_values, "update")] == [(1, "A", "B")]
     assert len(run(changes.deduplicated, "append")) == 4
     assert {(r["field"], r["n"]) for r in run(changes.windowed, "update")} == {("status", 3), ("city", 2)}
+
+
+def test_enrichment(spark):
+    numbers = spark.createDataFrame([(1, "CORP_NUMBER", "C1"), (2, "CORP_NUMBER", "C2"), (3, "BN", "C1")], "entity_id long, id_type string, id_value string")
+    found = spark.createDataFrame([("C1", " Ann Lee "), ("C1", "Ann Lee"), ("C1", "Bo"), ("C2", ""), ("C2", None), ("C9", "Cy"), (None, "Di")], "corp_number string, director_name string")
+    people = spark.createDataFrame([(1, "Bo", "DIRECTOR"), (1, "Ann Lee", "OWNER")], "entity_id long, person_name string, role_type string")
+    assert [(r["entity_id"], r["person_name"]) for r in enrich.new_directors(found, numbers, people).collect()] == [(1, "Ann Lee")]
+
+    told = spark.createDataFrame([(1, 1, "Late", "HISTORICAL", None, None), (1, 0, "First", " ", "2020-01-01", None), (2, 0, None, "ACTIVE", None, None)], "entity_id long, position int, legal_name string, status string, registration_date string, entity_type string")
+    assert {(r["entity_id"], r["field"], r["value"]) for r in enrich.register_observations(told).collect()} == {(1, "legal_name", "First"), (1, "registration_date", "2020-01-01"), (2, "status", "ACTIVE")}
+    known = spark.createDataFrame([(1, "UNKNOWN", None), (2, "UNKNOWN", None), (3, None, None)], "entity_id long, status string, last_verified_at date")
+    day = F.lit("2024-01-01").cast("date")
+    assert [(r["entity_id"], r["status"], str(r["last_verified_at"])) for r in enrich.register_updates(known, told, day).orderBy("entity_id").collect()] == [(1, "UNKNOWN", "None"), (2, "ACTIVE", "2024-01-01"), (3, None, "None")]
+
+    pages = spark.createDataFrame([(1, "416-555-0199, (416) 555-0199 and 604.555.0100"), (1, None), (2, "123-456-7890 4165550199")], "entity_id long, html string")
+    contacts = spark.createDataFrame([(1, "PHONE", "+16045550100"), (2, "EMAIL", "x")], "entity_id long, kind string, value string")
+    assert [(r["entity_id"], r["raw_value"], r["value"]) for r in enrich.website_phones(pages, contacts).collect()] == [(1, "(416) 555-0199", "+14165550199")]
+
+    events = spark.createDataFrame([(10, 1, "FEDERAL_INCORPORATION", None), (11, 2, "FEDERAL_INCORPORATION", enrich.ATTEMPTED), (12, 2, "OTHER", None), (13, 3, "FEDERAL_INCORPORATION", None)], "event_id long, entity_id long, event_type string, raw_value string")
+    due = enrich.directors_due(events, numbers)
+    assert [tuple(r) for r in due.collect()] == [(10, 1, "C1")]
+    assert enrich.directors_due(enrich.mark_attempted(events, due), numbers).count() == 0
+
+    entities = spark.createDataFrame([(1, "BC", "a"), (2, "BC", None), (3, "AB", "c"), (4, "BC", "d"), (5, None, "e")], "entity_id long, province string, canonical_name string")
+    seen = spark.createDataFrame([(1, "legal_name", True, enrich.REGISTER), (4, "legal_name", True, None), (4, "legal_name", False, enrich.REGISTER)], "entity_id long, field string, is_current boolean, enrichment_source string")
+    assert [r["entity_id"] for r in enrich.registers_due(entities, numbers, seen).collect()] == [4]
+    assert enrich.registers_due(entities.limit(0), numbers, seen).count() == 0 and enrich.website_phones(pages.limit(0), contacts).count() == 0
