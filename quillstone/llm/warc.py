@@ -91,14 +91,14 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
 
 
 class Ranged:
-    """Bytes of a file by offset, read in chunks."""
+    """Bytes of a file by offset, read in chunks: at least ``least`` bytes, fewer only at the file's end."""
 
     def __init__(self, source, size: int):
         self.source, self.size, self.at, self.data = source, size, 0, b""
 
-    def read(self, at: int, n: int = CHUNK) -> bytes:
+    def read(self, at: int, n: int = CHUNK, least: int = 1) -> bytes:
         lo = at - self.at
-        if not 0 <= lo < len(self.data):
+        if not 0 <= lo < len(self.data) or (lo + least > len(self.data) and self.at + len(self.data) < self.size):
             self.source.seek(at)
             self.at, self.data, lo = at, self.source.read(max(n, CHUNK)), 0
         return self.data[lo : lo + n]
@@ -129,9 +129,9 @@ def records_in(source, size: int, start: int, stop: int):
     """(offset, headers, block) of the records that start in ``start..stop``."""
     data, at = Ranged(source, size), start
     while at < stop:
-        found = member(data, at) if data.read(at, 3) == MAGIC else None
+        found = member(data, at) if data.read(at, len(MAGIC), len(MAGIC)) == MAGIC else None
         if found is None:
-            window = data.read(at + 1, CHUNK)
+            window = data.read(at + 1, CHUNK, len(MAGIC))
             if not window:
                 return
             k = window.find(MAGIC)

@@ -378,6 +378,24 @@ def test_reader_skips_damage(tmp_path):
         assert [h["warc-record-id"] for _, h, _ in warc.records_in(f, len(data), 0, len(data))] == ["<urn:x-page:0>", "<urn:x-page:2>"]
 
 
+@pytest.mark.parametrize("junk", [False, True])
+@pytest.mark.parametrize("past", range(-4, 5))
+def test_reader_at_buffer_ends(tmp_path, past, junk):
+    """A member is found wherever a buffer ends in its magic, after a member and after bytes that are none."""
+    data = b"\0" * (warc.CHUNK + past)
+    if not junk:
+        first = warc.record(0, "u", b"", warc.payload_digest(b""), None, False)
+        # A file name in the gzip header makes the member as long as wanted.
+        data = first[:3] + b"\x08" + first[4:10] + b"n" * (warc.CHUNK + past - len(first) - 1) + b"\0" + first[10:]
+    data += warc.record(1, "u", b"x" * 50, warc.payload_digest(b"x" * 50), None, False) + warc.record(2, "u", b"", warc.payload_digest(b""), None, False)
+    path = tmp_path / "a.gz"
+    path.write_bytes(data)
+    for size in (len(data), 1 << 18):
+        with path.open("rb") as f:
+            got = [h["warc-record-id"] for at in range(0, len(data), size) for _, h, _ in warc.records_in(f, len(data), at, min(len(data), at + size))]
+        assert got == [warc.record_id(i) for i in range(junk, 3)]
+
+
 # --- byte-level BPE ------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def codec():
