@@ -27,7 +27,6 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RANGE_BYTES = 16 << 20
 CHUNK = 1 << 20
-HEADER_BYTES = 64 << 10
 
 
 def payload_digest(payload: bytes) -> str:
@@ -122,7 +121,7 @@ def member(data: Ranged, at: int) -> tuple[bytes, int] | None:
     except zlib.error:
         return None
     content = b"".join(parts)
-    return (content, at) if checked and 0 < content.find(b"\r\n\r\n", 0, HEADER_BYTES) else None
+    return (content, at) if checked and 0 < content.find(b"\r\n\r\n") else None
 
 
 def records_in(source, size: int, start: int, stop: int):

@@ -396,6 +396,16 @@ def test_reader_at_buffer_ends(tmp_path, past, junk):
         assert got == [warc.record_id(i) for i in range(junk, 3)]
 
 
+@pytest.mark.parametrize("n", [65_000, 70_000, 3 << 20])
+def test_reader_takes_long_headers(tmp_path, n):
+    url = "https://a.example/?q=" + random.Random(n).randbytes(n // 2).hex()
+    data = b"".join(warc.record(i, u, b"x" * 50, warc.payload_digest(b"x" * 50), None, False) for i, u in enumerate(["u", url, "v"]))
+    path = tmp_path / "a.gz"
+    path.write_bytes(data)
+    with path.open("rb") as f:
+        assert [(h["warc-target-uri"], len(b)) for _, h, b in warc.records_in(f, len(data), 0, len(data))] == [(u, 50 + b.find(b"x" * 50)) for u, b in zip(["u", url, "v"], [b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: 50\r\n\r\n" + b"x" * 50] * 3, strict=True)]
+
+
 # --- byte-level BPE ------------------------------------------------------------------------------
 @pytest.fixture(scope="module")
 def codec():
