@@ -35,12 +35,14 @@ def _tokenizer_file(name: str) -> str:
 class Encoder:
     """Ids of the byte-level vocabulary.
 
-    The rank form of the vocabulary gives the ids of the JSON form several times faster; a text it
-    cannot take (its matcher overflows on extremely long runs) goes through the JSON form.
+    The rank form of the vocabulary gives the ids of the JSON form several times faster, but for the
+    JSON form's added tokens: a text that holds one goes through the JSON form, as does a text that the
+    rank form cannot take (its matcher overflows on extremely long runs).
     """
 
     def __init__(self, vocabulary: str = VOCABULARY):
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
@@ -49,19 +51,21 @@ class Encoder:
         with open(_tokenizer_file(f"{vocabulary}.tiktoken"), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        with open(_tokenizer_file(f"{vocabulary}.json"), encoding="utf-8") as f:
+            self.added = [t["content"] for t in json.load(f)["added_tokens"]]
         self.slow = None
 
     def ids(self, text: str) -> list[int]:
-        try:
-            return self.fast.encode_ordinary(text)
-        except BaseException as error:
-            if type(error).__name__ != "PanicException" and not isinstance(error, ValueError):
-                raise
+        if not any(t in text for t in self.added):
+            try:
+                return self.fast.encode_ordinary(text)
+            except BaseException as error:
+                if type(error).__name__ != "PanicException" and not isinstance(error, ValueError):
+                    raise
         if self.slow is None:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(_tokenizer_file(f"{self.vocabulary}.json"))
-            self.slow.encode_special_tokens = True
         return self.slow.encode(text, add_special_tokens=False).ids
 
 

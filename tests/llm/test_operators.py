@@ -76,6 +76,17 @@ def test_pack(docs, none):
     assert packing.pack(none).count() == 0
 
 
+def test_ids_of_added_tokens():
+    """Texts that hold an added token get the ids that the library gives at its defaults."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok, encoder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.Encoder()
+    assert encoder.ids("a<|endoftext|>b") == [64, 50256, 65]
+    for text in ("<|endoftext|>", "one <|endoftext|>  two\n<|endoftext|><|endoftext|> three", "<|endoftext|", "<|ENDOFTEXT|>", "é<|endoftext|>é", prose(4, 300) + "<|endoftext|>" + prose(5, 300)):
+        assert encoder.ids(text) == tok.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_plan_places_everything(seed):
     r = random.Random(seed)
