@@ -258,7 +258,7 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
 
 # Near-duplicates by shingle similarity.
 #
-# Texts that share four fifths of their shingles differ in about ten of 64 bits, too many for blocks
+# Texts that share four fifths of their distinct shingles differ in about ten of 64 bits, too many for blocks
 # of bits to bring them together. So a text also gets a few small fingerprints: the SimHash of the two
 # shingles that come first in each of several random orders. Texts meet where they share one (at
 # similarity 0.8 in over 99 of 100 cases); there the pivot table of the whole fingerprints discards
@@ -297,12 +297,13 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, words: int, orders: in
             rows = []
             for text in batch.column(1).to_pylist():
                 found = np.array(shingle_hashes(text or "", words), dtype=np.uint64)
-                ones = np.zeros(64, dtype=np.int64)
-                for at in range(0, len(found), 1 << 16):
-                    ones += np.unpackbits(found[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
                 distinct = np.unique(found)
+                # Of the distinct shingles, as the similarity is: repeats must not move the fingerprint.
+                ones = np.zeros(64, dtype=np.int64)
+                for at in range(0, len(distinct), 1 << 16):
+                    ones += np.unpackbits(distinct[at : at + (1 << 16)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
                 short = np.unique((distinct >> np.uint64(32)).astype("<u4")).tobytes()
-                fp = int(np.packbits(2 * ones > len(found), bitorder="little").view("<i8")[0])
+                fp = int(np.packbits(2 * ones > len(distinct), bitorder="little").view("<i8")[0])
                 rows.append((xxhash.xxh64_intdigest(distinct.astype("<u8").tobytes()) - (1 << 63), fp, short, _orders(distinct, orders) if len(distinct) else []))
             cols = zip(*rows, strict=True) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())), strict=True))], names=schema.names)

@@ -308,6 +308,20 @@ def test_similar_groups(spark, most):
     assert sorted(r["doc_id"] for r in simhash.keep_first(df, orders=12, most=most).collect()) == sorted({c for _, c in want})
 
 
+def test_similar_texts_with_repeats(spark):
+    """Copies that differ in how often a word or line is repeated are near copies: their shingle sets are."""
+    rows = []
+    for k in range(12):
+        body = " ".join(f"w{k}x{i}" for i in range(300))
+        line = " ".join(f"l{k}x{i}" for i in range(8))
+        for j, tail in enumerate((f"t{k} ", f"t{k} " * 400, line, f"{line} " * 200)):
+            rows.append((10 * k + j, f"{body} {tail}"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = {i: set(simhash.shingle_hashes(t, simhash.SIMILAR_WORDS)) for i, t in rows}
+    assert all(len(sets[10 * k] & sets[10 * k + j]) >= simhash.SIMILARITY * len(sets[10 * k] | sets[10 * k + j]) for k in range(12) for j in range(4))
+    assert sorted(r["doc_id"] for r in simhash.keep_first(df).collect()) == [10 * k for k in range(12)]
+
+
 def test_sorted_runs():
     import pyarrow as pa
 
