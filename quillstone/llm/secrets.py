@@ -2,9 +2,10 @@
 
 Three base patterns report by themselves. Weak candidates - opaque strings, account names, service
 endpoints - mean little alone: they are reported only where the parts of one credential meet. Each
-part is an interval of its text; parts are joined by distance inside a scope (a paragraph, or the
-whole text for short ones), swept in order of position, and a weak part is reported if an
+part is an interval of its text; parts are joined by distance inside a scope (a paragraph: blank
+lines part texts of any length), swept in order of position, and a weak part is reported if an
 access identifier, a secret and an endpoint, or an access identifier and a secret, lie within reach.
+Weak parts in different paragraphs, or over ``REACH`` characters apart, are not linked.
 """
 
 from __future__ import annotations
