@@ -22,13 +22,24 @@ def scratch_root(spark: SparkSession) -> str:
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.gettempdir()}/quillstone"
-    if "://" not in base and base.startswith("/"):
-        base = f"file://{base}"
-    return f"{base.rstrip('/')}/quillstone-{spark.sparkContext.applicationId}"
+    return f"{qualified(spark, base).rstrip('/')}/quillstone-{spark.sparkContext.applicationId}"
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with the scheme that Spark reads it by: one without belongs to Hadoop's default file system, not to each machine's disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return f"file://{whole[5:]}" if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
+#: Scratch paths given out and not yet deleted, in order.
+_made: dict[str, None] = {}
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _made[path] = None
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,17 +52,32 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _made.pop(folder, None)
+
+
 def drop(df: DataFrame) -> None:
     """Delete a scratch table that nothing will read again."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.scratch)
+
+
+def made() -> list[str]:
+    """The scratch paths that exist now."""
+    return list(_made)
+
+
+def release(spark: SparkSession, before: list[str], keep: DataFrame) -> None:
+    """Delete the scratch made since ``before``, but for the table ``keep``: for a caller that has stored all it needs."""
+    for path in set(_made) - set(before) - {keep.scratch}:
+        _delete(spark, path)
 
 
 def purge(spark: SparkSession) -> None:
     """Delete all scratch tables of this application, once no frame made from them is needed."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, scratch_root(spark))
+    _made.clear()
 
 
 def file_system(uri: str):

@@ -211,31 +211,38 @@ def _tiled(dealt: DataFrame, big: DataFrame, max_bits: int, most: int, schema: T
     return pairs.withColumn("low", low).withColumn("high", high).groupBy("way", "key", "low", "high").applyInPandas(run, schema)
 
 
+def _stars(now: DataFrame, large: bool) -> DataFrame:
+    """One star step: every node's neighbours (large: those above it; else those below) go to the least node of its neighbourhood.
+
+    The least nodes come from an aggregate that combines before its shuffle, and are stored: the join then has plain tables on
+    both sides, so that adaptive execution can split a star's centre, or needs no shuffle where they are few.
+    """
+    both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else now
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")), "cc-least")
+    to = maybe_broadcast(least, 40, 2 << 20)
+    if large:
+        stars = now.select(F.col("b").alias("a"), F.col("a").alias("b")).join(to, "a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
+    else:
+        stars = now.join(to, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+    after = stored(stars.filter("a <> b").distinct(), "cc")
+    drop(least)
+    return after
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in ``edges``: root is the smallest node reachable.
 
-    Rounds of large-star and small-star; every round is a scratch table, the one before it is deleted.
+    Rounds of large-star and small-star on edges (a, b) with a > b, until all that is left are stars: every node
+    has one edge, to a node that has none. Every step is a scratch table, the one before it is deleted.
     """
     now = stored(edges.select(F.greatest("src", "dst").alias("a"), F.least("src", "dst").alias("b")).filter("a <> b").distinct(), "cc")
-    mark = None
     while True:
-        stars = now
-        for large in (True, False):
-            both = stars.unionByName(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else stars
-            least = both.groupBy("a").agg(F.min("b").alias("m"))
-            joined = both.join(least, "a")
-            if large:
-                stars = joined.filter("b > a").select(F.col("b").alias("a"), F.least("m", "a").alias("b"))
-            else:
-                stars = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-            stars = stars.filter("a <> b").distinct()
-        after = stored(stars, "cc")
-        seen = after.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-        drop(now)
-        now = after
-        if not seen["n"] or (seen["n"], seen["s"]) == mark:
+        inner = now.select("b").distinct().join(now.select(F.col("a").alias("b")), "b", "left_semi")
+        if inner.isEmpty() and now.groupBy("a").count().filter("count > 1").isEmpty():
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = (seen["n"], seen["s"])
+        for large in (True, False):
+            before, now = now, _stars(now, large)
+            drop(before)
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, max_bits: int = MAX_BITS, most: int = 100_000) -> DataFrame:
