@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from quillstone.llm.shared import maybe_broadcast, stored
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 MIN_SEEDS = 3
 MIN_CONFIDENCE = 0.8
 
@@ -32,7 +31,11 @@ JOINT = "\u0001"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 #: A token with a digit or an at sign, from its start.
 TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+#: Two words nearly always end within so many characters; where they don't, the whole text before a token is kept.
 CONTEXT_CHARS = 64
+TWO_WORDS = r"([^\x20\x09-\x0D]+[\x20\x09]+[^\x20\x09-\x0D]+)[\x20\x09]+$"
+#: Tokens longer than any identifier are told apart by a hash.
+LONG_TOKEN = 256
 BLOCK = 64
 
 
@@ -60,13 +63,19 @@ def _scan(items: Column, zero: Column, advance, emit, fields: str) -> Column:
     return _let(items, lambda p: _let(cut(p), lambda blocks: F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), before(blocks).alias("state")), gathered))))
 
 
+def _context(gap: Column) -> Column:
+    """The end of ``gap``, with all of the two words before a token."""
+    end = F.right(gap, F.lit(CONTEXT_CHARS))
+    return F.when((F.length(gap) <= CONTEXT_CHARS) | end.rlike(rf"[\x20\x09-\x0D]{TWO_WORDS}"), end).otherwise(gap)
+
+
 def _spans(text: Column, pattern: str) -> Column:
-    """array<struct<start, stop, found>> of a pattern's matches, in code points."""
+    """array<struct<start, stop, found, gap>> of a pattern's matches, in code points, and the context before each."""
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"))
 
     def emit(at, x):
         start = at + F.length(x["gap"])
-        one = F.struct(start.alias("start"), (start + F.length(x["found"])).alias("stop"), x["found"].alias("found"), F.right(x["gap"], F.lit(CONTEXT_CHARS)).alias("gap"))
+        one = F.struct(start.alias("start"), (start + F.length(x["found"])).alias("stop"), x["found"].alias("found"), _context(x["gap"]).alias("gap"))
         return F.filter(F.array(one), lambda y: y["found"].isNotNull())
 
     return _scan(parts, F.lit(0), lambda at, x: at + F.length(x["gap"]) + F.coalesce(F.length(x["found"]), F.lit(0)), emit, "start:int,stop:int,found:string,gap:string")
@@ -93,7 +102,8 @@ def _small(part: Column) -> Column:
 def base_arrays(text: Column) -> dict[str, Column]:
     """By kind, the spans of the base patterns that pass; each runs only on texts that can hold one."""
     none = F.array().cast("array<struct<start:int,stop:int,found:string,gap:string>>")
-    joined = F.regexp_replace(F.translate(text, JOINT, " "), r"(?<=[0-9])[\x20-](?=[0-9])", JOINT)
+    # A JOINT of the text itself is no separator.
+    joined = F.regexp_replace(F.translate(text, JOINT, "\u0002"), r"(?<=[0-9])[\x20-](?=[0-9])", JOINT)
     plain = {
         "email": (text.contains("@"), _spans(text, EMAIL), lambda x: F.lit(True)),
         "ip": (text.rlike(r"[0-9]\.[0-9]"), _spans(text, IP), lambda x: F.forall(F.split(x["found"], r"\."), _small)),
@@ -148,14 +158,22 @@ def _with_kind(tokens: Column, base: Column) -> Column:
     return F.when(F.size(tokens) > 0, sweep)
 
 
-def _occurrences(based: DataFrame) -> DataFrame:
-    """Identifier-like tokens: keys, start, stop, instance, pattern, and the kind a base span gives it (-1: none)."""
+def _marked(rows: DataFrame) -> DataFrame:
+    """``rows`` with _base and _tokens (identifier-like ones, with context and kind), stored: the texts are scanned once."""
+    based = _base(rows)
     found = F.when(F.col("_text").rlike("[0-9@]"), _spans(F.col("_text"), TOKEN))
-    rows = based.select("_k1", "_k2", F.explode(_with_kind(found, F.col("_base"))).alias("t"))
+    kept = [c for c in rows.columns if c != "_text"]
+    return stored(based.select(*(F.col(f"`{c}`") for c in kept), "_base", _with_kind(found, F.col("_base")).alias("_tokens")), "pii-marked")
+
+
+def _occurrences(marked: DataFrame) -> DataFrame:
+    """Of each token: keys, start, stop, instance, pattern, and the kind a base span gives it (-1: none)."""
+    rows = marked.select("_k1", "_k2", F.explode("_tokens").alias("t"))
     lead = F.length(F.regexp_extract(F.col("t.found"), r"^[(\[{<\"']{0,8}", 0))
-    body = F.regexp_extract(F.expr("substring(t.found, 1, 256)"), r"^[(\[{<\"']{0,8}(.*?)[.,;:!?)\]}>\"']{0,8}$", 1)
-    rows = rows.select("_k1", "_k2", (F.col("t.start") + lead).alias("start"), F.lower(body).alias("instance"), F.lower(F.regexp_extract("t.gap", r"([^\x20\x09-\x0D]+[\x20\x09]+[^\x20\x09-\x0D]+)[\x20\x09]+$", 1)).alias("pattern"), F.col("t.kind").alias("kind"))
-    return rows.select("*", (F.col("start") + F.length("instance")).alias("stop"))
+    body = F.lower(F.regexp_extract("t.found", r"^[(\[{<\"']{0,8}(.*?)[.,;:!?)\]}>\"']{0,8}$", 1))
+    rows = rows.select("_k1", "_k2", (F.col("t.start") + lead).alias("start"), body.alias("body"), F.lower(F.regexp_extract("t.gap", TWO_WORDS, 1)).alias("pattern"), F.col("t.kind").alias("kind"))
+    instance = F.when(F.length("body") > LONG_TOKEN, F.concat(F.lit("#"), F.sha2("body", 256))).otherwise(F.col("body"))
+    return rows.select("_k1", "_k2", "start", (F.col("start") + F.length("body")).alias("stop"), instance.alias("instance"), "pattern", "kind")
 
 
 def _identifier(instance: Column) -> Column:
@@ -163,12 +181,14 @@ def _identifier(instance: Column) -> Column:
     return instance.rlike(r"^[a-z0-9][a-z0-9@._/+()\[\]-]{4,62}[a-z0-9]$") & (instance.contains("@") | (F.length(_digits(instance)) >= 4))
 
 
-def discover(occurrences: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """(instance, kind, score, seed) of the known instances: seeds, and those that confident patterns reach; from stored occurrences."""
+def discover(occurrences: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """(instance, kind, score, seed) of the known instances: seeds, and those that confident patterns reach; from stored occurrences.
+
+    Rounds go on until one adds nothing: known instances only grow in number. Of kinds that tie, the first listed counts.
+    """
     edges = stored(occurrences.filter("pattern <> '' and instance <> ''").groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
     known = stored(occurrences.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind")).withColumns({"score": F.lit(1.0), "seed": F.lit(True)}), "pii-known")
-    size = known.count()
-    for _ in range(rounds):
+    while True:
         marked = edges.drop("kind").join(known.select("instance", "kind"), "instance", "left")
         hits = marked.groupBy("pattern").agg(F.count("*").alias("all"), *(F.count_if(F.col("kind") == k).alias(f"n{k}") for k in range(len(KINDS))))
         most = F.greatest(*(F.col(f"n{k}") for k in range(len(KINDS))))
@@ -180,11 +200,10 @@ def discover(occurrences: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_
         reached = edges.select("pattern", "instance").join(maybe_broadcast(good, 120), "pattern").join(known.select("instance"), "instance", "left_anti").filter(_identifier(F.col("instance")))
         scored = reached.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
         best = scored.groupBy("instance").agg(F.min_by("kind", F.struct(-F.col("score"), F.col("kind"))).alias("kind"), F.max("score").alias("score")).withColumn("seed", F.lit(False))
-        known = stored(known.unionByName(best), "pii-known")
-        if known.count() == size:
-            break
-        size = known.count()
-    return known
+        added = stored(best, "pii-reached")
+        if added.isEmpty():
+            return known
+        known = stored(known.unionByName(added), "pii-known")
 
 
 def _found(occurrences: DataFrame, **options) -> DataFrame:
@@ -206,10 +225,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
     kind:start:end in code points, by start, then kind. Null text counts as empty; null ids and repeated
     rows are kept; an empty table gives no rows; other columns are not carried.
     """
-    based = _base(_keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text"))
-    kept = stored(based.select("doc_id", "_k1", "_k2", "_base"), "pii-base")
-    found = _found(stored(_occurrences(based), "pii-tokens"), **options)
-    rows = kept.join(maybe_broadcast(found, 200), ["_k1", "_k2"], "left")
+    marked = _marked(_keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").drop("text"))
+    found = _found(stored(_occurrences(marked), "pii-tokens"), **options)
+    rows = marked.drop("_tokens").join(maybe_broadcast(found, 200), ["_k1", "_k2"], "left")
     count = lambda k: F.size(F.filter("_base", lambda x: x["rank"] == KINDS.index(k))).cast("long").alias(f"n_{k}")
     return rows.select("doc_id", *map(count, KINDS), F.sha2(span_text(F.col("_base")), 256).alias("base_sha256"), span_text(_all_spans()).alias("spans"))
 
@@ -221,16 +239,16 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     """
     # The row travels as one struct, so that no column of it can clash with the working ones.
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    based = _base(_keyed(whole, "doc_id", "text"))
-    found = _found(stored(_occurrences(based), "pii-tokens"), **options)
-    rows = based.join(maybe_broadcast(found, 200), ["_k1", "_k2"], "left").withColumn("_spans", _all_spans())
+    marked = _marked(_keyed(whole, "doc_id", "text").drop("text"))
+    found = _found(stored(_occurrences(marked), "pii-tokens"), **options)
+    rows = marked.drop("_tokens").join(maybe_broadcast(found, 200), ["_k1", "_k2"], "left").withColumn("_spans", _all_spans())
     tags = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    text = F.col("_text")
+    text = F.coalesce(F.col(f"_row.`{text_col}`").cast("string"), F.lit(""))
 
     def step(acc, x):
         new = F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), tags[x["rank"]])
         return F.struct(F.greatest(acc["at"], x["stop"]).alias("at"), F.when(x["start"] >= acc["at"], new).otherwise(acc["out"]).alias("out"))
 
     clean = F.aggregate("_spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    new = F.when(F.col("text").isNotNull(), F.when(F.size("_spans") > 0, clean).otherwise(text))
+    new = F.when(F.col(f"_row.`{text_col}`").isNotNull(), F.when(F.size("_spans") > 0, clean).otherwise(text))
     return rows.select(*(new.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns))
