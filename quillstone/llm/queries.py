@@ -21,7 +21,7 @@ def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify_documents(table(spark, sf_dir, "documents")).select("doc_id", "language", "confidence", "accepted")
+    return langid.identify_documents(table(spark, sf_dir, "documents"), carry=["doc_id"])
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,8 +49,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = langid.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
-    return found.select("page_id", "language", "confidence", "accepted")
+    return langid.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), carry=["page_id"])
 
 
 QUERIES = {f.__name__: f for f in (op1_packing, op2_nearest, op3_fingerprints, op4_language_id, op5_line_dedup, op6_simhash, op7_pii, op8_warc, op9_bpe, op10_secrets, pages_language_id)}

@@ -193,6 +193,82 @@ def test_language(spark, sf):
     assert np.mean([r["lang"] == r["language"] for r in got]) >= 0.95
 
 
+def plain_language(rows, train_rows, per_language=langid.SAMPLE_PER_LANGUAGE):
+    """(language, confidence, accepted) of (text, declared, suffix, host) rows, with the model and the counts in dictionaries."""
+    langs = langid.LANGUAGES
+    counts, texts, usual = np.zeros((4, langid.BUCKETS)), np.zeros((4, langid.BUCKETS)), []
+    kept = {k: list(dict.fromkeys(t for t, lang in train_rows if lang == k and t is not None)) for k in langs}
+    assert all(len(v) <= per_language for v in kept.values())
+    for i, k in enumerate(langs):
+        for t in kept[k]:
+            for b in langid.trigrams(t):
+                counts[i, b] += 1
+            texts[i, np.unique(langid.trigrams(t))] += 1
+    counts[texts < 2] = 0
+    log = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * langid.BUCKETS))
+    for i, k in enumerate(langs):
+        own = [log[i][langid.trigrams(t)] for t in kept[k] if len(langid.trigrams(t))]
+        usual.append((np.median([x.mean() for x in own]), np.sqrt(np.median([x.var() for x in own]))) if own else (np.inf, 0))
+    scored = []
+    for text, declared, suffix, host in rows:
+        at = langid.trigrams(text or "")
+        m = np.array([x[at].mean() for x in log]) if len(at) else np.zeros(4)
+        known = len(at) > 0 and any(m[i] >= usual[i][0] - langid.SLACK - langid.ERRORS * usual[i][1] * np.sqrt(3 / len(at)) for i in range(4))
+        scored.append((len(at), m, known, None if declared is None else declared.lower() if declared.lower() in langs else "other", suffix or "", host or ""))
+    met = [(d, s, h, int(m.argmax())) for n, m, known, d, s, h in scored if known]
+    total = lambda keep: np.array([sum(1 for x in met if keep(x) and x[3] == i) for i in range(4)])
+    top = (total(lambda x: True) + 1) / (len(met) + 4)
+    out = []
+    for n, m, known, d, s, h in scored:
+        claim = np.zeros(4) if d is None else np.log((total(lambda x: x[0] == d) + 0.5) / (total(lambda x: x[0] is not None) + 2.5))
+        by_suffix = total(lambda x: x[1] == s)
+        level = (by_suffix + langid.STRENGTH * top) / (by_suffix.sum() + langid.STRENGTH)
+        by_host = total(lambda x: x[1] == s and x[2] == h)
+        # An address that no known text has gets the prior over all.
+        prior = (by_host + langid.STRENGTH * level) / (by_host.sum() + langid.STRENGTH) if by_host.sum() else top
+        logs = m * n * langid.TEXT_WEIGHT + claim + np.log(prior)
+        best = 1 / np.exp(logs - logs.max()).sum()
+        out.append((langs[int(logs.argmax())], best, known and best >= langid.MIN_POSTERIOR))
+    return out
+
+
+def test_posterior_against_plain(spark, sf):
+    some = spark.read.parquet(f"{sf}/documents.parquet").filter("doc_id < 120").collect()
+    rows = [(r["text"], r["lang"] if i % 3 else None, f"x{i % 2}" if i % 5 else None, f"h{i % 7}" if i % 4 else None, r["lang"]) for i, r in enumerate(some)]
+    rows += [(None, "fr", "x1", "h1", None), ("", None, None, None, "en"), ("Это короткая фраза на русском языке.", "en", "x0", "new", None), ("le", "FR", "zz", "h0", None), ("12 34", "xx", None, None, "de"), rows[0], rows[0]]
+    df = spark.createDataFrame([(i, *r, 1, "c") for i, r in enumerate(rows)], "id int, body string, told string, suffix string, host string, lang string, _n int, row string")
+    got = langid.identify(df, F.col("body"), F.col("told"), F.col("host"), F.col("suffix"), train_text="body").orderBy("id").collect()
+    want = plain_language([r[:4] for r in rows], [(r[0], r[4]) for r in rows])
+    assert got[0].asDict().keys() >= {"id", "body", "_n", "row", "language", "confidence", "accepted"} and got[3]["_n"] == 1 and got[3]["row"] == "c"
+    for r, (language, confidence, accepted) in zip(got, want, strict=True):
+        assert (r["language"], r["accepted"]) == (language, accepted) and abs(r["confidence"] - confidence) < 1e-4, r["body"]
+    assert not got[122]["accepted"] and sum(r["accepted"] for r in got) > 100
+
+
+def test_language_sample_is_bounded(spark):
+    """However often a text is repeated, it is one of the sample, and a language gets no more than its share."""
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("the same text")).otherwise(F.concat(F.lit("text "), "id")).alias("text"), F.when(F.col("id") % 2 == 0, "en").otherwise("fr").alias("lang"))
+    got = langid.sample(df, "text", "lang", langid.LANGUAGES, 100).collect()
+    assert len(got) == len(set(got)) and {k: sum(r["label"] == k for r in got) for k in range(4)} == {0: 100, 1: 100, 2: 0, 3: 0}
+    assert len(langid.sample(df, "text", "lang", langid.LANGUAGES, 10_000).collect()) == 2002
+
+
+def test_pages(spark):
+    """Pages in four languages: the text decides, scripts and entities are no text, and a page without text is not accepted."""
+    words = {"en": "the of and that with have this from they would", "fr": "le les des une dans pour que qui sur avec", "de": "der die das und nicht mit sich auch eine wird", "es": "el los las una para con por como pero sus"}
+    r = random.Random(4)
+    say = lambda k, n: " ".join(r.choice(words[k].split()) for _ in range(n))
+    docs = spark.createDataFrame([(say(k, 80), k) for k in words for _ in range(30)], "text string, lang string")
+    rows = [(i, f"https://www.{k}{i % 3}.example.{k}/", f"<html lang='{k}'><script>{say('en', 300)}</script><p>{say(k, 60)} &amp; <b>{say(k, 20)}</b></p>", k) for i, k in enumerate([*words] * 6)]
+    rows += [(100, None, None, None), (101, "https://www.fr0.example.fr/", "<html lang='fr'><script>var x</script></html>", None), (102, "nowhere", f"<html lang=en><p>{say('de', 80)}</p>", "de"), (103, "", "<p>" + "日本語" * 60, None)]
+    pages = spark.createDataFrame(rows, "page_id int, url string, html string, language string")
+    got = {x["page_id"]: x for x in langid.identify_pages(pages, docs, carry=["page_id"]).collect()}
+    assert set(got) == {x[0] for x in rows}
+    assert all(got[i]["language"] == k and got[i]["accepted"] for i, _, _, k in rows if k) and not any(got[i]["accepted"] for i in (100, 101, 103))
+    assert got[101]["language"] == "fr"
+    assert langid.identify_pages(pages.limit(0), docs).count() == 0 and langid.identify_pages(pages, docs.limit(0)).filter("accepted").count() == 0
+
+
 def test_language_edges(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("text", "lang", "source").limit(150)
     odd = spark.createDataFrame([(None, None, None), ("", "fr", "h"), ("1234 !!", "xx", "h"), ("日本語" * 50, "en", None)], "text string, lang string, source string")
@@ -358,6 +434,74 @@ def test_pii_base(spark, docs, none):
     assert pii.scan(none).count() == 0
 
 
+def test_pii_takes_control_characters_for_what_they_are(spark):
+    """U+0001 and its like part numbers as any other character does."""
+    r = random.Random(8)
+    texts = ["1234 5678 9012 3 / 4111\x011111\x011111\x011111 x", "4111\x011111\x011111\x011111", "4111 1111\x021111 1111 4111-1111 1111-1111"]
+    texts += ["".join(r.choice(["4111", "1111", "4111 1111 1111 1111", "\x01", "\x02", "\x00", " ", "-", "\x1f", "+1 555 ", "a@b.c"]) for _ in range(30)) for _ in range(200)]
+    got = {r["doc_id"]: r for r in pii.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    for i, text in enumerate(texts):
+        spans = [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in plain_pii(text)]
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(spans).encode()).hexdigest(), repr(text)
+
+
+def plain_bootstrap(rows, min_seeds=pii.MIN_SEEDS, min_confidence=pii.MIN_CONFIDENCE):
+    """The spans of each (id, text), base and discovered: patterns and instances in dictionaries."""
+    space, tokens, base = r"[^\x20\x09-\x0D]", [], {}
+    for doc, text in rows:
+        base[doc], end = plain_pii(text), 0
+        for m in re.finditer(rf"(?<!{space})[^\x20\x09-\x0D0-9@]*[0-9@]{space}*", text):
+            gap, end = text[end : m.start()], m.end()
+            context = re.search(rf"({space}+[\x20\t]+{space}+)[\x20\t]+\Z", gap)
+            body = re.fullmatch(r"[(\[{<\"']{0,8}(.*?)[.,;:!?)\]}>\"']{0,8}", m[0])
+            before = [s for s in base[doc] if s[0] < m.end()]
+            far = max(before, key=lambda s: s[2], default=None)
+            tokens.append((doc, m.start() + body.start(1), body[1].lower(), context[1].lower() if context else "", far[1] if far and far[2] > m.start() else -1))
+    known, edges = {}, {(p, x) for _, _, x, p, _ in tokens if p and x}
+    for _, _, x, _, kind in tokens:
+        if kind >= 0:
+            known[x] = min(kind, known.get(x, 9))
+    while True:
+        good = {}
+        for p in {p for p, _ in edges}:
+            own = [x for q, x in edges if q == p]
+            hits = [sum(known.get(x) == k for x in own) for k in range(4)]
+            if max(hits) >= min_seeds and max(hits) >= min_confidence * len(own):
+                good[p] = (hits.index(max(hits)), max(hits) / (len(own) + 1))
+        scores = {}
+        for p, x in edges:
+            if p in good and x not in known and re.fullmatch(r"[a-z0-9][a-z0-9@._/+()\[\]-]{4,62}[a-z0-9]", x) and ("@" in x or sum(c.isdigit() for c in x) >= 4):
+                scores.setdefault(x, {}).setdefault(good[p][0], []).append(1 - good[p][1])
+        if not scores:
+            break
+        known |= {x: max(by, key=lambda k: (round(1 - np.prod(by[k]), 12), -k)) for x, by in scores.items()}
+    more = {(doc, start, known[x], start + len(x)) for doc, start, x, _, kind in tokens if kind < 0 and x in known}
+    return {doc: ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base[doc] + [m[1:] for m in more if m[0] == doc])) for doc, _ in rows}
+
+
+def test_pii_discovers_what_a_plain_version_does(spark):
+    """At the default settings: several kinds, contexts of several lengths, rounds that build on one another, repeats and ties."""
+    r, rows = random.Random(6), []
+    mail, odd = (lambda i: f"user{i}@mail{i % 5}.example.com"), (lambda i: f"user{1000 + i}(at)site{i % 4}.example")
+    leads = ["please write to", "mail:  me at", "x" * 70 + " reach", "call on", "\tping the host"]
+    for i in range(240):
+        parts = []
+        for _ in range(r.randrange(1, 4)):
+            lead = r.choice(leads)
+            what = {0: mail(r.randrange(60)), 1: mail(r.randrange(60)), 2: f"10.0.{r.randrange(9)}.{i % 250}", 3: odd(r.randrange(30)), 4: "<4111111111111111>,"}[r.randrange(5) if lead != "call on" else 3 + r.randrange(2)]
+            what = f"10.1.{r.randrange(200)}.7" if "host" in lead else (mail(r.randrange(300)) if r.random() < 0.85 else odd(r.randrange(5))) if lead == leads[0] else what
+            parts.append(f"{prose(r.randrange(99), r.randrange(4))} {lead} {what}")
+        rows.append((i, "\n".join(parts)))
+    # The first round reaches the odd ones by "write to", the second a new one by "ask for", where the odd ones stand.
+    rows += [(1000 + i, f"then ask for {odd(i % 5)} now") for i in range(30)] + [(1100, "then ask for new1(at)later.example2345 now, again new1(at)later.example2345")]
+    rows += [(1200, ""), (1201, "please write to " + "y" * 300 + "1@" + "z" * 300), (1202, "please write to " + "y" * 300 + "1@" + "z" * 301)]
+    want = plain_bootstrap(rows)
+    got = {x["doc_id"]: x["spans"] for x in pii.scan(spark.createDataFrame(rows + rows[:3], "doc_id long, text string")).collect()}
+    assert got == want
+    base = {i: ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in plain_pii(t)) for i, t in rows}
+    assert sum(got[i] != base[i] for i in got) >= 10 and got[1100] == "email:13:38,email:50:75"
+
+
 def test_pii_bootstraps(spark):
     rows = [(i, f"please write to {'user%d@mail%d.example.com' % (i, i)} today") for i in range(8)]
     rows += [(50, "please write to jane9912(at)site.example now"), (51, "mail jane9912(at)site.example there"), (52, "a room of 12345678 things"), (53, "write to nobody at all")]
