@@ -105,7 +105,8 @@ def train(labelled: DataFrame, languages: tuple[str, ...] = LANGUAGES) -> tuple[
         yield pa.RecordBatch.from_arrays([pa.array(label, pa.int32()), pa.array(bucket, pa.int32()), pa.array(counts[0, label, bucket]), pa.array(counts[1, label, bucket])], names=["label", "bucket", "n", "texts"])
 
     counts = labelled.mapInArrow(count, "label int, bucket int, n long, texts long").groupBy("label", "bucket").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts"))
-    folder, n_languages = stored(counts.filter("texts > 1").select("label", "bucket", "n"), "lang-model").scratch, len(languages)
+    # A few hundred thousand small rows at most, in one file: every task reads it.
+    folder, n_languages = stored(counts.filter("texts > 1").select("label", "bucket", "n").repartition(1), "lang-model").scratch, len(languages)
 
     def usual(batches):
         model = Model.load(folder, n_languages)
