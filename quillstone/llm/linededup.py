@@ -22,6 +22,9 @@ MIN_CHARS = 40
 MIN_DOCS = 5
 KEYS_PER_SHARD = 1_000_000
 CACHED_BYTES = 96 << 20
+#: Texts that a task gathers before it probes, so that it goes through the shards once for all of them.
+POOL_BYTES = 24 << 20
+LEVELS = 40
 
 
 def line_key(line: str, min_chars: int = MIN_CHARS) -> bytes | None:
@@ -42,17 +45,22 @@ def _digest(key: bytes) -> tuple[int, int]:
 
 
 class PerfectHash:
-    """A minimal perfect hash of distinct 64-bit keys: levels of bit arrays, each holding the keys that met no other there."""
-
-    def __init__(self, bits: list[np.ndarray]):
-        self.bits = bits
-        self.before = []
-        total = 0
-        for level in bits:
-            ones = np.cumsum(level, dtype=np.int64)
-            self.before.append(ones - level + total)
-            total += int(ones[-1]) if len(ones) else 0
-        self.size = total
+    """A minimal perfect hash of 64-bit keys: levels of bit arrays, each holding the keys that met no other there.
+
+    Bits stay packed, with a running count for each word of 64. Equal keys never part: what is left after
+    ``LEVELS`` levels has no place here.
+    """
+
+    def __init__(self, levels: list[tuple[int, np.ndarray]]):
+        self.levels, self.before, self.size = levels, [], 0
+        for _, words in levels:
+            ones = np.cumsum(np.bitwise_count(words), dtype=np.int64)
+            self.before.append((ones - np.bitwise_count(words) + self.size).astype(np.uint32))
+            self.size += int(ones[-1])
+
+    @property
+    def nbytes(self) -> int:
+        return sum(words.nbytes * 3 // 2 for _, words in self.levels)
 
     @staticmethod
     def slot(keys: np.ndarray, level: int, width: int) -> np.ndarray:
@@ -63,39 +71,39 @@ class PerfectHash:
 
     @classmethod
     def build(cls, keys: np.ndarray) -> PerfectHash:
-        bits, left = [], keys
-        while len(left):
+        levels, left = [], keys
+        while len(left) and len(levels) < LEVELS:
             width = 2 * len(left) + 1
-            at = cls.slot(left, len(bits), width)
-            alone = np.bincount(at, minlength=width) == 1
-            bits.append(alone)
+            at = cls.slot(left, len(levels), width)
+            alone = np.bincount(at, minlength=-(-width // 64) * 64) == 1
+            levels.append((width, np.packbits(alone, bitorder="little").view("<u8")))
             left = left[~alone[at]]
-        return cls(bits)
+        return cls(levels)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Each key's place in 0..size-1, or -1; a key that was not built in may get any place."""
         out, todo = np.full(len(keys), -1, dtype=np.int64), np.arange(len(keys))
-        for level, bits in enumerate(self.bits):
+        for level, (width, words) in enumerate(self.levels):
             if not len(todo):
                 break
-            at = self.slot(keys[todo], level, len(bits))
-            hit = bits[at]
-            out[todo[hit]] = self.before[level][at[hit]]
+            at = self.slot(keys[todo], level, width)
+            word, bit = words[at >> 6], np.uint64(1) << (at & 63).astype(np.uint64)
+            hit = (word & bit) != 0
+            out[todo[hit]] = self.before[level][at[hit] >> 6] + np.bitwise_count(word[hit] & (bit[hit] - np.uint64(1)))
             todo = todo[~hit]
         return out
 
     def dump(self) -> bytes:
-        return b"".join(len(b).to_bytes(8, "little") + np.packbits(b).tobytes() for b in self.bits)
+        return b"".join(width.to_bytes(8, "little") + words.tobytes() for width, words in self.levels)
 
     @classmethod
     def load(cls, data: bytes) -> PerfectHash:
-        bits, at = [], 0
+        levels, at = [], 0
         while at < len(data):
             width = int.from_bytes(data[at : at + 8], "little")
-            size = (width + 7) // 8
-            bits.append(np.unpackbits(np.frombuffer(data, np.uint8, size, at + 8), count=width).astype(bool))
-            at += 8 + size
-        return cls(bits)
+            levels.append((width, np.frombuffer(data, "<u8", -(-width // 64), at + 8)))
+            at += 8 + levels[-1][1].nbytes
+        return cls(levels)
 
 
 def line_hashes(docs: DataFrame, id_col: str, text_col: str, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -129,59 +137,78 @@ def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def write(key, frame):
         import pandas as pd
 
-        lo = frame["lo"].to_numpy(np.int64)
-        index = PerfectHash.build(lo.view(np.uint64) ^ frame["hi"].to_numpy(np.int64).view(np.uint64))
-        place = index.find(lo.view(np.uint64) ^ frame["hi"].to_numpy(np.int64).view(np.uint64))
-        marks, docs_in, last = (np.empty(index.size, dtype=np.int64) for _ in range(3))
+        hi, lo = frame["hi"].to_numpy(np.int64), frame["lo"].to_numpy(np.int64)
+        index = PerfectHash.build(lo.view(np.uint64) ^ hi.view(np.uint64))
+        place = index.find(lo.view(np.uint64) ^ hi.view(np.uint64))
+        # Hashes whose halves mix to the same key stand behind the others, found by all their bits.
+        rest = np.flatnonzero(place < 0)
+        place[rest] = index.size + np.arange(len(rest))
+        marks, docs_in, last = (np.empty(len(frame), dtype=np.int64) for _ in range(3))
         marks[place], docs_in[place], last[place] = lo, frame["n_docs"].to_numpy(), frame["last"].to_numpy()
-        return pd.DataFrame({"shard": [int(key[0])], "mph": [index.dump()], "marks": [marks.tobytes()], "counts": [np.minimum(docs_in, 2**32 - 1).astype("<u4").tobytes()], "last": [last.tobytes()]})
+        return pd.DataFrame({
+            "shard": [int(key[0])], "mph": [index.dump()], "marks": [marks.tobytes()], "counts": [np.minimum(docs_in, 2**32 - 1).astype("<u4").tobytes()], "last": [last.tobytes()], "rest": [hi[rest].tobytes()],
+        })
 
     (
         frequent.withColumn("shard", F.pmod("hi", F.lit(shards)).cast("int"))
-        .groupBy("shard").applyInPandas(write, "shard int, mph binary, marks binary, counts binary, last binary")
+        .groupBy("shard").applyInPandas(write, "shard int, mph binary, marks binary, counts binary, last binary, rest binary")
         .write.partitionBy("shard").parquet(folder)
     )
     return folder, shards
 
 
+class Shard:
+    def __init__(self, row: dict):
+        self.index = PerfectHash.load(row["mph"])
+        self.marks, self.counts, self.last = np.frombuffer(row["marks"], np.int64), np.frombuffer(row["counts"], "<u4"), np.frombuffer(row["last"], np.int64)
+        self.rest = {(h, int(self.marks[self.index.size + i])): self.index.size + i for i, h in enumerate(np.frombuffer(row["rest"], np.int64).tolist())}
+        self.nbytes = self.index.nbytes + 20 * len(self.marks)
+
+    def find(self, hi: np.ndarray, lo: np.ndarray) -> np.ndarray:
+        """Each hash's place in the arrays, or -1."""
+        place = self.index.find(lo.view(np.uint64) ^ hi.view(np.uint64))
+        place[(place >= 0) & (self.marks[place] != lo)] = -1
+        if self.rest:
+            for i in np.flatnonzero(place < 0).tolist():
+                place[i] = self.rest.get((int(hi[i]), int(lo[i])), -1)
+        return place
+
+
 class Index:
     """The shards, read when needed; the least used go when the kept ones exceed ``most`` bytes."""
 
     def __init__(self, folder: str, shards: int, most: int = CACHED_BYTES):
         self.folder, self.shards, self.most, self.kept = folder, shards, most, {}
 
-    def shard(self, k: int):
+    def shard(self, k: int) -> Shard | None:
         if k in self.kept:
             self.kept[k] = self.kept.pop(k)
-            return self.kept[k][0]
+            return self.kept[k]
         import pyarrow.parquet as pq
         from pyarrow import fs
 
         store, path = file_system(f"{self.folder}/shard={k}")
-        found, size = None, 0
-        files = [f.path for f in store.get_file_info(fs.FileSelector(path, allow_not_found=True)) if f.path.endswith(".parquet")]
-        for name in files:
-            row = pq.read_table(store.open_input_file(name), columns=["mph", "marks", "counts", "last"]).to_pylist()[0]
-            found = (PerfectHash.load(row["mph"]), np.frombuffer(row["marks"], np.int64), np.frombuffer(row["counts"], "<u4"), np.frombuffer(row["last"], np.int64))
-            size = 60 * found[0].size
-        self.kept[k] = (found, size)
-        while len(self.kept) > 1 and sum(s for _, s in self.kept.values()) > self.most:
+        found = None
+        for f in store.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            if f.path.endswith(".parquet"):
+                with store.open_input_file(f.path) as source:
+                    found = Shard(pq.ParquetFile(source).read(columns=["mph", "marks", "counts", "last", "rest"]).to_pylist()[0])
+        self.kept[k] = found
+        while len(self.kept) > 1 and sum(s.nbytes for s in self.kept.values() if s) > self.most:
             self.kept.pop(next(iter(self.kept)))
         return found
 
     def probe(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each line hash: number of documents (0: not in the index) and the largest id."""
+        """For each line hash: number of documents (0: not in the index) and the largest id. Goes through the shards once."""
         counts, last = np.zeros(len(hi), dtype=np.int64), np.zeros(len(hi), dtype=np.int64)
         of = hi % self.shards
-        for k in np.unique(of):
-            if (shard := self.shard(int(k))) is None:
+        order = np.argsort(of, kind="stable")
+        for at in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+            if not len(at) or (shard := self.shard(int(of[at[0]]))) is None or not len(shard.marks):
                 continue
-            at = np.flatnonzero(of == k)
-            index, marks, docs_in, ids = shard
-            place = index.find(lo[at].view(np.uint64) ^ hi[at].view(np.uint64))
-            ok = place >= 0
-            ok[ok] = marks[place[ok]] == lo[at[ok]]
-            counts[at[ok]], last[at[ok]] = docs_in[place[ok]], ids[place[ok]]
+            place = shard.find(hi[at], lo[at])
+            at, place = at[place >= 0], place[place >= 0]
+            counts[at], last[at] = shard.counts[place], shard.last[place]
         return counts, last
 
 
@@ -198,30 +225,49 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     keep = [c for c in docs.columns if c not in (text_col, "n_lines", "n_dropped")]
     schema = T.StructType([*(docs.schema[c] for c in keep), T.StructField(text_col, T.StringType()), T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
 
+    def hashed(texts):
+        """Row, line and hash of every countable line."""
+        rows, lines, hi, lo = [], [], [], []
+        for i, text in enumerate(texts.to_pylist()):
+            for j, line in enumerate((text or "").split("\n")):
+                if (key := line_key(line, min_chars)) is not None:
+                    a, b = _digest(key)
+                    rows.append(i)
+                    lines.append(j)
+                    hi.append(a)
+                    lo.append(b)
+        return [np.array(x, dtype=np.int64) for x in (rows, lines, hi, lo)]
+
+    def cut(batch, rows, lines, counts, last):
+        ids, texts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (id_col, text_col))
+        gone: dict[int, set[int]] = {}
+        for k in np.flatnonzero(counts >= min_docs).tolist():
+            i = int(rows[k])
+            if ids[i] is None or last[k] != ids[i]:
+                gone.setdefault(i, set()).add(int(lines[k]))
+        n_lines = [(t or "").count("\n") + 1 for t in texts]
+        kept = [(t or "") if i not in gone else "\n".join([x for j, x in enumerate(t.split("\n")) if j not in gone[i]]) for i, t in enumerate(texts)]
+        return pa.RecordBatch.from_arrays(
+            [*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array([len(gone.get(i, ())) for i in range(len(texts))], pa.int64())],
+            names=schema.names,
+        )
+
     def run(batches):
-        index = Index(folder, shards)
+        index, pool = Index(folder, shards), []
+
+        def probed():
+            counts, last = index.probe(*(np.concatenate([p[k] for p in pool]) for k in (3, 4)))
+            ends = np.cumsum([0, *(len(p[1]) for p in pool)])
+            for (batch, rows, lines, *_), a, b in zip(pool, ends[:-1], ends[1:], strict=True):
+                yield cut(batch, rows, lines, counts[a:b], last[a:b])
+
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(id_col)).to_pylist()
-            split = [(t or "").split("\n") for t in batch.column(batch.schema.get_field_index(text_col)).to_pylist()]
-            at, hi, lo = [], [], []
-            for i, lines in enumerate(split):
-                for j, line in enumerate(lines):
-                    if (key := line_key(line, min_chars)) is not None:
-                        a, b = _digest(key)
-                        at.append((i, j))
-                        hi.append(a)
-                        lo.append(b)
-            counts, last = index.probe(np.array(hi, dtype=np.int64), np.array(lo, dtype=np.int64))
-            gone: dict[int, set[int]] = {}
-            for k in np.flatnonzero(counts >= min_docs):
-                i, j = at[k]
-                if ids[i] is None or last[k] != ids[i]:
-                    gone.setdefault(i, set()).add(j)
-            texts = ["\n".join(lines) if i not in gone else "\n".join([x for j, x in enumerate(lines) if j not in gone[i]]) for i, lines in enumerate(split)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(batch.schema.get_field_index(c)) for c in keep), pa.array(texts, pa.string()), pa.array([len(x) for x in split], pa.int64()), pa.array([len(gone.get(i, ())) for i in range(len(split))], pa.int64())],
-                names=schema.names,
-            )
+            pool.append((batch, *hashed(batch.column(batch.schema.get_field_index(text_col)))))
+            if sum(p[0].nbytes for p in pool) >= POOL_BYTES:
+                yield from probed()
+                pool = []
+        if pool:
+            yield from probed()
 
     return docs.select(*(F.col(f"`{c}`") for c in keep), F.col(text_col).cast("string").alias(text_col)).mapInArrow(run, schema)
 

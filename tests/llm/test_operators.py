@@ -306,7 +306,36 @@ def test_dedup_lines(spark):
 def test_perfect_hash():
     keys = np.random.default_rng(1).integers(0, 2**63, 5000, dtype=np.int64).view(np.uint64)
     index = linededup.PerfectHash.load(linededup.PerfectHash.build(keys).dump())
-    assert sorted(index.find(keys)) == list(range(5000))
+    assert sorted(index.find(keys)) == list(range(5000)) and index.size == 5000
+
+
+def test_hashes_that_mix_to_one_key(spark, monkeypatch):
+    """Hashes of different lines whose halves mix to the same key are told apart by all their bits."""
+    monkeypatch.setattr(linededup, "line_hashes", lambda *_: spark.createDataFrame([(h, h ^ 77, d) for h in (5, 6, 1 << 40) for d in range(5 + h % 3)] + [(9, 1234, d) for d in range(6)], "hi long, lo long, doc_id long"))
+    folder, shards = linededup.build_index(spark.range(1))
+    counts, last = linededup.Index(folder, shards).probe(np.array([5, 6, 1 << 40, 9, 9, 7]), np.array([5 ^ 77, 6 ^ 77, (1 << 40) ^ 77, 1234, 1235, 7 ^ 77]))
+    assert counts.tolist() == [7, 5, 6, 6, 0, 0] and last.tolist() == [6, 4, 5, 5, 0, 0]
+
+
+@pytest.mark.parametrize("pool", [1, 24 << 20])
+def test_digest_against_plain(spark, docs, pool, monkeypatch):
+    """Many shards, and pools of one batch or of all."""
+    monkeypatch.setattr(linededup, "POOL_BYTES", pool)
+    r = random.Random(12)
+    lines = ["  " + prose(i, 9) + "\t" for i in range(12)] + [prose(100 + i, 3) for i in range(5)] + ["", " " * 50, "É" * 40]
+    made = [(i, "\n".join(r.choice(lines).upper() if r.random() < 0.3 else r.choice(lines) for _ in range(r.randrange(8)))) for i in range(120)]
+    df = spark.createDataFrame(made, "doc_id long, text string").repartition(3)
+    key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
+    where = {}
+    for i, t in made:
+        for x in t.split("\n"):
+            where.setdefault(key(x), set()).add(i)
+    want = []
+    for i, t in made:
+        kept = [x for x in t.split("\n") if len(key(x)) < 40 or len(where[key(x)]) < 5 or max(where[key(x)]) == i]
+        want.append((i, t.count("\n") + 1, t.count("\n") + 1 - len(kept), hashlib.sha256("\n".join(kept).encode()).hexdigest()))
+    assert sorted(tuple(x) for x in linededup.digest(df, keys_per_shard=3).collect()) == want
+    assert sum(x[2] for x in want) > 50
 
 
 # --- near-duplicates -----------------------------------------------------------------------------
