@@ -151,6 +151,33 @@ def test_nearest(spark, relax, least):
     assert ann.nearest(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("dim", "levels"), [(2, 3), (64, 0)])
+def test_nearest_at_other_sizes(spark, dim, levels):
+    """Many ties (a small grid) are told apart by their ids; 64 dimensions, as the supplied vectors have, at the default factor."""
+    r = np.random.default_rng(dim)
+    x = r.integers(0, levels + 1, (600, dim)).astype(float) + 1 if levels else r.normal(size=(1500, dim)) + 2 * r.normal(size=(10, dim))[r.integers(0, 10, 1500)]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for row in ann.nearest(df, every=50, relax=1.0 if levels else ann.RELAX, rows_per_shard=100).collect():
+        got.setdefault(row["query_id"], []).append((row["score"], row["vec_id"]))
+    hits = 0
+    for q in range(0, len(x), 50):
+        d = np.sqrt(((x - x[q]) ** 2).sum(axis=1))
+        want = sorted((d[i], i) for i in range(len(x)) if i != q)[:10]
+        assert len(got[q]) == 10
+        hits += len({i for _, i in got[q]} & {i for _, i in want})
+        if levels:
+            assert sorted(got[q]) == want
+    assert hits >= 0.9 * 10 * len(got)
+
+
+def test_nearest_of_an_id_with_many_vectors(spark):
+    """A query's own vectors, however many and near, take no candidate's place."""
+    rows = [(100, [1.0, i / 1000]) for i in range(40)] + [(i, [2.0, float(i)]) for i in range(1, 15)]
+    got = sorted((r["rank"], r["vec_id"]) for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), relax=1.0, rows_per_shard=10).collect())
+    assert got == [(i, i) for i in range(1, 11)]
+
+
 # --- fingerprints --------------------------------------------------------------------------------
 def shingles(text, k=5):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
