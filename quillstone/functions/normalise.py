@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from quillstone.functions import tables as t
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once: the optimiser does not copy what a lambda binds into each place that reads it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def lookup(pairs: dict[str, str], key: Column) -> Column:
     return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])[key]
 
@@ -34,8 +39,15 @@ def field(payload: Column, name: str) -> Column:
 
 def present(c: Column, absent: tuple[str, ...]) -> Column:
     """The stripped value, null if it is one of the words for absent."""
-    s = stripped(c)
-    return F.when(~F.lower(s).isin(*absent), s)
+    return let(stripped(c), lambda s: F.when(~F.lower(s).isin(*absent), s))
+
+
+def swapped(s: Column, pattern: str, to) -> Column:
+    """``s`` with every match of ``pattern`` replaced by ``to(groups)``, an array of the groups 1 and 2 (if it has two) of each match."""
+    two = pattern.count("(") - pattern.count("(?") > 1
+    groups = [F.regexp_extract_all(s, F.lit(pattern), F.lit(g)).alias(f"g{g}") for g in ((1, 2) if two else (1,))]
+    parts = F.arrays_zip(F.split(s, pattern, -1).alias("gap"), *groups)
+    return F.array_join(F.transform(parts, lambda x: F.concat(x["gap"], F.coalesce(to(x), F.lit("")))), "")
 
 
 def name(c: Column) -> Column:
@@ -47,22 +59,22 @@ def name(c: Column) -> Column:
 
 def postal(c: Column) -> Column:
     """struct<code, valid>; over-long invalid codes are dropped, short ones kept as they came."""
-    s = blank_to_null(stripped(c))
-    packed = F.regexp_replace(F.upper(s), "[- ]", "")
-    good = packed.rlike(t.POSTAL)
-    code = F.when(good, F.concat(F.substring(packed, 1, 3), F.lit(" "), F.substring(packed, 4, 3))).when(F.length(s) <= 7, s)
-    return F.struct(code.alias("code"), F.when(s.isNotNull(), good).alias("valid"))
+    def coded(x):
+        good = x["packed"].rlike(t.POSTAL)
+        code = F.when(good, F.concat(F.substring(x["packed"], 1, 3), F.lit(" "), F.substring(x["packed"], 4, 3))).when(F.length(x["s"]) <= 7, x["s"])
+        return F.struct(code.alias("code"), F.when(x["s"].isNotNull(), good).alias("valid"))
+
+    return let(blank_to_null(stripped(c)), lambda s: let(F.struct(s.alias("s"), F.regexp_replace(F.upper(s), "[- ]", "").alias("packed")), coded))
 
 
 def street(c: Column) -> Column:
-    s = reduce(lambda x, kv: F.regexp_replace(x, rf"(?i)\b{kv[0]}\b", kv[1]), t.STREET_TYPES.items(), blank_to_null(stripped(c)))
+    # No replacement is a key of its own table, so one pass does what one after the other would.
+    types = rf"(?i)\b({'|'.join(t.STREET_TYPES)})\b"
     # A unit label takes the word after it, joined on or not; labels come longest first where one begins another.
-    labels = "|".join(sorted(t.UNIT_LABELS, key=len, reverse=True))
-    unit = rf"(?i)\b({labels})\s*[#:]?\s*(\w+)\b"
-    gaps, labelled, words = F.split(s, unit, -1), F.regexp_extract_all(s, F.lit(unit), F.lit(1)), F.regexp_extract_all(s, F.lit(unit), F.lit(2))
-    named = F.transform(labelled, lambda x: lookup(t.UNIT_LABELS, F.upper(x)))
-    parts = F.transform(F.arrays_zip(gaps.alias("g"), named.alias("l"), words.alias("w")), lambda x: F.concat(x["g"], F.coalesce(F.concat(x["l"], F.lit(" "), F.upper(x["w"])), F.lit(""))))
-    return blank_to_null(F.trim(F.regexp_replace(F.array_join(parts, ""), r"\s+", " ")))
+    unit = rf"(?i)\b({'|'.join(sorted(t.UNIT_LABELS, key=len, reverse=True))})\s*[#:]?\s*(\w+)\b"
+    named = lambda s: swapped(s, types, lambda x: lookup(t.STREET_TYPES, F.upper(x["g1"])))
+    whole = lambda s: swapped(s, unit, lambda x: F.concat(lookup(t.UNIT_LABELS, F.upper(x["g1"])), F.lit(" "), F.upper(x["g2"])))
+    return blank_to_null(F.trim(F.regexp_replace(let(let(blank_to_null(stripped(c)), named), whole), r"\s+", " ")))
 
 
 def title(c: Column) -> Column:
@@ -76,53 +88,66 @@ def city(c: Column) -> Column:
 
 
 def province(c: Column) -> Column:
-    s = F.upper(stripped(c))
-    code = F.coalesce(lookup(t.PROVINCE_NAMES, s), s)
-    return F.when(code.isin(*t.PROVINCES), code)
+    named = let(F.upper(stripped(c)), lambda s: F.coalesce(lookup(t.PROVINCE_NAMES, s), s))
+    return let(named, lambda code: F.when(code.isin(*t.PROVINCES), code))
 
 
 def address(street_c: Column, city_c: Column, province_c: Column, postal_c: Column) -> Column:
-    s = street(street_c)
-    line1, line2 = F.trim(F.substring_index(s, ",", 1)), F.when(F.instr(s, ",") > 0, F.trim(F.substring(s, F.instr(s, ",") + 1, F.length(s))))
-    code = postal(postal_c)
+    def put_together(x):
+        s, code = x["street"], x["postal"]
+        line1, line2 = F.trim(F.substring_index(s, ",", 1)), F.when(F.instr(s, ",") > 0, F.trim(F.substring(s, F.instr(s, ",") + 1, F.length(s))))
+        whole = F.concat_ws(", ", blank_to_null(line1), blank_to_null(line2), x["city"], x["province"], code["code"])
+        return F.struct(
+            blank_to_null(whole).alias("normalised_address"), x["raw"].alias("raw_address"), line1.alias("address_line1"), line2.alias("address_line2"),
+            x["city"].alias("city"), x["province"].alias("province"), code["code"].alias("postal_code"), code["valid"].alias("postal_valid"),
+        )
+
     raw = F.concat_ws(", ", *(F.when(stripped(x) != "", x) for x in (street_c, city_c, province_c, postal_c)))
-    whole = F.concat_ws(", ", blank_to_null(line1), blank_to_null(line2), city(city_c), province(province_c), code["code"])
-    return F.struct(
-        blank_to_null(whole).alias("normalised_address"), blank_to_null(raw).alias("raw_address"), line1.alias("address_line1"), line2.alias("address_line2"),
-        city(city_c).alias("city"), province(province_c).alias("province"), code["code"].alias("postal_code"), code["valid"].alias("postal_valid"),
-    )
+    parts = F.struct(street(street_c).alias("street"), city(city_c).alias("city"), province(province_c).alias("province"), postal(postal_c).alias("postal"), blank_to_null(raw).alias("raw"))
+    return let(parts, put_together)
 
 
 def phone(c: Column) -> Column:
     """struct<raw, e164, valid>: ten digits of a Canadian area code, or toll-free; an extension is left off."""
-    raw = present(c, t.NO_CONTACT)
-    main = F.regexp_replace(raw, r"(?i)\s*(?:;?ext\.?|x|#)\s*=?\s*\d{1,7}$", "")
-    digits = F.regexp_replace(main, r"\D", "")
-    ten = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).when((F.length(digits) == 10) & ~main.startswith("+"), digits)
-    good = ten.rlike(r"^[2-9]\d{2}[2-9]\d{6}$") & F.substring(ten, 1, 3).isin(*t.AREA_CODES, *t.TOLL_FREE) & ~main.rlike("[A-Za-z]")
-    good = F.when(raw.isNotNull(), F.coalesce(good, F.lit(False)))
-    return F.struct(raw.alias("raw"), F.when(good, F.concat(F.lit("+1"), ten)).alias("e164"), good.alias("valid"))
+    def ten(x):
+        digits = F.regexp_replace(x["main"], r"\D", "")
+        number = F.when((F.length(digits) == 11) & digits.startswith("1"), F.substring(digits, 2, 10)).when((F.length(digits) == 10) & ~x["main"].startswith("+"), digits)
+        return F.struct(x["raw"].alias("raw"), x["main"].alias("main"), number.alias("ten"))
+
+    def judged(x):
+        good = x["ten"].rlike(r"^[2-9]\d{2}[2-9]\d{6}$") & F.substring(x["ten"], 1, 3).isin(*t.AREA_CODES, *t.TOLL_FREE) & ~x["main"].rlike("[A-Za-z]")
+        good = F.when(x["raw"].isNotNull(), F.coalesce(good, F.lit(False)))
+        return F.struct(x["raw"].alias("raw"), F.when(good, F.concat(F.lit("+1"), x["ten"])).alias("e164"), good.alias("valid"))
+
+    main = lambda raw: F.struct(raw.alias("raw"), F.regexp_replace(raw, r"(?i)\s*(?:;?ext\.?|x|#)\s*=?\s*\d{1,7}$", "").alias("main"))
+    return let(let(let(present(c, t.NO_CONTACT), main), ten), judged)
 
 
 def email(c: Column) -> Column:
-    raw = present(c, t.NO_CONTACT)
-    good = F.lower(raw).rlike(t.EMAIL)
-    return F.struct(raw.alias("raw"), F.when(good, F.lower(raw)).alias("email"), good.alias("valid"))
+    def judged(raw):
+        good = F.lower(raw).rlike(t.EMAIL)
+        return F.struct(raw.alias("raw"), F.when(good, F.lower(raw)).alias("email"), good.alias("valid"))
+
+    return let(present(c, t.NO_CONTACT), judged)
 
 
 def domain(c: Column) -> Column:
-    raw = present(c, t.NO_CONTACT)
-    whole = F.when(F.instr(raw, "://") > 0, raw).otherwise(F.concat(F.lit("http://"), raw))
-    host = F.lower(F.regexp_extract(whole, r"^[^:]*://([^/?#:]*)", 1))
-    host = F.regexp_replace(host, r"^www[0-9]*\.", "")
-    good = host.contains(".")
-    return F.struct(raw.alias("raw"), F.when(good, host).alias("domain"), F.when(raw.isNotNull(), good).alias("valid"))
+    def hosted(raw):
+        whole = F.when(F.instr(raw, "://") > 0, raw).otherwise(F.concat(F.lit("http://"), raw))
+        host = F.lower(F.regexp_extract(whole, r"^[^:]*://([^/?#:]*)", 1))
+        return F.struct(raw.alias("raw"), F.regexp_replace(host, r"^www[0-9]*\.", "").alias("host"))
+
+    def judged(x):
+        good = x["host"].contains(".")
+        return F.struct(x["raw"].alias("raw"), F.when(good, x["host"]).alias("domain"), F.when(x["raw"].isNotNull(), good).alias("valid"))
+
+    return let(let(present(c, t.NO_CONTACT), hosted), judged)
 
 
 def status(c: Column, source: Column) -> Column:
-    s = F.upper(stripped(c))
     own = {f"{k}|{w}": v for k, words in t.SOURCE_STATUS.items() for w, v in words.items()}
-    return F.coalesce(lookup(own, F.concat(F.lower(F.coalesce(source, F.lit(""))), F.lit("|"), s)), lookup(t.STATUS, s), F.lit("UNKNOWN"))
+    mapped = lambda s: F.coalesce(lookup(own, F.concat(F.lower(F.coalesce(source, F.lit(""))), F.lit("|"), s)), lookup(t.STATUS, s), F.lit("UNKNOWN"))
+    return let(F.upper(stripped(c)), mapped)
 
 
 def bucket(low: Column, high: Column) -> Column:
@@ -135,27 +160,35 @@ def bucket(low: Column, high: Column) -> Column:
 
 
 def employee(c: Column) -> Column:
-    raw = present(c, t.NO_NUMBER)
     one, plus, span = r"^(\d+)(\.\d+)?$", r"(?i)^(\d+)\s*(?:plus|\+)$", r"(?i)^(\d+)\s*(?:to|-)\s*(\d+)$"
-    number = lambda p, g: F.regexp_extract(raw, p, g).try_cast("int")
-    low = F.when(raw.rlike(one), number(one, 1)).when(raw.rlike(plus), number(plus, 1)).when(raw.rlike(span), number(span, 1))
-    high = F.when(raw.rlike(one), number(one, 1)).when(raw.rlike(span), number(span, 2))
-    return F.struct(
-        raw.alias("raw"), low.alias("low"), high.alias("high"), bucket(low, high).alias("bucket"), F.coalesce(raw.rlike(one), F.lit(False)).alias("exact"),
-        F.when(raw.rlike(span) & (low == t.AMBIGUOUS[0]) & (high == t.AMBIGUOUS[1]), "EMPLOYEE_RANGE_AMBIGUITY").alias("flag"),
-    )
+
+    def ranged(raw):
+        number = lambda p, g: F.regexp_extract(raw, p, g).try_cast("int")
+        low = F.when(raw.rlike(one), number(one, 1)).when(raw.rlike(plus), number(plus, 1)).when(raw.rlike(span), number(span, 1))
+        high = F.when(raw.rlike(one), number(one, 1)).when(raw.rlike(span), number(span, 2))
+        return F.struct(raw.alias("raw"), low.alias("low"), high.alias("high"))
+
+    def judged(x):
+        raw, low, high = x["raw"], x["low"], x["high"]
+        return F.struct(
+            raw.alias("raw"), low.alias("low"), high.alias("high"), bucket(low, high).alias("bucket"), F.coalesce(raw.rlike(one), F.lit(False)).alias("exact"),
+            F.when(raw.rlike(span) & (low == t.AMBIGUOUS[0]) & (high == t.AMBIGUOUS[1]), "EMPLOYEE_RANGE_AMBIGUITY").alias("flag"),
+        )
+
+    return let(let(present(c, t.NO_NUMBER), ranged), judged)
 
 
 def naics(c: Column) -> Column:
-    source = blank_to_null(stripped(c))
-    two = F.substring(F.regexp_replace(source, r"\D", ""), 1, 2)
-    return F.struct(source.alias("source"), F.when(two.isin(*t.SECTORS), two).alias("sector"))
+    def judged(source):
+        two = F.substring(F.regexp_replace(source, r"\D", ""), 1, 2)
+        return F.struct(source.alias("source"), F.when(two.isin(*t.SECTORS), two).alias("sector"))
+
+    return let(blank_to_null(stripped(c)), judged)
 
 
 def date(c: Column) -> Column:
     """UTC timestamp by the first form that fits; day before month where both would do."""
-    s = present(c, t.NO_DATE)
-    return F.coalesce(*(F.try_to_timestamp(s, F.lit(f)) for f in t.DATES))
+    return let(present(c, t.NO_DATE), lambda s: F.coalesce(*(F.try_to_timestamp(s, F.lit(f)) for f in t.DATES)))
 
 
 def iso(ts: Column) -> Column:

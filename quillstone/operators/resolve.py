@@ -1,7 +1,9 @@
-"""Entity resolution as a cascade of joins: exact identifiers, field pairs, names within postal blocks.
+"""Entity resolution as a cascade: exact identifiers, field pairs, names within postal blocks.
 
-Each step takes only the records that no step before it has matched. Every join is an equi-join whose
-two sides carry join keys and ids only; one answer per record comes from an aggregate, not a sort.
+A record's answer is that of the first step that has one. The steps on equal keys are one join: every
+record and entity is exploded into the keys it can meet by, each with the number of its step, and an
+aggregate takes the least step of a record. Only what is left is compared by similarity. A key's
+entities are reduced to one before the join, so no common key multiplies rows.
 """
 
 from __future__ import annotations
@@ -12,55 +14,54 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstone.functions import tables as t
 from quillstone.functions.normalise import blank_to_null
 
 THRESHOLD = 88
+#: The steps on equal keys, in their order: rule, confidence, score.
+RULES = (("EXACT_IDENTIFIER", "HIGH", 100.0), ("DOMAIN_POSTAL", "MEDIUM", 90.0), ("PHONE_POSTAL", "MEDIUM", 85.0), ("NAME_ADDRESS", "MEDIUM", 80.0))
 
 
-def identifiers(records: DataFrame) -> DataFrame:
-    """(record_id, priority, id_type, id_value, scope) of each record, the strongest first; licence ids hold within their source."""
-    strong = F.array(
-        F.struct(F.lit(1).alias("priority"), F.lit("CORP_NUMBER").alias("id_type"), blank_to_null(F.trim("corp_number")).alias("id_value"), F.lit("").alias("scope")),
-        F.struct(F.lit(2).alias("priority"), F.lit("BN").alias("id_type"), blank_to_null(F.trim("bn")).alias("id_value"), F.lit("").alias("scope")),
-        F.struct(F.lit(3).alias("priority"), F.lit("LICENCE_ID").alias("id_type"), F.col("record_id").alias("id_value"), F.col("source_key").alias("scope")),
-    )
-    return records.select("record_id", F.inline(F.filter(strong, lambda x: x["id_value"].isNotNull())))
+def match_keys(df: DataFrame, id_col: str, steps: tuple[int, ...]) -> DataFrame:
+    """(id_col, step, priority, kind, a, b): all keys by which a row can be matched; licence ids hold within their source."""
+    def one(step: int, priority: int, kind: str, a: Column, b: Column) -> Column:
+        return F.struct(F.lit(step).alias("step"), F.lit(priority).alias("priority"), F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
 
+    none = F.lit("")
+    keys = {
+        0: [one(0, 1, "CORP_NUMBER", blank_to_null(F.trim("corp_number")), none), one(0, 2, "BN", blank_to_null(F.trim("bn")), none), one(0, 3, "LICENCE_ID", F.col(id_col), F.col("source_key"))],
+        1: [one(1, 1, "DOMAIN", F.col("domain"), F.col("postal_code"))],
+        2: [one(2, 1, "PHONE", F.col("phone"), F.col("postal_code"))],
+        3: [one(3, 1, "NAME", F.col(c), F.col("normalised_address")) for c in ("legal_name", "trade_name")],
+    }
+    whole = F.filter(F.array(*(k for s in steps for k in keys[s])), lambda x: x["a"].isNotNull() & x["b"].isNotNull())
+    return df.select(id_col, F.inline(whole))
 
-def _one(pairs: DataFrame, rule: str, confidence: str, score: int | Column, best: Column | None = None) -> DataFrame:
-    """The answer of each record: the smallest by ``best``, then by entity."""
-    order = F.struct(best, "entity_id") if best is not None else F.struct("entity_id")
-    score = F.lit(float(score)) if isinstance(score, int) else score
-    found = pairs.withColumn("_s", score).groupBy("record_id").agg(F.min_by(F.struct("entity_id", "_s"), order).alias("m"))
-    return found.select("record_id", F.col("m.entity_id").alias("entity_id"), F.lit(rule).alias("rule"), F.lit(confidence).alias("confidence"), F.col("m._s").alias("score"))
 
-
-def match_exact(records: DataFrame, entities: DataFrame) -> DataFrame:
-    own = identifiers(entities.withColumn("record_id", F.col("entity_id"))).select(F.col("record_id").alias("entity_id"), "id_type", "id_value", "scope")
-    return _one(identifiers(records).join(own, ["id_type", "id_value", "scope"]), "EXACT_IDENTIFIER", "HIGH", 100, F.col("priority"))
+def match(records: DataFrame, entities: DataFrame, steps: tuple[int, ...] = (0, 1, 2, 3)) -> DataFrame:
+    """(record_id, entity_id, rule, confidence, score) of the records that equal keys match: the first step, its strongest key, the smallest entity."""
+    known = match_keys(entities, "entity_id", steps).groupBy("kind", "a", "b").agg(F.min("entity_id").alias("entity_id"))
+    met = match_keys(records, "record_id", steps).join(known, ["kind", "a", "b"])
+    best = met.groupBy("record_id").agg(F.min(F.struct("step", "priority", "entity_id")).alias("m"))
+    of = lambda i: F.element_at(F.array(*(F.lit(r[i]) for r in RULES)), F.col("m.step") + 1)
+    return best.select("record_id", F.col("m.entity_id").alias("entity_id"), of(0).alias("rule"), of(1).alias("confidence"), of(2).alias("score"))
 
 
-def match_pair(records: DataFrame, entities: DataFrame, contact: str, rule: str, score: int) -> DataFrame:
-    """Equal contact (domain or phone) and postal code."""
-    keys = [contact, "postal_code"]
-    return _one(records.select("record_id", *keys).dropna().join(entities.select("entity_id", *keys).dropna(), keys), rule, "MEDIUM", score)
+def match_exact(records: DataFrame, entities: DataFrame) -> DataFrame:
+    return match(records, entities, (0,))
 
 
 def match_domain_postal(records: DataFrame, entities: DataFrame) -> DataFrame:
-    return match_pair(records, entities, "domain", "DOMAIN_POSTAL", 90)
+    return match(records, entities, (1,))
 
 
 def match_phone_postal(records: DataFrame, entities: DataFrame) -> DataFrame:
-    return match_pair(records, entities, "phone", "PHONE_POSTAL", 85)
+    return match(records, entities, (2,))
 
 
 def match_name_address(records: DataFrame, entities: DataFrame) -> DataFrame:
     """A name of the record among the names of the entity, and the same normalised address."""
-    def named(df: DataFrame, key: str) -> DataFrame:
-        names = F.array_distinct(F.array_compact(F.array("legal_name", "trade_name")))
-        return df.select(key, "normalised_address", F.explode(names).alias("name")).dropna()
-
-    return _one(named(records, "record_id").join(named(entities, "entity_id"), ["name", "normalised_address"]), "NAME_ADDRESS", "MEDIUM", 80)
+    return match(records, entities, (3,))
 
 
 def lcs(a: str, b: str) -> int:
@@ -91,49 +92,60 @@ def ratio(a: Column, b: Column) -> Column:
 
 
 def fuzzy_pairs(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs of a postal block (first three characters) whose sorted words are similar enough.
+    """(record_id, entity_id, score) of names that are similar enough, within a postal block (first three characters).
 
-    The edit distance with substitutions is never larger than the one without, so pairs beyond the
-    bound it gives cannot reach the threshold: the join drops them before any is scored.
+    Both names are compared with the record's postal code behind them, words sorted. The score allows
+    an indel distance of at most ``(100 - threshold)`` percent of both lengths; lengths further apart than that do not meet in the join, and
+    the edit distance with substitutions, which is never larger, drops pairs before any is scored. Nothing is lost by either.
     """
-    def keyed(df: DataFrame, key: str, to: str) -> DataFrame:
-        name = F.coalesce("legal_name", "trade_name")
-        return df.filter(name.isNotNull() & F.col("postal_code").isNotNull()).select(key, F.substring("postal_code", 1, 3).alias("fsa"), token_sorted(F.lower(name)).alias(to))
-
-    a, b = keyed(records, "record_id", "x"), keyed(entities, "entity_id", "y")
-    total = F.length("x") + F.length("y")
-    most = F.floor((100 - threshold) * total / 100).cast("int")
-    pairs = a.join(b, "fsa").filter((F.abs(F.length("x") - F.length("y")) <= most) & (F.levenshtein("x", "y") <= most))
-    return pairs.withColumn("score", F.round(ratio(F.col("x"), F.col("y")), 2)).filter(F.col("score") >= threshold)
+    fsa, words = F.upper(F.substring("postal_code", 1, 3)), lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
+    names = [F.col(c) for c in ("legal_name", "trade_name", "canonical_name")]
+    a = records.filter(F.coalesce(*names[:2]).isNotNull() & F.col("postal_code").isNotNull())
+    a = a.select("record_id", fsa.alias("fsa"), words(F.lower(F.coalesce(*names[:2]))).alias("x"), words(F.upper("postal_code")).alias("code"))
+    share, tail = (100 - threshold) / 100, F.length("code") + 1
+    low, high = (F.length("x") * (1 - share) - 2 * share * tail) / (1 + share), (F.length("x") * (1 + share) + 2 * share * tail) / (1 - share)
+    a = a.select("*", F.explode(F.sequence(F.greatest(F.ceil(low - 1e-6), F.lit(0)).cast("int"), F.floor(high + 1e-6).cast("int"))).alias("length"))
+    b = entities.filter(F.col("postal_code").isNotNull()).select("entity_id", fsa.alias("fsa"), words(F.lower(F.coalesce(*(c for c, n in zip(names, ("legal_name", "trade_name", "canonical_name"), strict=True) if n in entities.columns), F.lit("")))).alias("y"))
+    pairs = a.join(b.withColumn("length", F.length("y")), ["fsa", "length"])
+    pairs = pairs.select("record_id", "entity_id", *(token_sorted(F.concat_ws(" ", c, "code")).alias(c) for c in ("x", "y")))
+    pairs = pairs.filter(F.levenshtein("x", "y") <= F.floor(share * (F.length("x") + F.length("y")) + 1e-6))
+    return pairs.select("record_id", "entity_id", ratio(F.col("x"), F.col("y")).alias("score")).filter(F.col("score") >= threshold)
 
 
 def match_fuzzy(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    return _one(fuzzy_pairs(records, entities, threshold), "FUZZY_NAME", "LOW", F.col("score"), -F.col("score"))
+    """The highest score of each record, ties to the smallest entity."""
+    best = fuzzy_pairs(records, entities, threshold).groupBy("record_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "entity_id")).alias("m"))
+    return best.select("record_id", F.col("m.entity_id").alias("entity_id"), F.lit("FUZZY_NAME").alias("rule"), F.lit("LOW").alias("confidence"), F.round(-F.col("m.s"), 2).alias("score"))
 
 
-def has_identity() -> Column:
-    return F.coalesce("legal_name", "trade_name", blank_to_null(F.trim("corp_number")), blank_to_null(F.trim("bn"))).isNotNull()
+def has_identity(columns: list[str]) -> Column:
+    """Whether a record has a name or one of the five business ids, in a column of its own or among its ``extra`` values."""
+    ids = [blank_to_null(F.trim(c)) for c in t.IDENTITY_KEYS if c in columns]
+    if "extra" in columns:
+        ids += [blank_to_null(F.trim(F.col("extra")[k])) for k in t.IDENTITY_KEYS]
+    return F.coalesce("legal_name", "trade_name", *ids).isNotNull()
 
 
-STEPS = (match_exact, match_domain_postal, match_phone_postal, match_name_address, match_fuzzy)
 OUTCOME = {"HIGH": "MATCHED", "MEDIUM": "CANDIDATE", "LOW": "NEW"}
 
 
-def resolve(records: DataFrame, entities: DataFrame, steps=STEPS) -> DataFrame:
+def resolve(records: DataFrame, entities: DataFrame, fuzzy: bool = True) -> DataFrame:
     """One row per record: outcome, rule, confidence, score, and the entity it matched or is a candidate for.
 
     HIGH attaches to the entity; MEDIUM and LOW make a new entity with an edge to the one found; no
     match makes a new one; a record without name or identifier stays unresolved. Records are matched
-    against the given entities only, so the answer does not depend on their order.
+    against the given entities only, so the answer does not depend on their order. ``fuzzy``: whether
+    the records that no key matches are compared by name.
     """
-    found, left = None, records
-    for step in steps:
-        hit = step(left, entities)
-        found = hit if found is None else found.unionByName(hit)
-        left = left.join(hit.select("record_id"), "record_id", "left_anti")
-    none = F.when(has_identity(), "NEW").otherwise("UNRESOLVED")
+    wanted = ("record_id", "legal_name", "trade_name", "postal_code")
+    rows = records.select(*wanted, has_identity(records.columns).alias("identity")).join(match(records, entities), "record_id", "left")
+    if fuzzy:
+        near = match_fuzzy(rows.filter("rule is null").select(*wanted), entities)
+        answer = ("entity_id", "rule", "confidence", "score")
+        rows = rows.join(near.select("record_id", F.struct(*answer).alias("near")), "record_id", "left")
+        rows = rows.select("record_id", "identity", *(F.coalesce(c, f"near.{c}").alias(c) for c in answer))
     made = F.create_map(*[F.lit(x) for kv in OUTCOME.items() for x in kv])
-    rows = records.join(found, "record_id", "left")
+    none = F.when(F.col("identity"), "NEW").otherwise("UNRESOLVED")
     return rows.select("record_id", F.coalesce(made[F.col("confidence")], none).alias("outcome"), "rule", "confidence", "score", F.col("entity_id").alias("matched_entity"))
 
 

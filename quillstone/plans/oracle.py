@@ -188,7 +188,7 @@ SELECT source_key, count(*) AS n_rows, count(*) FILTER (WHERE NOT (a OR b OR c))
     "match_name_address": _w(STORES, "SELECT * FROM m4"),
     "resolve_exact_steps": _w(STORES, f""", hit AS ({_STEPS})
 SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THEN 'CANDIDATE' ELSE CASE WHEN {_HAS_ID} THEN 'NEW' ELSE 'UNRESOLVED' END END AS outcome, rule, confidence, score, entity_id AS matched_entity FROM new n LEFT JOIN hit USING (record_id)"""),
-    "identity_gate": _w(BASE, f"SELECT record_id, {_HAS_ID} AS has_identity FROM rec"),
+    "identity_gate": _w(BASE, "SELECT record_id, (row_key % 5 = 0 AND (n_legal IS NOT NULL OR n_trade IS NOT NULL)) OR row_key % 12 BETWEEN 1 AND 7 AS has_identity FROM rec"),
     "entity_children": _w(BASE, """SELECT * FROM (
   SELECT record_id, 'identifier' AS child, 'CORP_NUMBER' AS kind, nullif(trim(corp_number), '') AS value, 'HIGH' AS confidence FROM rec UNION ALL SELECT record_id, 'identifier', 'BN', nullif(trim(bn), ''), 'HIGH' FROM rec
   UNION ALL SELECT record_id, 'identifier', 'LICENCE_ID', record_id, 'HIGH' FROM rec UNION ALL SELECT record_id, 'location', 'OPERATING', whole, 'HIGH' FROM rec
@@ -214,7 +214,7 @@ SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THE
     "quality_badges": _w(ENTITIES, "SELECT CASE WHEN composite >= 70 THEN 'good' WHEN composite >= 40 THEN 'fair' ELSE 'poor' END AS badge, count(*) AS n, count(*) FILTER (WHERE sales_ready) AS n_ready FROM scored GROUP BY 1"),
     "list_businesses": _w(ENTITIES, """SELECT entity_id, canonical_name, province, city, composite, sales_ready, first_seen FROM scored
 WHERE status = 'ACTIVE' AND n_phone IS NOT NULL AND n_email IS NULL AND NOT dnc AND first_seen >= DATE '2024-01-01' ORDER BY first_seen DESC NULLS LAST, entity_id LIMIT 50"""),
-    "list_businesses_members": _w(ENTITIES, "SELECT entity_id, canonical_name, composite FROM scored WHERE province = 'AB' AND n_domain IS NOT NULL AND directors = 0 AND row_key % 2 = 1 AND first_seen IS NOT NULL"),
+    "list_businesses_members": _w(ENTITIES, "SELECT entity_id, canonical_name, composite FROM scored WHERE province = 'ON' AND n_domain IS NOT NULL AND directors = 0 AND row_key % 2 = 1 AND first_seen IS NOT NULL"),
     "business_detail": _w(ENTITIES, "SELECT e.entity_id, canonical_name, coalesce((SELECT string_agg(kind || ':' || value, '|' ORDER BY kind, value) FROM contacts c WHERE c.entity_id = e.entity_id), '') AS contacts, CASE WHEN first_seen IS NULL THEN 0::BIGINT ELSE 1 END AS n_events, CASE WHEN dnc THEN 1::BIGINT ELSE 0 END AS n_flags FROM ent e"),
     "flag_updates": _w(ENTITIES, "SELECT entity_id, 'DNC' AS flag_type FROM ent WHERE dnc AND row_key % 2 <> 0 UNION ALL SELECT entity_id, 'VIP' FROM ent WHERE row_key % 13 = 0"),
     "list_events": _w(ENTITIES, "SELECT entity_id, event_type, event_date FROM ev WHERE event_type = 'BUSINESS_DISCOVERED' AND event_date BETWEEN DATE '2024-01-01' AND DATE '2024-03-31' AND entity_id IN (SELECT entity_id FROM ent WHERE province = 'ON') ORDER BY event_date DESC NULLS FIRST, entity_id LIMIT 100"),

@@ -27,19 +27,50 @@ def test_lcs(a, b):
     assert resolve.lcs(a, b) == row[-1]
 
 
+def plain_score(name, other, code):
+    """Similarity of two names, each with the same code behind it, words sorted: by the textbook distance of insertions and deletions."""
+    x, y = (" ".join(sorted(f"{s.lower().strip()} {code.upper().strip()}".split())) for s in (name, other))
+    row = list(range(len(y) + 1))
+    for i, p in enumerate(x):
+        new = [i + 1]
+        for j, q in enumerate(y):
+            new.append(row[j] if p == q else 1 + min(row[j + 1], new[-1]))
+        row = new
+    return 100 * (1 - row[-1] / (len(x) + len(y)))
+
+
 def test_fuzzy_against_brute_force(spark, sf):
     new, known = q.stores(spark, sf)
-    got = {r["record_id"]: (r["entity_id"], r["score"]) for r in resolve.match_fuzzy(new, known).collect()}
-    key = lambda r: " ".join(sorted((r["legal_name"] or r["trade_name"]).lower().split()))
-    a, b = new.select("record_id", "legal_name", "trade_name", "postal_code").collect(), known.select("entity_id", "legal_name", "trade_name", "postal_code").collect()
-    want = {}
-    for x in a:
-        best = [(round(200 * resolve.lcs(key(x), key(y)) / (len(key(x)) + len(key(y))), 2), y["entity_id"]) for y in b if x["postal_code"] and y["postal_code"] and x["postal_code"][:3] == y["postal_code"][:3]]
-        best = [s for s in best if s[0] >= resolve.THRESHOLD]
-        if best:
-            score = max(s for s, _ in best)
-            want[x["record_id"]] = (min(e for s, e in best if s == score), score)
-    assert got == want
+    made = [("n1", "acme limited", None, "V6B 1A1"), ("n2", None, "b", "V6B 1A1"), ("n3", "acme limited", None, None), ("n4", None, None, "V6B 1A1"), ("n5", "one two three four", None, "v6b2b2"), ("n6", "solo", None, "V6B 1A1")]
+    kept = [("e1", "acme limted", None, "x", "V6B 9Z9"), ("e2", None, "acme  limitd", "x", "V6B 9Z9"), ("e3", None, None, "four three two one", "V6B 9Z9"), ("e4", None, None, None, "V6B 9Z9"), ("e5", "acme limited", None, "x", "V6C 1A1"), ("e6", None, None, "sola", "V6B 9Z9"), ("e0", "acme limted", None, "x", "V6B 9Z9")]
+    cases = [(new.limit(100), known.limit(400).withColumn("canonical_name", F.lit("unused"))), (spark.createDataFrame(made, "record_id string, legal_name string, trade_name string, postal_code string"), spark.createDataFrame(kept, "entity_id string, legal_name string, trade_name string, canonical_name string, postal_code string"))]
+    some = 0
+    for records_, entities in cases:
+        got = {r["record_id"]: (r["entity_id"], r["score"], r["confidence"]) for r in resolve.match_fuzzy(records_, entities).collect()}
+        a, b = records_.select("record_id", "legal_name", "trade_name", "postal_code").collect(), entities.select("entity_id", "legal_name", "trade_name", "canonical_name", "postal_code").collect()
+        want = {}
+        for x in a:
+            name, code = x["legal_name"] or x["trade_name"], x["postal_code"]
+            if name and code:
+                scores = [(-plain_score(name, y["legal_name"] or y["trade_name"] or y["canonical_name"] or "", code), y["entity_id"]) for y in b if (y["postal_code"] or "").upper()[:3] == code[:3].upper()]
+                best = min((s for s in scores if s[0] <= -resolve.THRESHOLD), default=None)
+                if best:
+                    want[x["record_id"]] = (best[1], round(-best[0], 2), "LOW")
+        assert {k: (e, c) for k, (e, _, c) in got.items()} == {k: (e, c) for k, (e, _, c) in want.items()}
+        assert all(abs(got[k][1] - want[k][1]) <= 0.011 for k in got)
+        some += len(got)
+    assert set(got) == {"n1", "n5", "n6"} and got["n1"][0] == "e0" and some > 3
+
+
+def test_plans_are_linear(spark, sf):
+    """Scans and regular expressions of the record plans, counted: they must not multiply with the steps that read them."""
+    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    count = lambda df: (text(df).count("Relation ["), len(__import__("re").findall(r"regexp_|RLIKE|split\(", text(df))))
+    spark.conf.set("spark.sql.maxPlanStringLength", str(1 << 30))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    assert count(q.QUERIES["norm_address"](spark, sf))[1] <= 60
+    scans, patterns = count(q.QUERIES["resolve_exact_steps"](spark, sf))
+    assert scans <= 6 and patterns <= 600
 
 
 def test_each_record_has_one_outcome(spark, sf):
