@@ -102,9 +102,11 @@ def address(street_c: Column, city_c: Column, province_c: Column, postal_c: Colu
             x["city"].alias("city"), x["province"].alias("province"), code["code"].alias("postal_code"), code["valid"].alias("postal_valid"),
         )
 
-    raw = F.concat_ws(", ", *(F.when(stripped(x) != "", x) for x in (street_c, city_c, province_c, postal_c)))
-    parts = F.struct(street(street_c).alias("street"), city(city_c).alias("city"), province(province_c).alias("province"), postal(postal_c).alias("postal"), blank_to_null(raw).alias("raw"))
-    return let(parts, put_together)
+    def normal(r):
+        raw = F.concat_ws(", ", *(F.when(stripped(r[c]) != "", r[c]) for c in ("street", "city", "province", "postal")))
+        return F.struct(street(r["street"]).alias("street"), city(r["city"]).alias("city"), province(r["province"]).alias("province"), postal(r["postal"]).alias("postal"), blank_to_null(raw).alias("raw"))
+
+    return let(let(F.struct(street_c.alias("street"), city_c.alias("city"), province_c.alias("province"), postal_c.alias("postal")), normal), put_together)
 
 
 def phone(c: Column) -> Column:

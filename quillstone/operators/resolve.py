@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import tables as t
-from quillstone.functions.normalise import blank_to_null
+from quillstone.functions.normalise import blank_to_null, let
 
 THRESHOLD = 88
 #: The steps on equal keys, in their order: rule, confidence, score.
@@ -77,8 +77,13 @@ def lcs(a: str, b: str) -> int:
     return len(a) - row.bit_count()
 
 
-def token_sorted(c: Column) -> Column:
-    return F.array_join(F.array_sort(F.filter(F.split(c, r"\s+"), lambda w: w != "")), " ")
+def words_of(c: Column) -> Column:
+    return F.array_remove(F.split(c, r"\s+"), "")
+
+
+def key_of(*words: Column) -> Column:
+    """The words of all arrays, sorted and joined."""
+    return F.array_join(F.sort_array(F.concat(*words)), " ")
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -88,28 +93,33 @@ def ratio(a: Column, b: Column) -> Column:
         for x, y in pairs:
             yield pd.Series([200.0 * lcs(p, q) / (len(p) + len(q)) if p or q else 100.0 for p, q in zip(x, y, strict=True)], dtype="float64")
 
-    return score(a, b)
+    # So called, it is not copied into a filter on its result.
+    return score.asNondeterministic()(a, b)
 
 
-def fuzzy_pairs(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+def fuzzy_pairs(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD, salts: int = 8) -> DataFrame:
     """(record_id, entity_id, score) of names that are similar enough, within a postal block (first three characters).
 
     Both names are compared with the record's postal code behind them, words sorted. The score allows
     an indel distance of at most ``(100 - threshold)`` percent of both lengths; lengths further apart than that do not meet in the join, and
     the edit distance with substitutions, which is never larger, drops pairs before any is scored. Nothing is lost by either.
+    A block's records are dealt over ``salts`` tasks, so that a common postal code is not one task's work; pairs to score are dealt by record.
     """
-    fsa, words = F.upper(F.substring("postal_code", 1, 3)), lambda c: F.trim(F.regexp_replace(c, r"\s+", " "))
+    fsa, length = F.upper(F.substring("postal_code", 1, 3)), F.length(F.array_join("words", " "))
     names = [F.col(c) for c in ("legal_name", "trade_name", "canonical_name")]
     a = records.filter(F.coalesce(*names[:2]).isNotNull() & F.col("postal_code").isNotNull())
-    a = a.select("record_id", fsa.alias("fsa"), words(F.lower(F.coalesce(*names[:2]))).alias("x"), words(F.upper("postal_code")).alias("code"))
-    share, tail = (100 - threshold) / 100, F.length("code") + 1
-    low, high = (F.length("x") * (1 - share) - 2 * share * tail) / (1 + share), (F.length("x") * (1 + share) + 2 * share * tail) / (1 - share)
-    a = a.select("*", F.explode(F.sequence(F.greatest(F.ceil(low - 1e-6), F.lit(0)).cast("int"), F.floor(high + 1e-6).cast("int"))).alias("length"))
-    b = entities.filter(F.col("postal_code").isNotNull()).select("entity_id", fsa.alias("fsa"), words(F.lower(F.coalesce(*(c for c, n in zip(names, ("legal_name", "trade_name", "canonical_name"), strict=True) if n in entities.columns), F.lit("")))).alias("y"))
-    pairs = a.join(b.withColumn("length", F.length("y")), ["fsa", "length"])
-    pairs = pairs.select("record_id", "entity_id", *(token_sorted(F.concat_ws(" ", c, "code")).alias(c) for c in ("x", "y")))
-    pairs = pairs.filter(F.levenshtein("x", "y") <= F.floor(share * (F.length("x") + F.length("y")) + 1e-6))
-    return pairs.select("record_id", "entity_id", ratio(F.col("x"), F.col("y")).alias("score")).filter(F.col("score") >= threshold)
+    a = a.select("record_id", fsa.alias("fsa"), words_of(F.lower(F.coalesce(*names[:2]))).alias("words"), words_of(F.upper("postal_code")).alias("code"))
+    share, tail = (100 - threshold) / 100, F.length(F.array_join("code", " ")) + 1
+    low, high = (length * (1 - share) - 2 * share * tail) / (1 + share), (length * (1 + share) + 2 * share * tail) / (1 - share)
+    a = a.select("record_id", "fsa", "code", key_of(F.col("words"), F.col("code")).alias("x"), F.explode(F.sequence(F.greatest(F.ceil(low - 1e-6), F.lit(0)).cast("int"), F.floor(high + 1e-6).cast("int"))).alias("length"))
+    b = entities.filter(F.col("postal_code").isNotNull()).select("entity_id", fsa.alias("fsa"), words_of(F.lower(F.coalesce(*(c for c, n in zip(names, ("legal_name", "trade_name", "canonical_name"), strict=True) if n in entities.columns), F.lit("")))).alias("words"))
+    a = a.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(salts)).cast("int"))
+    b = b.select("*", length.alias("length"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    pairs = a.join(b, ["fsa", "length", "salt"])
+    close = lambda k: F.when(F.levenshtein(k["x"], k["y"]) <= F.floor(share * (F.length(k["x"]) + F.length(k["y"])) + 1e-6), k)
+    keys = F.struct("x", key_of(F.col("words"), F.col("code")).alias("y"))
+    pairs = pairs.select("record_id", "entity_id", let(keys, close).alias("k")).filter("k is not null").repartition("record_id")
+    return pairs.select("record_id", "entity_id", ratio(F.col("k.x"), F.col("k.y")).alias("score")).filter(F.col("score") >= threshold)
 
 
 def match_fuzzy(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
