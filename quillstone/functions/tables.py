@@ -110,10 +110,14 @@ PERSON_STOP = (
     "bootstrap", "webpack", "module", "export", "import", "cookie", "privacy", "terms", "copyright", "all rights", "site map", "site by", "powered by", "skip to", "menu", "home page", "contact us",
     "about us", "our team", "our staff",
 )
-ROLES = (
-    "CEO", "President", "Founder", "Owner", "Director", "Manager", "Partner", "Principal", "Associate", "Consultant", "Coordinator", "Administrator", r"General\s+Manager", r"Operations\s+Manager",
-    r"Office\s+Manager", r"IT\s+(?:Manager|Director)", "Procurement", "Controller",
-)
+PERSON = (
+    r"(?i)\b([A-Z][a-z]{1,20})\s+([A-Z][a-z]{1,25})\b[\s,\-|:]+\b("
+    r"CEO|President|Founder|Owner|Director|Manager|Partner|Principal|Associate|Consultant|Coordinator|Administrator|General\s+Manager|Operations\s+Manager|Office\s+Manager|IT\s+(?:Manager|Director)|Procurement|Controller"
+    r")\b"
+)
+LEADERS = r"(?i)\b(CEO|President|Founder|Owner|Director|Principal|Partner|Chief)\b"
+LD_JSON = r"(?is)<script[^>]+type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
+EMAIL_IN_TEXT = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 NAME_NOISE = ("inc", "ltd", "ltee", "the", "and", "de", "et", "co", "corp", "company")
 ASSET_SUFFIXES = (".png", ".jpg", ".gif", ".css")
 PAGE_PHONE = r"(?<!\d)(?:\+?1[\s\-.]?)?\(?([2-9]\d{2})\)?[\s\-.]?([2-9]\d{2})[\s\-.]?(\d{4})(?!\d)"

@@ -12,19 +12,10 @@ from pyspark.sql import types as T
 
 from quillstone.functions import tables as t
 
-LD_JSON = r"(?is)<script[^>]+type=[\"']application/ld\+json[\"'][^>]*>(.*?)</script>"
-PERSON = rf"(?i)\b([A-Z][a-z]{{1,20}})\s+([A-Z][a-z]{{1,25}})\b[\s,\-|:]+\b({'|'.join(t.ROLES)})\b"
-LEADERS = r"(?i)\b(CEO|President|Founder|Owner|Director|Principal|Partner|Chief)\b"
-
-
 def all_of(c: Column, pattern: str, group: int) -> Column:
     return F.regexp_extract_all(c, F.lit(pattern), F.lit(group))
 
 
-def ordered_distinct(c: Column) -> Column:
-    return F.array_distinct(c)
-
-
 def mailto(html: Column) -> Column:
     """Distinct addresses of mailto links, sorted."""
     return F.array_sort(F.array_distinct(all_of(html, t.MAILTO, 1)))
@@ -38,7 +29,7 @@ def phones(html: Column) -> Column:
 
 def persons(html: Column) -> Column:
     """array<struct<name, role>> of names that stand before a title, without those that hold a stop word."""
-    zipped = F.arrays_zip(all_of(html, PERSON, 0).alias("whole"), all_of(html, PERSON, 1).alias("first"), all_of(html, PERSON, 2).alias("last"), all_of(html, PERSON, 3).alias("role"))
+    zipped = F.arrays_zip(all_of(html, t.PERSON, 0).alias("whole"), all_of(html, t.PERSON, 1).alias("first"), all_of(html, t.PERSON, 2).alias("last"), all_of(html, t.PERSON, 3).alias("role"))
     stop = F.array(*map(F.lit, t.PERSON_STOP))
     name = lambda x: F.concat_ws(" ", x["first"], x["last"])
     clean = F.filter(zipped, lambda x: ~F.exists(stop, lambda w: F.lower(x["whole"]).contains(w) | F.lower(name(x)).contains(w)))
@@ -93,7 +84,7 @@ def _ld_persons(blocks: pd.Series) -> pd.Series:
 
 def ld_blocks(html: Column) -> Column:
     """Only these blocks go to Python, where their depth does not matter."""
-    return all_of(html, LD_JSON, 1)
+    return all_of(html, t.LD_JSON, 1)
 
 
 def ld_emails(html: Column) -> Column:
@@ -110,20 +101,17 @@ def page_text(html: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(text, r"<[^>]*>", " "), r"\s+", " "))
 
 
-EMAIL_IN_TEXT = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
-
-
 def page_emails(html: Column, most: int = 10) -> Column:
     """Addresses in the text, in mailto links and at the top of JSON-LD, without names of assets; sorted, the first ``most``."""
     top = F.transform(ld_blocks(html), lambda b: F.get_json_object(b, "$.email"))
-    found = F.array_union(F.array_union(all_of(page_text(html), EMAIL_IN_TEXT, 0), mailto(html)), F.array_compact(top))
+    found = F.array_union(F.array_union(all_of(page_text(html), t.EMAIL_IN_TEXT, 0), mailto(html)), F.array_compact(top))
     asset = lambda e: F.lower(e).rlike("(" + "|".join(s.replace(".", r"\.") for s in t.ASSET_SUFFIXES) + ")$")
     return F.slice(F.array_sort(F.filter(found, lambda e: ~asset(e))), 1, most)
 
 
 def leadership(html: Column, most: int = 5) -> Column:
     """The first sentences that name a title, at most 200 characters of each."""
-    lines = F.filter(F.split(page_text(html), r"\."), lambda s: s.rlike(LEADERS))
+    lines = F.filter(F.split(page_text(html), r"\."), lambda s: s.rlike(t.LEADERS))
     return F.slice(F.transform(lines, lambda s: F.substring(F.trim(s), 1, 200)), 1, most)
 
 

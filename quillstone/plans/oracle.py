@@ -286,3 +286,38 @@ SELECT 'e' || record_id AS event_id, record_id AS entity_id, corp_number FROM la
 SELECT record_id AS entity_id, CASE WHEN row_key % 11 <> 0 THEN n_legal END AS business_name, CASE WHEN row_key % 2 = 0 THEN CAST(row_key AS VARCHAR) END AS bc_reg_id FROM rec
 WHERE n_province = 'BC' AND NOT (row_key % 5 <> 0 AND row_key % 7 < 3) AND (row_key % 2 = 0 OR (row_key % 11 <> 0 AND n_legal IS NOT NULL)) ORDER BY entity_id, bc_reg_id LIMIT 25"""),
 }
+
+
+def _sql(pattern: str) -> str:
+    return pattern.replace("'", "''")
+
+
+def _text(html: str) -> str:
+    bare = rf"regexp_replace(regexp_replace({html}, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g')"
+    return rf"trim(regexp_replace(regexp_replace({bare}, '<[^>]*>', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+_ASSETS = " AND ".join(f"NOT lower(e) LIKE '%{s}'" for s in t.ASSET_SUFFIXES)
+_HOST = r"regexp_replace(lower(regexp_extract(u, '^https?://([^/?#]+)', 1)), '^www\.', '')"
+_STOPPED = " OR ".join(f"contains(lower(x.w), '{w}') OR contains(lower(x.a || ' ' || x.b), '{w}')" for w in t.PERSON_STOP)
+
+ORACLE_SQL |= {
+    "page_emails": rf"""WITH p AS (SELECT page_id, html, {_text("html")} AS body FROM pages),
+e AS (SELECT page_id, unnest(regexp_extract_all(body, '{t.EMAIL_IN_TEXT}')) AS e FROM p UNION SELECT page_id, unnest(regexp_extract_all(html, '{t.MAILTO}', 1)) FROM p
+  UNION SELECT page_id, CASE WHEN json_valid(b) THEN json_extract_string(b, '$.email') END FROM (SELECT page_id, unnest(regexp_extract_all(html, '{_sql(t.LD_JSON)}', 1)) AS b FROM p)),
+r AS (SELECT page_id, e, row_number() OVER (PARTITION BY page_id ORDER BY e) AS k FROM e WHERE e IS NOT NULL AND {_ASSETS})
+SELECT p.page_id, coalesce(string_agg(e, '|' ORDER BY e), '') AS emails FROM p LEFT JOIN r ON p.page_id = r.page_id AND k <= 10 GROUP BY p.page_id""",
+    "page_leadership": rf"""SELECT page_id, array_to_string(list_transform(list_filter(string_split({_text("html || '<p>Our president is here. No.</p>'")}, '.'), lambda s: regexp_matches(s, '{t.LEADERS}'))[1:5], lambda s: substr(trim(s), 1, 200)), '|') AS sentences FROM pages""",
+    "page_persons": rf"""WITH p AS (SELECT page_id, html || '<p>Jane Smith, President of us. Privacy Terms - Manager</p>' AS h FROM pages),
+x AS (SELECT page_id, list_zip({", ".join(f"regexp_extract_all(h, '{t.PERSON}', {g})" for g in range(4))}) AS z FROM p)
+SELECT page_id, array_to_string(list_transform(list_filter(list_transform(z, lambda y: {{'w': y[1], 'a': y[2], 'b': y[3], 'r': y[4]}}), lambda x: NOT ({_STOPPED})), lambda x: x.a || ' ' || x.b || ':' || x.r), '|') AS persons FROM x""",
+    "page_link_domains": rf"""WITH p AS (SELECT page_id, html || '<a class="r" href="/l/?uddg=https%3A%2F%2Fwww.shop' || (page_id % 9) || '.example.ca%2Fx&amp;rut=1">a</a><a href="https://www.facebook.com/x">b</a><a href="' || coalesce(url, '') || '">c</a>' AS h FROM pages),
+l AS (SELECT page_id, unnest(regexp_extract_all(h, '(?i)<a\b[^>]*?\bhref=["'']([^"'']*)["'']', 1)) AS href, generate_subscripts(regexp_extract_all(h, '(?i)<a\b[^>]*?\bhref=["'']([^"'']*)["'']', 1), 1) AS k FROM p),
+d AS (SELECT page_id, k, CASE WHEN contains(href, '/l/?uddg=') OR contains(href, '/l/?kh=') THEN url_decode(regexp_extract(replace(href, '&amp;', '&'), '[?&](?:uddg|u)=([^&]*)', 1)) WHEN href LIKE 'http%' THEN href END AS w FROM l),
+u AS (SELECT page_id, k, regexp_extract(w, '^(https?://[^/?#]+)', 1) AS u FROM d WHERE w IS NOT NULL),
+f AS (SELECT page_id, u, min(k) AS k FROM u WHERE contains({_HOST}, '.') AND NOT ({" OR ".join(f"contains({_HOST}, '{x}')" for x in t.EXCLUDED_DOMAINS)}) GROUP BY page_id, u),
+r AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY k) AS place FROM f)
+SELECT p.page_id, coalesce(string_agg(u, '|' ORDER BY place), '') AS domains FROM p LEFT JOIN r ON p.page_id = r.page_id AND place <= 8 GROUP BY p.page_id""",
+    "domain_verification": rf"""WITH p AS (SELECT page_id, lower({_text("html")}) AS body, list_filter(regexp_split_to_array(lower('The ' || substr(html, 200, 12) || ' article Inc'), '\W+'), lambda w: length(w) > 2 AND w NOT IN {_in(t.NAME_NOISE)}) AS words FROM pages)
+SELECT page_id, CASE WHEN len(list_filter(words, lambda w: contains(body, w))) >= 2 AND (contains(body, 'nowhere') OR contains(body, 'the')) THEN 'VERIFIED' WHEN len(list_filter(words, lambda w: contains(body, w))) >= 1 THEN 'PLAUSIBLE' ELSE 'NOT_VERIFIED' END AS verdict FROM p""",
+}
