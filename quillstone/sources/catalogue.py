@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillstone.operators import records
 from quillstone.sources import readers
@@ -22,6 +23,10 @@ class Source:
     event_only: bool = False
     keep_case: bool = False
     gated: bool = False
+    #: How it lands: a text table, a workbook, pages with a table, filing texts, or JSON answers, one a line, of directors or credentials.
+    form: str = "table"
+    #: Ids repeat within a file: the record id also holds a hash of the row and its number among equal rows.
+    repeats: bool = False
 
 
 # --- fixed values: the source catalogue ----------------------------------------------------------
@@ -29,22 +34,22 @@ SOURCES = {
     s.key: s
     for s in (
         Source("calgary", "A", "LICENCE", ("licencenumber", "licence_number"), ("tradename", "jobstatusdesc"), "first_iss_dt"),
-        Source("edmonton", "A", "LICENCE", ("externalid",), ("business_name",), "originalissuedate"),
+        Source("edmonton", "A", "LICENCE", ("externalid",), ("business_name",), "originalissuedate", repeats=True),
         Source("vancouver", "A", "LICENCE", ("licencersn", "licence_id"), ("businessname", "status"), "issueddate"),
         Source("winnipeg", "B", "EVENT", ("licence_number", "licencenumber", "licence_id"), ("trade_name", "status"), "issue_date", "LICENCE_STATUS_CHANGE", event_only=True),
         Source("montreal", "A", "ESTABLISHMENT", ("id", "identifiant", "id_uev"), ("nom", "adresse")),
         Source("quebec_city_permits", "B", "EVENT", ("NUMERO_PERMIS",), ("NUMERO_PERMIS", "DATE_DELIVRANCE"), None, "MUNICIPAL_PERMIT_ISSUED", keep_case=True),
-        Source("saskatoon_all_biz", "A", "LICENCE", ("bus_lic_acct_id", "licence_number"), ("bus_lic_acct_id", "business_name")),
+        Source("saskatoon_all_biz", "A", "LICENCE", ("bus_lic_acct_id", "licence_number"), ("bus_lic_acct_id", "business_name"), form="workbook"),
         Source("saskatoon_new_biz", "B", "LICENCE", ("business_license_id",), ("business_name",), None, "MUNICIPAL_LICENCE_FIRST_ISSUE"),
         Source("corporations_canada_csv", "A", "CORPORATION", ("corp_num", "corporation_number"), ("corp_num", "corp_nme", "status")),
-        Source("corporations_canada_html", "B", "EVENT", ("corporation number",), ("name of corporation", "effective date"), None, "FEDERAL_INCORPORATION"),
-        Source("manitoba_weekly_pdf", "B", "EVENT", ("file_no",), ("company_name",), None, "PROVINCIAL_REGISTRATION"),
+        Source("corporations_canada_html", "B", "EVENT", ("corporation number",), ("name of corporation", "effective date"), None, "FEDERAL_INCORPORATION", form="pages"),
+        Source("manitoba_weekly_pdf", "B", "EVENT", ("file_no",), ("company_name",), None, "PROVINCIAL_REGISTRATION", form="filings"),
         Source("ontario_select_licence", "C", "LICENCE", ("licence_number",), ("legal_name",)),
         *(Source(f"ontario_{k}", "C", "LICENCE", ("licence_number",), ("name",)) for k in ("dairy_distributors", "dairy_plants", "meat_plants", "tobacco", "fuel", "csbif")),
         Source("bc_indigenous", "C", "CORPORATION", (), ("name",)),
         Source("nni", "C", "CORPORATION", ("business_number",), ("business_name",), gated=True),
-        Source("bc_orgbook", "C", "CORPORATION", ("topic_source_id",), ("legal_name",)),
-        Source("corporations_canada_api", "C", "CORPORATION", (), ("corp_number",)),
+        Source("bc_orgbook", "C", "CORPORATION", ("topic_id",), ("legal_name",), form="credentials"),
+        Source("corporations_canada_api", "C", "CORPORATION", ("source_record_id",), ("corp_number",), form="directors"),
     )
 }
 # --- fixed values: earlier reader names, by the source that reads them now ------------------------
@@ -62,15 +67,21 @@ def source(key: str) -> Source:
 
 
 def read(spark: SparkSession, key: str, path: str, terms: str = "CLEARED", **options) -> DataFrame:
-    """Raw records of a landed text table of a source; event-only sources keep status changes only."""
+    """Raw records of a source's landed files, in the form they land in; event-only sources keep status changes only."""
     s = source(key)
     if s.gated:
         records.guard_terms(terms)
-    rows = readers.read_table(spark, path, keep_case=s.keep_case, **options)
-    if s.event_only:
-        rows = records.status_events(rows, rows["status"])
-    elif s.event_type:
-        from pyspark.sql import functions as F
-
-        rows = rows.withColumn("event_type", F.lit(s.event_type))
-    return readers.as_payload(rows, s.key, s.grain, list(s.ids))
+    if s.form == "workbook":
+        rows, payload = readers.workbooks(spark, path).select("row"), F.col("row")
+    elif s.form == "pages":
+        rows, payload = readers.page_tables(readers.texts(spark, path), "text", lower=True).select("row"), F.col("row")
+    else:
+        of = {"table": lambda: readers.read_table(spark, path, keep_case=s.keep_case, **options), "filings": lambda: readers.filings(readers.texts(spark, path), "path").drop("path")}
+        of |= {"directors": lambda: readers.directors(spark.read.text(path), "value"), "credentials": lambda: readers.latest_credentials(spark.read.text(path), "value")}
+        rows = of[s.form]()
+        if s.event_only:
+            rows = records.status_events(rows, rows["status"])
+        payload = readers.row_map(rows)
+    if s.event_type and not s.event_only:
+        payload = F.map_concat(F.map_filter(payload, lambda k, v: k != "event_type"), F.create_map(F.lit("event_type"), F.lit(s.event_type)))
+    return readers.raw_records(rows, payload, s.key, s.grain, list(s.ids), s.repeats)

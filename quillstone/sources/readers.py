@@ -17,7 +17,7 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import tables as t
@@ -79,12 +79,36 @@ def projected(df: DataFrame, columns: dict[str, str], absent: tuple[str, ...], r
     return rows.filter(F.col(required) != "")
 
 
-def as_payload(df: DataFrame, source_key: str, grain: str, ids: list[str]) -> DataFrame:
-    """Raw records: source_key, grain, source_record_id, raw_payload (a map of all columns)."""
-    payload = F.map_from_arrays(F.array(*map(F.lit, df.columns)), F.array(*(F.col(f"`{c}`").cast("string") for c in df.columns)))
-    known = [blank_to_null(F.trim(F.col(f"`{c}`"))) for c in ids if c in df.columns]
-    rid = F.coalesce(*known, F.substring(F.sha2(F.to_json(payload), 256), 1, 32))
-    return df.select(F.lit(source_key).alias("source_key"), F.lit(grain).alias("grain"), rid.alias("source_record_id"), payload.alias("raw_payload"))
+def texts(spark: SparkSession, path: str) -> DataFrame:
+    """(path, text) of whole text files."""
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+
+
+def row_map(df: DataFrame) -> Column:
+    """All columns as a map of texts."""
+    return F.map_from_arrays(F.array(*map(F.lit, df.columns)), F.array(*(F.col(f"`{c}`").cast("string") for c in df.columns)))
+
+
+def raw_records(df: DataFrame, payload: Column, source_key: str, grain: str, ids: list[str], repeats: bool = False) -> DataFrame:
+    """Raw records: source_key, grain, source_record_id, raw_payload.
+
+    The id is the first value among ``ids``, else a hash of the row. ``repeats``: id, hash of the row and the
+    number among rows that are equal, joined by colons, so that no two rows share an id.
+    """
+    digest = F.substring(F.sha2(F.to_json("raw_payload"), 256), 1, 32)
+    rows = df.select(payload.alias("raw_payload"))
+    known = F.coalesce(*(blank_to_null(F.trim(F.col("raw_payload")[c])) for c in ids), F.lit(None).cast("string"))
+    rows = rows.select("raw_payload", known.alias("known"), digest.alias("digest"))
+    rid = F.coalesce("known", "digest")
+    if repeats:
+        place = F.row_number().over(Window.partitionBy("known", "digest").orderBy(F.lit(0)))  # rows of a window are alike
+        rid = F.concat_ws(":", F.coalesce("known", F.lit("")), "digest", place.cast("string"))
+    return rows.select(F.lit(source_key).alias("source_key"), F.lit(grain).alias("grain"), rid.alias("source_record_id"), "raw_payload")
+
+
+def as_payload(df: DataFrame, source_key: str, grain: str, ids: list[str], repeats: bool = False) -> DataFrame:
+    """``raw_records`` of a table."""
+    return raw_records(df, row_map(df), source_key, grain, ids, repeats)
 
 
 def directors(docs: DataFrame, json_col: str = "json") -> DataFrame:
@@ -158,13 +182,13 @@ def table_rows(html: str | None, headers: tuple[str, ...]) -> list[dict[str, str
     return []
 
 
-def page_tables(pages: DataFrame, html_col: str = "html", headers: tuple[str, ...] = t.INCORPORATION_HEADERS) -> DataFrame:
-    """All columns of ``pages`` but the markup, and a map per row of the wanted table."""
+def page_tables(pages: DataFrame, html_col: str = "html", headers: tuple[str, ...] = t.INCORPORATION_HEADERS, lower: bool = False) -> DataFrame:
+    """All columns of ``pages`` but the markup, and a map per row of the wanted table; ``lower``: by headers in lower case."""
     keep = [c for c in pages.columns if c != html_col]
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
-            f["row"] = [table_rows(h, headers) for h in f[html_col]]
+            f["row"] = [[{k.lower() if lower else k: v for k, v in r.items()} for r in table_rows(h, headers)] for h in f[html_col]]
             yield f.explode("row").dropna(subset=["row"])[[*keep, "row"]]
 
     schema = pages.select(*keep).withColumn("row", F.create_map().cast("map<string,string>")).schema

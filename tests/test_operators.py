@@ -221,3 +221,25 @@ def test_enrichment(spark):
     seen = spark.createDataFrame([(1, "legal_name", True, enrich.REGISTER), (4, "legal_name", True, None), (4, "legal_name", False, enrich.REGISTER)], "entity_id long, field string, is_current boolean, enrichment_source string")
     assert [r["entity_id"] for r in enrich.registers_due(entities, numbers, seen).collect()] == [4]
     assert enrich.registers_due(entities.limit(0), numbers, seen).count() == 0 and enrich.website_phones(pages.limit(0), contacts).count() == 0
+
+
+def test_sources_in_the_form_they_land_in(spark, tmp_path):
+    """Repeated ids, pages, filing texts and JSON answers become raw records through the catalogue."""
+    def landed(name, text):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "a.txt").write_text(text)
+        return str(tmp_path / name)
+
+    rows = catalogue.read(spark, "edmonton", landed("e", "externalid,business_name\n7,A\n7,A\n7,B\n,C\n")).collect()
+    ids = sorted(r["source_record_id"].split(":") for r in rows)
+    assert len({r["source_record_id"] for r in rows}) == 4 and [i[0] for i in ids] == ["", "7", "7", "7"] and sorted(i[2] for i in ids) == ["1", "1", "1", "2"]
+    head = "".join(f"<th>{h}</th>" for h in ("Corporation number", "Name of corporation", "Registered office", "Effective date"))
+    rows = catalogue.read(spark, "corporations_canada_html", landed("h", f"<table><tr>{head}</tr><tr><td>12</td><td>Acme</td><td>Ottawa</td><td>2024-01-02</td></tr></table>")).collect()
+    assert [(r["source_record_id"], r["raw_payload"]["name of corporation"], r["raw_payload"]["event_type"]) for r in rows] == [("12", "Acme", "FEDERAL_INCORPORATION")]
+    rows = catalogue.read(spark, "manitoba_weekly_pdf", landed("m", "INCORPORATIONS\nFile No. 55-A\nACME WORKS LTD.\nRegistered office: 1 Main\nDate: 2024-01-02\nDISSOLUTIONS\nFile No. 9\n")).collect()
+    assert [(r["source_record_id"], r["raw_payload"]["company_name"], r["raw_payload"]["event_type"]) for r in rows] == [("55-A", "ACME WORKS LTD.", "PROVINCIAL_REGISTRATION")]
+    answer = json.dumps({"corp_number": "5", "http_status": 200, "directors": [{"firstName": "A", "lastName": "B", "serviceAddress": "x"}]})
+    rows = catalogue.read(spark, "corporations_canada_api", landed("d", answer + "\n" + json.dumps({"corp_number": "6", "http_status": 404, "directors": []}))).collect()
+    assert sorted((r["raw_payload"]["corp_number"], r["raw_payload"]["director_name"] or "", r["source_record_id"][-3:]) for r in rows)[1] == ("6", "", "ors")
+    rows = catalogue.read(spark, "bc_orgbook", landed("o", json.dumps({"topic_id": "BC1", "credentials": [{"latest": True, "names": [{"text": "Acme"}], "attributes": [{"type": "entity_status", "value": "ACT"}]}]}))).collect()
+    assert [(r["source_record_id"], r["raw_payload"]["legal_name"], r["raw_payload"]["status"]) for r in rows] == [("BC1", "Acme", "ACTIVE")]
