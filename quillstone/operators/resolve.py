@@ -115,7 +115,8 @@ def fuzzy_pairs(records: DataFrame, entities: DataFrame, threshold: int = THRESH
     b = entities.filter(F.col("postal_code").isNotNull()).select("entity_id", fsa.alias("fsa"), words_of(F.lower(F.coalesce(*(c for c, n in zip(names, ("legal_name", "trade_name", "canonical_name"), strict=True) if n in entities.columns), F.lit("")))).alias("words"))
     a = a.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(salts)).cast("int"))
     b = b.select("*", length.alias("length"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    pairs = a.join(b, ["fsa", "length", "salt"])
+    # Dealt as a join that shuffles wants it; where the records are few enough to broadcast, it spreads the comparing.
+    pairs = a.join(b.repartition("fsa", "length", "salt"), ["fsa", "length", "salt"])
     close = lambda k: F.when(F.levenshtein(k["x"], k["y"]) <= F.floor(share * (F.length(k["x"]) + F.length(k["y"])) + 1e-6), k)
     keys = F.struct("x", key_of(F.col("words"), F.col("code")).alias("y"))
     pairs = pairs.select("record_id", "entity_id", let(keys, close).alias("k")).filter("k is not null").repartition("record_id")
