@@ -98,9 +98,14 @@ TYPED_EVENTS = (
 FIRST_ISSUE = "MUNICIPAL_LICENCE_FIRST_ISSUE"
 NAME_FIELDS = ("legal_name", "trade_name")
 LOCATION_FIELDS = ("address", "city", "province", "postal_code")
+#: Payload keys that date, name and number an event where its normalised fields do not, tried in this order.
+EVENT_DATE_KEYS = ("effective date", "effective_date", "incorporation_date", "issue_date", "registration_date")
+EVENT_NAME_KEYS = ("name of corporation", "company_name", "business_name", "name")
+PERMIT_KEYS = ("NUMERO_PERMIS", "numero_permis", "permit_number")
 
 # --- fixed values: scores ------------------------------------------------------------------------
 CLASS_WEIGHT = {"A": 100, "B": 70, "C": 85, "D": 0}
+PRIMARY_ROLES = ("PRIMARY_CONTACT", "GENERAL_MANAGER", "PRESIDENT")
 RECENCY = ((30, 100), (90, 80), (180, 60), (365, 40), (730, 20))
 COMPOSITE = {"identity": 0.25, "address": 0.20, "phone": 0.15, "email": 0.10, "contact": 0.10, "recency": 0.10, "employee": 0.05, "industry": 0.05}
 

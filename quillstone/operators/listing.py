@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EXPORT = ("entity_id", "canonical_name", "province", "city", "status", "phone", "email", "domain", "composite", "sales_ready")
@@ -67,6 +67,18 @@ def page(rows: DataFrame, order: list[Column], number: int, size: int, most: int
     return rows.orderBy(*order).offset((max(1, number) - 1) * size).limit(size)
 
 
+def page_info(rows: DataFrame, number: int, size: int, most: int = MOST_BUSINESSES) -> DataFrame:
+    """One row: total, page, page_size, and next_cursor, the next page's number, null behind the last."""
+    number, size = max(1, number), max(1, min(size, most))
+    return rows.agg(F.count("*").alias("total")).select("total", F.lit(number).alias("page"), F.lit(size).alias("page_size"), F.when(F.col("total") > number * size, number + 1).alias("next_cursor"))
+
+
+def sources_of(records: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The records that contributed to the wanted entities, and their ``place``, newest first, ties to the smaller id."""
+    rows = _member(records, wanted, True)
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy("entity_id").orderBy(F.desc("created_at"), "record_id")))
+
+
 def detail(entities: DataFrame, **kids: DataFrame) -> DataFrame:
     """Entities with a sorted array of structs per child table, each aggregated before its join."""
     rows = entities

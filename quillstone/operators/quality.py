@@ -38,6 +38,45 @@ def reliability(classes: Column) -> Column:
     return F.coalesce(F.array_max(F.transform(classes, lambda c: F.coalesce(weights[c], F.lit(0)))), F.lit(0))
 
 
+def assembled(
+    entities: DataFrame, contacts: DataFrame, identifiers: DataFrame, locations: DataFrame, employees: DataFrame, industries: DataFrame, people: DataFrame, records: DataFrame, flags: DataFrame,
+) -> DataFrame:
+    """One row per entity with all that ``scores`` reads, from the tables of its parts.
+
+    The address is that of the primary location, else of the smallest location_id; without a location the entity's own province stands.
+    A contact is valid if any of its kind is. All parts go through one aggregation by entity: they shuffle once, reduced before.
+    ``entities``: entity_id, canonical_name, legal_name, entity_type, province, status, last_verified_at; ``contacts``: kind, value, is_valid;
+    ``identifiers``: kind, value; ``locations``: location_id, is_primary, address_line1, city, province, postal_code, latitude, longitude;
+    ``employees``: employee_bucket, employee_exact; ``industries``: naics, naics_sector; ``people``: role_type; ``records``: source_class; ``flags``: flag_type.
+    """
+    of = lambda kind, c: F.when(F.col("kind") == kind, F.col(c))
+    exact = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+    place = F.struct((~F.coalesce("is_primary", F.lit(False))).alias("rank"), "location_id", "address_line1", "city", "province", "postal_code", exact.alias("exact"))
+    parts = [
+        contacts.select("entity_id", *(of(k, "value").alias(c) for k, c in (("PHONE", "phone"), ("EMAIL", "email"), ("WEBSITE", "domain"))), of("PHONE", "is_valid").alias("phone_valid"), of("EMAIL", "is_valid").alias("email_valid")),
+        identifiers.select("entity_id", of("CORP_NUMBER", "value").alias("corp_number"), of("BN", "value").alias("bn")), locations.select("entity_id", place.alias("place")),
+        employees.select("entity_id", F.coalesce("employee_bucket", F.lit("")).alias("employee_bucket"), "employee_exact"), industries.select("entity_id", "naics", "naics_sector"),
+        people.select("entity_id", "role_type"), records.select("entity_id", "source_class"), flags.select("entity_id", "flag_type"),
+    ]
+    facts = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).groupBy("entity_id").agg(
+        *(F.max(c).alias(c) for c in ("phone", "email", "domain", "phone_valid", "email_valid", "corp_number", "bn", "employee_bucket", "employee_exact", "naics", "naics_sector")), F.min("place").alias("place"),
+        F.count_if(F.col("role_type") == "DIRECTOR").cast("int").alias("directors"), F.count_if(F.col("role_type").isin(*t.PRIMARY_ROLES)).alias("n_primary"),
+        F.collect_set("source_class").alias("source_classes"), F.count_if(F.col("flag_type") == "DNC").alias("n_dnc"),
+    )
+    rows = entities.withColumnRenamed("province", "own_province").join(facts, "entity_id", "left")
+    none = F.array().cast("array<string>")
+    return rows.select(
+        "entity_id", "canonical_name", "legal_name", "entity_type", "corp_number", "bn", "place.address_line1", "place.city", F.when(F.col("place").isNull(), F.col("own_province")).otherwise(F.col("place.province")).alias("province"), "place.postal_code",
+        F.coalesce("place.exact", F.lit(False)).alias("has_coordinates"), "phone", "phone_valid", "email", "email_valid", "domain", "employee_bucket", "employee_exact", "naics", "naics_sector", F.coalesce("directors", F.lit(0)).alias("directors"),
+        F.coalesce(F.col("n_primary") > 0, F.lit(False)).alias("has_primary_contact"), "last_verified_at", F.coalesce("source_classes", none).alias("source_classes"), "status", F.coalesce(F.col("n_dnc") > 0, F.lit(False)).alias("dnc"),
+    )
+
+
+def upserted(known: DataFrame, scored: DataFrame) -> DataFrame:
+    """The stored scores, those of newly scored entities replaced or added."""
+    return known.join(scored.select("entity_id"), "entity_id", "left_anti").unionByName(scored)
+
+
 def scores(entities: DataFrame, as_of: Column) -> DataFrame:
     """All component scores, the composite and sales readiness.
 

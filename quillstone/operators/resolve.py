@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import tables as t
 from quillstone.functions.normalise import blank_to_null, let
+from quillstone.operators import history
 
 THRESHOLD = 88
 #: The steps on equal keys, in their order: rule, confidence, score.
@@ -160,6 +161,39 @@ def resolve(records: DataFrame, entities: DataFrame, fuzzy: bool = True) -> Data
     return rows.select("record_id", F.coalesce(made[F.col("confidence")], none).alias("outcome"), "rule", "confidence", "score", F.col("entity_id").alias("matched_entity"))
 
 
+def to_resolve(records: DataFrame, run: int) -> DataFrame:
+    """The records of a run that resolution has still to answer: new ones, and those it could not resolve before."""
+    return records.filter((F.col("run_id") == run) & F.col("resolution_status").isin("PENDING", "UNRESOLVED"))
+
+
+def placed(records: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """``records`` with their outcome and ``entity_id``: the entity matched, else one of their own; null where they stay unresolved.
+
+    An own entity's id follows from the record's, so that a repeated run makes the same one.
+    """
+    rows = records.join(outcomes, "record_id")
+    own = F.concat(F.lit("entity:"), F.col("record_id"))
+    return rows.withColumn("entity_id", F.when(F.col("outcome") == "MATCHED", F.col("matched_entity")).when(F.col("outcome") != "UNRESOLVED", own))
+
+
+def new_entities(rows: DataFrame) -> DataFrame:
+    """The entities that ``placed`` records make: all but those matched or unresolved."""
+    made = rows.filter(F.col("outcome").isin("CANDIDATE", "NEW"))
+    name = F.coalesce("legal_name", "trade_name", "source_key")
+    return made.select("entity_id", name.alias("canonical_name"), "legal_name", "trade_name", "province", F.coalesce("status", F.lit("UNKNOWN")).alias("status"))
+
+
+def candidate_edges(rows: DataFrame) -> DataFrame:
+    """(entity_id_a, entity_id_b, ...): the entity found and the one made of the record, of MEDIUM and LOW matches, for review."""
+    near = rows.filter(F.col("confidence").isin("MEDIUM", "LOW"))
+    return near.select(F.col("matched_entity").alias("entity_id_a"), F.col("entity_id").alias("entity_id_b"), "confidence", F.col("rule").alias("match_method"), F.col("score").alias("match_score"), F.lit(False).alias("auto_resolved"))
+
+
+def record_observations(rows: DataFrame) -> DataFrame:
+    """(entity_id, record_id, confidence, field, raw_value, normalised_value) of ``placed`` records, those unresolved left out."""
+    return history.unpivot(rows.filter("entity_id is not null"), ("entity_id", "confidence"))
+
+
 def children(records: DataFrame) -> DataFrame:
     """Identifier, location and contact rows of new entities: (record_id, child, kind, value, confidence)."""
     def one(child: str, kind: str, value: Column, confidence: Column) -> Column:

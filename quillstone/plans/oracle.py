@@ -134,6 +134,7 @@ obs AS (
 cur AS (SELECT *, row_number() OVER (PARTITION BY entity_id, field ORDER BY observed_at DESC, observation_id DESC) = 1 AS is_current FROM obs),
 mine AS (SELECT * FROM cur WHERE run_id = 1 AND is_current),
 before AS (SELECT entity_id, field, last(value ORDER BY observed_at, observation_id) AS old_value FROM cur WHERE run_id <> 1 GROUP BY 1, 2),
+seen AS (SELECT entity_id, CAST(max(observed_at) AS DATE) AS last_seen FROM mine GROUP BY 1),
 chg AS (SELECT m.entity_id, m.field, b.old_value, m.value AS new_value, m.observed_at FROM mine m JOIN before b USING (entity_id, field) WHERE m.value IS DISTINCT FROM b.old_value)"""
 
 
@@ -188,6 +189,19 @@ SELECT source_key, count(*) AS n_rows, count(*) FILTER (WHERE NOT (a OR b OR c))
     "match_name_address": _w(STORES, "SELECT * FROM m4"),
     "resolve_exact_steps": _w(STORES, f""", hit AS ({_STEPS})
 SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THEN 'CANDIDATE' ELSE CASE WHEN {_HAS_ID} THEN 'NEW' ELSE 'UNRESOLVED' END END AS outcome, rule, confidence, score, entity_id AS matched_entity FROM new n LEFT JOIN hit USING (record_id)"""),
+    "resolution_entities": _w(STORES, f""", hit AS ({_STEPS})
+SELECT 'entity:' || n.record_id AS entity_id, coalesce(n_legal, n_trade, source_key) AS canonical_name, n_legal AS legal_name, n_trade AS trade_name, n_province AS province, coalesce(n_status, 'UNKNOWN') AS status
+FROM new n LEFT JOIN hit USING (record_id) WHERE confidence = 'MEDIUM' OR (confidence IS NULL AND {_HAS_ID})"""),
+    "resolution_edges": _w(STORES, f""", hit AS ({_STEPS})
+SELECT entity_id AS entity_id_a, 'entity:' || record_id AS entity_id_b, confidence, rule AS match_method, score AS match_score, false AS auto_resolved FROM hit WHERE confidence = 'MEDIUM'"""),
+    "resolution_observations": _w(STORES, f""", hit AS ({_STEPS}), own AS (
+  SELECT n.*, CASE confidence WHEN 'HIGH' THEN h.entity_id ELSE 'entity:' || n.record_id END AS entity_id, confidence FROM new n LEFT JOIN hit h USING (record_id) WHERE confidence IS NOT NULL OR {_HAS_ID}
+), o AS (
+""" + " UNION ALL ".join(f"SELECT entity_id, record_id, '{f}' AS field, nullif({raw}, '') AS raw_value, {own} AS normalised_value, {c} AS confidence, {late} AS late FROM {table}" for table, c, late in (("known", "NULL", "false"), ("own", "confidence", "true")) for f, raw, own in _OBSERVED) + """
+), p AS (SELECT * FROM o WHERE raw_value IS NOT NULL OR normalised_value IS NOT NULL)
+SELECT entity_id, record_id, field, normalised_value, confidence, row_number() OVER (PARTITION BY entity_id, field ORDER BY late DESC, record_id DESC) = 1 AS is_current FROM p"""),
+    "retry_set": _w(STORES, f""", hit AS ({_STEPS})
+SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THEN 'CANDIDATE' ELSE CASE WHEN {_HAS_ID} THEN 'NEW' ELSE 'UNRESOLVED' END END AS outcome, rule, entity_id AS matched_entity FROM new n LEFT JOIN hit USING (record_id) WHERE run_id = 1 AND row_key % 5 < 2"""),
     "identity_gate": _w(BASE, "SELECT record_id, (row_key % 5 = 0 AND (n_legal IS NOT NULL OR n_trade IS NOT NULL)) OR row_key % 12 BETWEEN 1 AND 7 AS has_identity FROM rec"),
     "entity_children": _w(BASE, """SELECT * FROM (
   SELECT record_id, 'identifier' AS child, 'CORP_NUMBER' AS kind, nullif(trim(corp_number), '') AS value, 'HIGH' AS confidence FROM rec UNION ALL SELECT record_id, 'identifier', 'BN', nullif(trim(bn), ''), 'HIGH' FROM rec
@@ -207,13 +221,26 @@ SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THE
   UNION SELECT entity_id, run_id, kind, event_date, coalesce(nm, CASE WHEN kind = 'MUNICIPAL_PERMIT_ISSUED' THEN permit END) FROM r WHERE kind <> 'OTHER' AND (is_event OR kind = '{t.FIRST_ISSUE}')
 ) SELECT * FROM e EXCEPT SELECT entity_id, run_id, 'BUSINESS_DISCOVERED', event_date, nm FROM r WHERE entity_id % 7 = 0"""),
     "field_changes": _w(OBS, "SELECT * FROM chg"),
-    "change_events": _w(OBS, """, g AS (
-  SELECT entity_id, bool_or(field = 'status') AS s, bool_or(field IN ('legal_name', 'trade_name')) AS n, bool_or(field IN ('address', 'city', 'province', 'postal_code')) AS l, CAST(max(observed_at) AS DATE) AS event_date, string_agg(field || '=' || coalesce(new_value, ''), ';' ORDER BY field || '=' || coalesce(new_value, '')) AS payload FROM chg GROUP BY 1
-) SELECT entity_id, 'BUSINESS_UPDATED' AS event_type, event_date, payload FROM g UNION ALL SELECT entity_id, 'STATUS_CHANGED', event_date, payload FROM g WHERE s UNION ALL SELECT entity_id, 'NAME_CHANGED', event_date, payload FROM g WHERE n UNION ALL SELECT entity_id, 'LOCATION_CHANGED', event_date, payload FROM g WHERE l"""),
+    "change_events": _w(OBS, """, k AS (
+  SELECT 'BUSINESS_UPDATED' AS event_type, * FROM chg UNION ALL SELECT 'STATUS_CHANGED', * FROM chg WHERE field = 'status' UNION ALL SELECT 'NAME_CHANGED', * FROM chg WHERE field IN ('legal_name', 'trade_name')
+  UNION ALL SELECT 'LOCATION_CHANGED', * FROM chg WHERE field IN ('address', 'city', 'province', 'postal_code')
+) SELECT entity_id, event_type, any_value(last_seen) AS event_date, '{' || string_agg('"' || field || '":' || coalesce('"' || new_value || '"', 'null'), ',' ORDER BY field) || '}' AS raw_value,
+  '{' || string_agg('"' || field || '":' || coalesce('"' || old_value || '"', 'null'), ',' ORDER BY field) || '}' AS previous_value FROM k JOIN seen USING (entity_id) GROUP BY 1, 2"""),
+    "status_history": _w(OBS, "SELECT entity_id, old_value AS old_status, coalesce(new_value, 'UNKNOWN') AS new_status, observed_at AS changed_at FROM chg WHERE field = 'status'"),
+    "event_fields": _w(BASE, f"""SELECT record_id,
+  CAST(coalesce(CASE WHEN row_key % 13 = 0 THEN DATE '2020-01-01' END, CASE WHEN row_key % 7 = 0 THEN CAST(n_date AS DATE) END, CASE WHEN row_key % 4 = 0 THEN CAST(n_date AS DATE) END, CASE WHEN row_key % 3 = 0 THEN DATE '2024-02-01' END) AS DATE) AS event_date,
+  coalesce(CASE WHEN row_key % 5 = 0 THEN n_legal END, CASE WHEN row_key % 11 = 0 THEN n_trade END, CASE WHEN row_key % 2 = 0 THEN legal_name END, CASE WHEN row_key % 3 = 0 THEN 'named' END) AS display_name,
+  'P' || row_key AS permit_number, CASE WHEN row_key % 3 = 0 THEN 'REGISTRY_FILING' WHEN row_key % 7 = 0 THEN '{t.FIRST_ISSUE}' END AS event_type FROM rec"""),
     "quality_scores": _w(ENTITIES, "SELECT entity_id, identity, address, phone_score, email_score, employee, industry, contact, recency, source_reliability, composite, sales_ready FROM scored"),
+    "quality_assembled": _w(ENTITIES, "SELECT entity_id, identity, address, phone_score, email_score, employee, industry, contact, recency, source_reliability, composite, sales_ready FROM scored"),
+    "quality_upserts": _w(ENTITIES, "SELECT entity_id, composite, sales_ready, DATE '2024-06-01' AS scored_at FROM scored WHERE composite >= 50 UNION ALL SELECT entity_id, 0, false, DATE '2024-01-01' FROM scored WHERE row_key % 2 = 0 AND composite < 50"),
     "quality_badges": _w(ENTITIES, "SELECT CASE WHEN composite >= 70 THEN 'good' WHEN composite >= 40 THEN 'fair' ELSE 'poor' END AS badge, count(*) AS n, count(*) FILTER (WHERE sales_ready) AS n_ready FROM scored GROUP BY 1"),
     "list_businesses": _w(ENTITIES, """SELECT entity_id, canonical_name, province, city, composite, sales_ready, first_seen FROM scored
 WHERE status = 'ACTIVE' AND n_phone IS NOT NULL AND n_email IS NULL AND NOT dnc AND first_seen >= DATE '2024-01-01' ORDER BY first_seen DESC NULLS LAST, entity_id LIMIT 50"""),
+    "list_businesses_total": _w(ENTITIES, """, n AS (SELECT count(*) AS total FROM scored WHERE status = 'ACTIVE' AND NOT dnc)
+SELECT total, 1 AS page, 10 AS page_size, CASE WHEN total > 10 THEN 2 END AS next_cursor FROM n UNION ALL SELECT total, 2, 10, CASE WHEN total > 20 THEN 3 END FROM n UNION ALL SELECT total, 1000000, 500, NULL FROM n"""),
+    "business_sources": _w(BASE, """SELECT row_key % 100 AS entity_id, record_id, source_key, run_id, CAST(DATE '2024-01-01' + CAST(row_key % 5 AS INT) AS DATE) AS created_at, row_number() OVER (PARTITION BY row_key % 100 ORDER BY row_key % 5 DESC, record_id) AS place
+FROM landing WHERE row_key % 10 <> 9 AND row_key % 100 < 50"""),
     "list_businesses_members": _w(ENTITIES, "SELECT entity_id, canonical_name, composite FROM scored WHERE province = 'ON' AND n_domain IS NOT NULL AND directors = 0 AND row_key % 2 = 1 AND first_seen IS NOT NULL"),
     "business_detail": _w(ENTITIES, "SELECT e.entity_id, canonical_name, coalesce((SELECT string_agg(kind || ':' || value, '|' ORDER BY kind, value) FROM contacts c WHERE c.entity_id = e.entity_id), '') AS contacts, CASE WHEN first_seen IS NULL THEN 0::BIGINT ELSE 1 END AS n_events, CASE WHEN dnc THEN 1::BIGINT ELSE 0 END AS n_flags FROM ent e"),
     "flag_updates": _w(ENTITIES, "SELECT entity_id, 'DNC' AS flag_type FROM ent WHERE dnc AND row_key % 2 <> 0 UNION ALL SELECT entity_id, 'VIP' FROM ent WHERE row_key % 13 = 0"),
@@ -254,6 +281,7 @@ SELECT count(*) AS n_rows, count(k.k) AS n_members, round_even(100 * count(k.k):
     "label_buckets": _w(BASE, f"SELECT DISTINCT employees, CASE WHEN {_LABEL} = '' THEN NULL " + " ".join(f"WHEN contains({_LABEL}, '{x}') OR contains('{x}', {_LABEL}) THEN '{x}'" for _, _, x in t.BUCKETS) + " " + " ".join(f"WHEN {_FIRST} >= {a} THEN '{x}'" for a, _, x in reversed(t.BUCKETS)) + " END AS bucket FROM landing"),
     "coverage_matrix": _w(BASE, f"SELECT p AS province, count(DISTINCT source_key) AS n_sources, count(source_key) = 0 AS gap FROM (SELECT unnest([{', '.join(repr(p) for p in t.PROVINCES)}]) AS p) LEFT JOIN rec ON n_province = p GROUP BY p"),
     "field_matrix": _w(BASE, "SELECT source_key, " + ", ".join(f"avg(CASE WHEN coalesce(trim({c}), '') <> '' THEN 1.0 ELSE 0 END) > 0.5 AS has_{c}" for c in ("trade_name", "street", "phone", "corp_number", "naics")) + " FROM landing GROUP BY 1"),
+    "resource_pick": "SELECT p_partkey, CASE WHEN p_partkey % 2 <> 0 THEN 'https://data.example.ca/3/' || p_partkey WHEN p_partkey % 3 = 0 THEN 'https://data.example.ca/4/' || p_partkey END AS url FROM part",
     "page_mailto": r"""SELECT page_id, coalesce(list_aggregate(list_sort(list_distinct(regexp_extract_all(html || '<a href="MAILTO:Info@' || page_id || '.example.com">x</a><a href="mailto:a.b@c.example.ca?subject=x">y</a>', '(?i)mailto:([a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,})', 1))), 'string_agg', '|'), '') AS emails FROM pages""",
 }
 

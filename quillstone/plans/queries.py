@@ -10,6 +10,7 @@ from quillstone.functions import tables as t
 from quillstone.operators import enrich, extract, history, listing, profile, quality, records, resolve
 from quillstone.operators.normalised import normalised
 from quillstone.plans.landing import landing
+from quillstone.sources import readers
 
 QUERIES: dict = {}
 AS_OF = "2024-06-01 00:00:00"
@@ -188,6 +189,41 @@ def resolve_exact_steps(spark, sf_dir):
     return resolve.resolve(*stores(spark, sf_dir), fuzzy=False)
 
 
+def exactly_placed(spark, sf_dir) -> DataFrame:
+    new, known = stores(spark, sf_dir)
+    return resolve.placed(new, resolve.resolve(new, known, fuzzy=False))
+
+
+@query
+def resolution_entities(spark, sf_dir):
+    return resolve.new_entities(exactly_placed(spark, sf_dir))
+
+
+@query
+def resolution_edges(spark, sf_dir):
+    return resolve.candidate_edges(exactly_placed(spark, sf_dir))
+
+
+@query
+def resolution_observations(spark, sf_dir):
+    """The known entities' observations with those of the records behind them, which expire them where a record was matched."""
+    _, known = stores(spark, sf_dir)
+    columns = ("entity_id", "record_id", "field", "normalised_value", "confidence", "is_current", "observed_at", "observation_id")
+    stamped = lambda rows, day: rows.withColumns({"observed_at": F.lit(day).cast("date"), "observation_id": F.col("record_id")})
+    before = stamped(history.unpivot(known, ("entity_id",)), "2024-01-01").withColumns({"confidence": F.lit(None).cast("string"), "is_current": F.lit(True)}).select(*columns)
+    added = stamped(resolve.record_observations(exactly_placed(spark, sf_dir)), "2024-02-01")
+    return history.appended(before, added).drop("observed_at", "observation_id")
+
+
+@query
+def retry_set(spark, sf_dir):
+    """What a run that begins again has to resolve, and what becomes of it."""
+    status = F.element_at(F.array(*map(F.lit, ("PENDING", "UNRESOLVED", "MATCHED", "NEW", "CANDIDATE"))), (F.col("row_key") % 5 + 1).cast("int"))
+    new, known = stores(spark, sf_dir)
+    due = resolve.to_resolve(new.withColumn("resolution_status", status), 1)
+    return resolve.resolve(due, known, fuzzy=False).select("record_id", "outcome", "rule", "matched_entity")
+
+
 @query
 def identity_gate(spark, sf_dir):
     """Names are left out of most rows, so that each of the five ids decides for some, as a column or among the extra values."""
@@ -253,7 +289,27 @@ def field_changes(spark, sf_dir):
 
 @query
 def change_events(spark, sf_dir):
-    return history.change_events(history.changes(history.with_current(observations(spark, sf_dir)), 1))
+    return history.change_events(history.compared(history.with_current(observations(spark, sf_dir)), 1))
+
+
+@query
+def status_history(spark, sf_dir):
+    return history.status_history(history.compared(history.with_current(observations(spark, sf_dir)), 1))
+
+
+@query
+def event_fields(spark, sf_dir):
+    k = F.col("row_key")
+    when = lambda n, c: F.when(k % n == 0, c)
+    payload = {
+        "effective date": when(4, F.col("raw_issued_date")), "issue_date": when(6, F.lit("no date")), "registration_date": when(3, F.lit("2024-02-01")), "company_name": when(2, F.col("raw_legal_name")), "name": when(3, F.lit("named")),
+        "numero_permis": when(5, F.lit("")), "permit_number": F.concat(F.lit("P"), k.cast("string")), "event_type": when(7, F.lit(t.FIRST_ISSUE)),
+    }
+    rows = norm(spark, sf_dir).select(
+        "record_id", when(5, F.col("legal_name")).alias("legal_name"), when(11, F.col("trade_name")).alias("trade_name"), when(7, F.col("issued_date")).alias("issued_date"), when(13, F.lit("2020-01-01").cast("timestamp")).alias("incorporation_date"),
+        F.create_map(F.lit("event_type"), when(3, F.lit("REGISTRY_FILING"))).alias("extra"), F.create_map(*(x for name, c in payload.items() for x in (F.lit(name), c))).alias("raw_payload"),
+    )
+    return history.event_fields(rows).select("record_id", "event_date", "display_name", "permit_number", "event_type")
 
 
 # --- quality and listing -------------------------------------------------------------------------
@@ -290,6 +346,32 @@ def quality_scores(spark, sf_dir):
     return scored(spark, sf_dir)
 
 
+@query
+def quality_assembled(spark, sf_dir):
+    """The same scores from tables of the entities' parts, one row per contact, identifier, location, person, source and flag."""
+    rows = entities(spark, sf_dir)
+    pairs = lambda *cs: F.inline(F.filter(F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value"), ok.alias("is_valid")) for kind, c, ok in cs)), lambda x: x["value"].isNotNull()))
+    no, k = F.lit(False), F.col("row_key")
+    contacts = rows.select("entity_id", pairs(("PHONE", "phone", F.col("phone_valid")), ("PHONE", "phone", no), ("EMAIL", "email", F.col("email_valid")), ("WEBSITE", "domain", no)))
+    spot = F.when(F.col("has_coordinates"), F.lit(49.0))
+    home = F.struct(F.lit(2).alias("location_id"), F.lit(True).alias("is_primary"), "address_line1", "city", "province", "postal_code", spot.alias("latitude"), spot.alias("longitude"))
+    other = F.struct(F.lit(1).alias("location_id"), F.lit(False).alias("is_primary"), *(F.lit("elsewhere").alias(c) for c in ("address_line1", "city", "province", "postal_code")), F.lit(1.0).alias("latitude"), F.lit(1.0).alias("longitude"))
+    roles = F.concat(F.array_repeat(F.lit("DIRECTOR"), F.col("directors")), F.when(F.col("has_primary_contact"), F.array(F.lit("PRESIDENT"))).otherwise(F.array(F.lit("CLERK"))))
+    whole = quality.assembled(
+        rows.select("entity_id", "canonical_name", "legal_name", "entity_type", F.lit("ON").alias("province"), "status", "last_verified_at"), contacts, rows.select("entity_id", pairs(("CORP_NUMBER", "corp_number", no), ("BN", "bn", no))).drop("is_valid"),
+        rows.select("entity_id", F.inline(F.when(k % 2 == 0, F.array(home, other)).otherwise(F.array(home)))), rows.filter("employee_bucket is not null").select("entity_id", "employee_bucket", "employee_exact"),
+        rows.select("entity_id", "naics", "naics_sector"), rows.select("entity_id", F.explode(roles).alias("role_type")), rows.select("entity_id", F.explode("source_classes").alias("source_class")), rows.filter("dnc").select("entity_id", F.lit("DNC").alias("flag_type")),
+    )
+    return quality.scores(whole, F.lit(AS_OF).cast("timestamp"))
+
+
+@query
+def quality_upserts(spark, sf_dir):
+    rows = scored(spark, sf_dir).select("entity_id", "composite", "sales_ready", F.lit("2024-06-01").cast("date").alias("scored_at"))
+    known = landing(spark, sf_dir).filter("row_key % 2 = 0").select(F.col("record_id").alias("entity_id"), F.lit(0).alias("composite"), F.lit(False).alias("sales_ready"), F.lit("2024-01-01").cast("date").alias("scored_at"))
+    return quality.upserted(known, rows.filter("composite >= 50"))
+
+
 @query
 def quality_badges(spark, sf_dir):
     return scored(spark, sf_dir).groupBy(quality.badge(F.col("composite")).alias("badge")).agg(F.count("*").alias("n"), F.count_if("sales_ready").alias("n_ready"))
@@ -303,6 +385,22 @@ def list_businesses(spark, sf_dir):
     return listing.page(kept, [F.desc_nulls_last("first_seen"), F.asc("entity_id")], 1, 50)
 
 
+@query
+def list_businesses_total(spark, sf_dir):
+    """Totals and cursors of a first, a middle and a last page."""
+    rows, contacts, events, flags, people = listed(spark, sf_dir)
+    kept = listing.filtered(rows, listing.Filters(status="active", dnc=False), contacts, events, flags, people).select("entity_id")
+    return listing.page_info(kept, 1, 10).unionByName(listing.page_info(kept, 2, 10)).unionByName(listing.page_info(kept, 1_000_000, 900))
+
+
+@query
+def business_sources(spark, sf_dir):
+    rows = landing(spark, sf_dir)
+    k = F.col("row_key")
+    linked = rows.select(F.when(k % 10 != 9, k % 100).alias("entity_id"), "record_id", "source_key", "run_id", F.date_add(F.lit("2024-01-01").cast("date"), (k % 5).cast("int")).alias("created_at"))
+    return listing.sources_of(linked, spark.range(0, 50).withColumnRenamed("id", "entity_id"))
+
+
 @query
 def list_businesses_members(spark, sf_dir):
     rows, contacts, events, flags, people = listed(spark, sf_dir)
@@ -548,6 +646,17 @@ def field_matrix(spark, sf_dir):
 
 
 # --- extraction ----------------------------------------------------------------------------------
+@query
+def resource_pick(spark, sf_dir):
+    """Package answers made of the parts: the first CSV whose name holds the keyword, in any case."""
+    one = lambda name, form, url: F.struct(name.alias("name"), F.lit(form).alias("format"), url.alias("url"))
+    k, name = F.col("p_partkey"), F.col("p_name")
+    link = lambda n: F.concat(F.lit(f"https://data.example.ca/{n}/"), k.cast("string"))
+    listed_ = F.array(one(F.lit("Readme"), "csv", link(1)), one(F.concat(F.lit("List of "), name), "XLSX", link(2)), one(F.concat(F.lit("List "), F.upper(name)), "csv", F.when(k % 2 == 0, "").otherwise(link(3))), one(F.when(k % 3 == 0, name), "CSV", link(4)))
+    answers_ = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.to_json(F.struct(F.struct(listed_.alias("resources")).alias("result"))).alias("json"))
+    return readers.picked_resource(answers_, F.col("p_name")).select("p_partkey", "url")
+
+
 @query
 def page_mailto(spark, sf_dir):
     html = F.concat("html", F.lit('<a href="MAILTO:Info@'), "page_id", F.lit('.example.com">x</a><a href="mailto:a.b@c.example.ca?subject=x">y</a>'))

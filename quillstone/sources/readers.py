@@ -120,6 +120,17 @@ def directors(docs: DataFrame, json_col: str = "json") -> DataFrame:
     return rows.select("corp_number", rid.alias("source_record_id"), name.alias("director_name"), F.col("p.lastName").alias("director_last_name"), F.col("p.serviceAddress").alias("service_address"))
 
 
+RESOURCES = "result struct<resources:array<struct<name:string,format:string,url:string>>>"
+
+
+def picked_resource(answers: DataFrame, keyword: Column, json_col: str = "json") -> DataFrame:
+    """``answers`` (JSON of a package each) with ``url``: that of the first CSV resource whose name holds the keyword and that has one; null where none does."""
+    text = lambda c: F.coalesce(c, F.lit(""))
+    fits = lambda r: F.contains(F.lower(text(r["name"])), F.lower(keyword)) & (F.upper(text(r["format"])) == "CSV") & (text(r["url"]) != "")
+    found = F.filter(F.coalesce(F.from_json(json_col, RESOURCES)["result"]["resources"], F.array().cast("array<struct<name:string,format:string,url:string>>")), fits)
+    return answers.withColumn("url", F.get(found, F.lit(0))["url"])
+
+
 CREDENTIALS = "topic_id string, credentials array<struct<latest:boolean,effective_date:string,names:array<struct<text:string>>,attributes:array<struct<type:string,value:string>>>>"
 
 
