@@ -126,6 +126,12 @@ EMAIL_IN_TEXT = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 NAME_NOISE = ("inc", "ltd", "ltee", "the", "and", "de", "et", "co", "corp", "company")
 ASSET_SUFFIXES = (".png", ".jpg", ".gif", ".css")
 PAGE_PHONE = r"(?<!\d)(?:\+?1[\s\-.]?)?\(?([2-9]\d{2})\)?[\s\-.]?([2-9]\d{2})[\s\-.]?(\d{4})(?!\d)"
+PROBED_PHONE = r"(?<!\d)(?:\+?1[\s\-.]?)?\(?\d{3}\)?[\s\-.]?\d{3}[\s\-.]?\d{4}(?!\d)"
+PROBED_TITLES = (
+    r"(?i)\b(owner|founder|co-founder|president|vice president|vp|general manager|gm|operations manager|office manager|it manager|it director|director of it|technology manager|"
+    r"procurement manager|purchasing manager|facilities manager|controller|coo|cto|cio|chief operating|chief technology|chief information)\b"
+)
+LEADER_PAGES = ("/team", "/leadership", "/management", "/about", "/people")
 MAILTO = r"(?i)mailto:([a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,})"
 INCORPORATION_HEADERS = ("corporation number", "name of corporation", "registered office", "effective date")
 EXCLUDED_DOMAINS = (

@@ -109,12 +109,26 @@ def page_emails(html: Column, most: int = 10) -> Column:
     return F.slice(F.array_sort(F.filter(found, lambda e: ~asset(e))), 1, most)
 
 
-def leadership(html: Column, most: int = 5) -> Column:
+def leadership(html: Column, most: int = 5, titles: str = t.LEADERS) -> Column:
     """The first sentences that name a title, at most 200 characters of each."""
-    lines = F.filter(F.split(page_text(html), r"\."), lambda s: s.rlike(t.LEADERS))
+    lines = F.filter(F.split(page_text(html), r"\."), lambda s: s.rlike(titles))
     return F.slice(F.transform(lines, lambda s: F.substring(F.trim(s), 1, 200)), 1, most)
 
 
+def page_contacts(html: Column, url: Column, most: int = 10) -> Column:
+    """struct<phones, emails, name, sentences, leader_page> of a page: numbers in the text, tel links and JSON-LD, as they stand there.
+
+    Lists are distinct and sorted, the first ``most``. The name is that of the last JSON-LD block with one; ``leader_page`` tells by the address. Null pages hold nothing.
+    """
+    blocks = ld_blocks(html)
+    top = lambda k: F.array_compact(F.transform(blocks, lambda b: F.get_json_object(b, f"$.{k}")))
+    tel = F.transform(all_of(html, r"(?i)<a\b[^>]*?\bhref=[\"'](?-i:tel:)([^\"']*)[\"']", 1), lambda x: F.trim(x))
+    numbers = F.array_union(F.array_union(F.transform(all_of(page_text(html), t.PROBED_PHONE, 0), lambda x: F.trim(x)), tel), top("telephone"))
+    listed = F.slice(F.array_sort(F.filter(numbers, lambda x: x != "")), 1, most)
+    leads = F.exists(F.array(*map(F.lit, t.LEADER_PAGES)), lambda w: F.lower(url).contains(w))
+    return F.struct(listed.alias("phones"), page_emails(html, most).alias("emails"), F.try_element_at(top("name"), F.lit(-1)).alias("name"), leadership(html, titles=t.PROBED_TITLES).alias("sentences"), F.coalesce(leads, F.lit(False)).alias("leader_page"))
+
+
 def link_domains(html: Column, excluded: tuple[str, ...] = (), most: int = 8) -> Column:
     """scheme://host of the links, redirects unwrapped, in order, distinct, the first ``most``."""
     links = all_of(html, r"(?i)<a\b[^>]*?\bhref=[\"']([^\"']*)[\"']", 1)

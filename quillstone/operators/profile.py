@@ -173,6 +173,12 @@ def dimensions(df: DataFrame, columns: list[str]) -> DataFrame:
     return _stack(row, columns, {"n_values": "n", "first_value": "a", "last_value": "z"})
 
 
+def dimension_values(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column_name, value, n) of every value of each dimension, nothing as the empty value: also how often a table's symbols mark a number as suppressed."""
+    cells = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")).alias("value")) for c in columns)))
+    return df.select(cells.alias("c")).groupBy("c.column_name", "c.value").agg(F.count("*").alias("n"))
+
+
 def label_bucket(label: Column) -> Column:
     """The band a size label means: one that holds or is held by its name, else by the label's first number."""
     s = F.regexp_replace(F.translate(F.lower(label), "–—", "--"), "[ ,]", "")

@@ -209,6 +209,21 @@ def children(records: DataFrame) -> DataFrame:
     return records.select("record_id", F.inline(F.filter(all_rows, keep)))
 
 
+def size_and_industry(records: DataFrame) -> DataFrame:
+    """Employee, industry and ambiguity rows of new entities: (record_id, child, raw_value, value, low, high, exact); numbers for employees only."""
+    none = F.lit(None)
+    def one(child: str, raw: Column, value: Column, low: Column = none, high: Column = none, exact: Column = none) -> Column:
+        return F.struct(F.lit(child).alias("child"), raw.alias("raw_value"), value.alias("value"), low.cast("int").alias("low"), high.cast("int").alias("high"), exact.cast("boolean").alias("exact"))
+
+    bounds = (F.col("employee_min"), F.col("employee_max"))
+    rows = F.array(
+        one("employee", F.col("raw_employees"), F.col("employee_bucket"), *bounds, F.col("employee_exact")), one("industry", F.col("naics"), F.col("naics_sector")),
+        one("flag", F.when(F.col("employee_flag").isNotNull(), F.col("raw_employees")), F.col("employee_flag"), *bounds),
+    )
+    given = lambda x: x["value"].isNotNull() | ((x["child"] == "industry") & x["raw_value"].isNotNull())
+    return records.select("record_id", F.inline(F.filter(rows, given)))
+
+
 def linked_references(matched: DataFrame, references: DataFrame, unresolved: DataFrame) -> DataFrame:
     """Unresolved records that a resolved record names by (source_key, source_record_id) attach to its entity."""
     named = references.join(matched.select("record_id", "entity_id"), "record_id").select("source_key", "source_record_id", "entity_id")

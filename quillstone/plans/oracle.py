@@ -209,6 +209,9 @@ SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THE
   UNION ALL SELECT record_id, 'contact', 'PHONE', coalesce(n_phone, phone), CASE WHEN ph_ok THEN 'HIGH' ELSE 'LOW' END FROM rec WHERE ph_ok IS NOT NULL
   UNION ALL SELECT record_id, 'contact', 'EMAIL', coalesce(n_email, email), CASE WHEN em_ok THEN 'HIGH' ELSE 'LOW' END FROM rec WHERE em_ok IS NOT NULL UNION ALL SELECT record_id, 'contact', 'WEBSITE', n_domain, 'MEDIUM' FROM rec
 ) WHERE value IS NOT NULL"""),
+    "entity_facts": _w(BASE, """SELECT record_id, 'employee' AS child, employees AS raw_value, e_bucket AS value, e_low AS low, e_high AS high, coalesce(form = 1, false) AS exact FROM rec WHERE e_bucket IS NOT NULL
+  UNION ALL SELECT record_id, 'industry', n_naics, n_sector, NULL, NULL, NULL FROM rec WHERE n_naics IS NOT NULL OR n_sector IS NOT NULL
+  UNION ALL SELECT record_id, 'flag', employees, 'EMPLOYEE_RANGE_AMBIGUITY', e_low, e_high, NULL FROM rec WHERE form = 3 AND e_low = 55 AND e_high = 99"""),
     "back_references": "SELECT 'vancouver' AS source_key, c_custkey AS source_record_id, min('bc_indigenous:' || s_suppkey) AS entity_id, 'MATCHED' AS outcome FROM supplier JOIN customer ON s_suppkey % 40 = c_custkey GROUP BY c_custkey",
     "unpivot_observations": _w(BASE, "SELECT * FROM (" + " UNION ALL ".join(f"SELECT record_id, '{f}' AS field, nullif({raw}, '') AS raw_value, {own} AS normalised_value FROM rec" for f, raw, own in _OBSERVED) + ") WHERE raw_value IS NOT NULL OR normalised_value IS NOT NULL"),
     "scd2_current": _w(OBS, "SELECT observation_id, entity_id, field, is_current FROM cur"),
@@ -278,6 +281,7 @@ SELECT count(*) AS n_rows, count(k.k) AS n_members, round_even(100 * count(k.k):
     "stream_counters": _w(BASE, "SELECT source_key, count(*) AS n, count(*) FILTER (WHERE n_province IS NULL) AS no_province, count(*) FILTER (WHERE n_status = 'ACTIVE') AS n_active, count(DISTINCT n_province) AS n_provinces FROM rec GROUP BY 1"),
     "province_distribution": _w(BASE, "SELECT n_province AS province, count(*) AS n, round_even(100 * count(*)::DOUBLE / sum(count(*)) OVER (), 2) AS pct FROM rec WHERE n_province IS NOT NULL GROUP BY 1"),
     "dimension_profile": " UNION ALL ".join(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_values, min(CAST({c} AS VARCHAR)) AS first_value, max(CAST({c} AS VARCHAR)) AS last_value FROM part" for c in ("p_brand", "p_type", "p_size")),
+    "dimension_values": " UNION ALL ".join(f"SELECT '{c}' AS column_name, trim(CAST({c} AS VARCHAR)) AS value, count(*) AS n FROM part GROUP BY 2" for c in ("p_brand", "p_type", "p_size")),
     "label_buckets": _w(BASE, f"SELECT DISTINCT employees, CASE WHEN {_LABEL} = '' THEN NULL " + " ".join(f"WHEN contains({_LABEL}, '{x}') OR contains('{x}', {_LABEL}) THEN '{x}'" for _, _, x in t.BUCKETS) + " " + " ".join(f"WHEN {_FIRST} >= {a} THEN '{x}'" for a, _, x in reversed(t.BUCKETS)) + " END AS bucket FROM landing"),
     "coverage_matrix": _w(BASE, f"SELECT p AS province, count(DISTINCT source_key) AS n_sources, count(source_key) = 0 AS gap FROM (SELECT unnest([{', '.join(repr(p) for p in t.PROVINCES)}]) AS p) LEFT JOIN rec ON n_province = p GROUP BY p"),
     "field_matrix": _w(BASE, "SELECT source_key, " + ", ".join(f"avg(CASE WHEN coalesce(trim({c}), '') <> '' THEN 1.0 ELSE 0 END) > 0.5 AS has_{c}" for c in ("trade_name", "street", "phone", "corp_number", "naics")) + " FROM landing GROUP BY 1"),

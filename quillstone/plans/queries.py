@@ -239,6 +239,11 @@ def entity_children(spark, sf_dir):
     return resolve.children(norm(spark, sf_dir))
 
 
+@query
+def entity_facts(spark, sf_dir):
+    return resolve.size_and_industry(norm(spark, sf_dir))
+
+
 @query
 def back_references(spark, sf_dir):
     new, _ = stores(spark, sf_dir)
@@ -629,6 +634,11 @@ def dimension_profile(spark, sf_dir):
     return profile.dimensions(table(spark, sf_dir, "part"), ["p_brand", "p_type", "p_size"])
 
 
+@query
+def dimension_values(spark, sf_dir):
+    return profile.dimension_values(table(spark, sf_dir, "part"), ["p_brand", "p_type", "p_size"])
+
+
 @query
 def label_buckets(spark, sf_dir):
     return landing(spark, sf_dir).select("employees").distinct().select("employees", profile.label_bucket(F.col("employees")).alias("bucket"))
@@ -687,6 +697,16 @@ def page_emails(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(extract.page_emails(F.col("html")), "|").alias("emails"))
 
 
+PROBED = '<a class="t" href="tel: 1-604-555-0100 ">call</a><a href="TEL:x">y</a> or (604) 555 0199, 123456045550199, +1.604.555.0123<script type="application/ld+json">{"telephone":"555","name":"Ann Co"}</script>'
+
+
+@query
+def page_contacts(spark, sf_dir):
+    found = extract.page_contacts(F.concat("html", F.lit(PROBED)), F.when(F.col("page_id") % 3 == 0, F.concat("url", F.lit("/About"))).otherwise(F.col("url")))
+    rows = table(spark, sf_dir, "pages").select("page_id", found.alias("c"))
+    return rows.select("page_id", *(F.array_join(f"c.{x}", "|").alias(x) for x in ("phones", "emails", "sentences")), "c.name", "c.leader_page")
+
+
 @query
 def page_leadership(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(extract.leadership(F.concat("html", F.lit("<p>Our president is here. No.</p>"))), "|").alias("sentences"))

@@ -235,7 +235,7 @@ def filings(docs: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
     section = F.element_at(F.split(section, ends, 2), 1)
     blocks = docs.select(id_col, F.posexplode(F.split(section, r"(?i)(?=file\s+no\.?\s*:?\s*[\w\-]+)")).alias("pos", "block"))
     number = blank_to_null(F.regexp_extract("block", FILE_NO, 1))
-    name = F.get(F.filter(F.transform(F.split("block", "\n"), F.trim), lambda s: (s == F.upper(s)) & s.rlike("[A-Z]") & F.length(s).between(5, 149)), 0)
+    name = F.get(F.filter(F.transform(F.split("block", "\n"), lambda s: F.btrim(s, F.lit(" \t\r\f"))), lambda s: (s == F.upper(s)) & s.rlike("[A-Z]") & F.length(s).between(5, 149)), 0)
     office = F.substring(F.trim(F.regexp_extract("block", r"(?i)registered\s+office\s*:?[ \t]*([^\n]+)", 1)), 1, 200)
     day = r"(\w+ \d+,? \d{4}|\d{4}-\d{2}-\d{2})"
     labels = ("date of incorporation", "date of registration", "effective date", "date")

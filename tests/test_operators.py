@@ -2,6 +2,7 @@
 
 import io
 import json
+import re
 import zipfile
 
 import pytest
@@ -9,6 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from quillstone.functions import tables as t
 from quillstone.operators import enrich, extract, history, listing, profile, records, resolve
 from quillstone.plans import queries as q
 from quillstone.sources import catalogue, readers
@@ -243,3 +245,28 @@ def test_sources_in_the_form_they_land_in(spark, tmp_path):
     assert sorted((r["raw_payload"]["corp_number"], r["raw_payload"]["director_name"] or "", r["source_record_id"][-3:]) for r in rows)[1] == ("6", "", "ors")
     rows = catalogue.read(spark, "bc_orgbook", landed("o", json.dumps({"topic_id": "BC1", "credentials": [{"latest": True, "names": [{"text": "Acme"}], "attributes": [{"type": "entity_status", "value": "ACT"}]}]}))).collect()
     assert [(r["source_record_id"], r["raw_payload"]["legal_name"], r["raw_payload"]["status"]) for r in rows] == [("BC1", "Acme", "ACTIVE")]
+
+
+def test_page_contacts_against_plain(spark, sf):
+    """Numbers of all pages against the standard library's patterns; null pages and addresses hold nothing."""
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
+    got = {r["page_id"]: r for r in q.page_contacts(spark, sf).collect()}
+    for i, html in pages.items():
+        html += q.PROBED
+        text = re.sub(r"\s+", " ", re.sub("<[^>]*>", " ", re.sub(r"(?is)<(script|style)\b.*?</\1\s*>", " ", html)))
+        want = {m[0].strip() for m in re.finditer(t.PROBED_PHONE, text)} | {m[1].strip() for m in re.finditer(r"(?i)<a\b[^>]*?\bhref=[\"'](?-i:tel:)([^\"']*)", html)}
+        for m in re.finditer(t.LD_JSON, html):
+            want |= {str(json.loads(m[1])["telephone"])} if json.loads(m[1]).get("telephone") else set()
+        assert got[i]["phones"] == "|".join(sorted(want)[:10]) and got[i]["name"] == "Ann Co" and got[i]["leader_page"] == (i % 3 == 0), i
+        said = [s.strip()[:200] for s in text.strip().split(".") if re.search(t.PROBED_TITLES, s)]
+        assert got[i]["sentences"] == "|".join(said[:5]), i
+        assert {"(604) 555 0199", "+1.604.555.0123", "1-604-555-0100", "555"} <= want and "6045550199" not in want
+    none = spark.createDataFrame([(None, None)], "h string, u string").select(extract.page_contacts(F.col("h"), F.col("u")).alias("c")).collect()[0]["c"]
+    assert not none["phones"] and not none["emails"] and not none["leader_page"]
+
+
+def test_filing_names_keep_their_digits(spark):
+    """Lines lose the white space at their ends, and nothing else, wherever they stand."""
+    text = "INCORPORATIONS\nFile No: A-1\n  1ST STREET BAKERY 11 \r\nFile No: A-2\nlower case\n\t22 SECOND AVENUE 2\n"
+    got = readers.filings(spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string"), "id").orderBy("file_no").collect()
+    assert [(r["file_no"], r["company_name"]) for r in got] == [("A-1", "1ST STREET BAKERY 11"), ("A-2", "22 SECOND AVENUE 2")]
