@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions import normalise as n
@@ -28,9 +28,15 @@ def unpivot(records: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def with_current(observations: DataFrame) -> DataFrame:
-    """Append-only observations with ``is_current``: the newest of each (entity, field)."""
-    newest = Window.partitionBy("entity_id", "field").orderBy(F.desc("observed_at"), F.desc("observation_id"))
-    return observations.withColumn("is_current", F.row_number().over(newest) == 1)
+    """Append-only observations with ``is_current``: the newest of each (entity, field); rows alike in time and id are so together.
+
+    The newest is an aggregate, reduced before it moves, and the join on it can be split: no entity's history is one task's work.
+    """
+    order = F.struct("observed_at", "observation_id")
+    newest = observations.groupBy(F.col("entity_id").alias("_entity"), F.col("field").alias("_field")).agg(F.max(order).alias("_newest"))
+    same = F.col("entity_id").eqNullSafe(F.col("_entity")) & F.col("field").eqNullSafe(F.col("_field"))
+    rows = observations.join(newest, same, "left")
+    return rows.select(*(c for c in observations.columns if c != "is_current"), order.eqNullSafe(F.col("_newest")).alias("is_current"))
 
 
 def appended(observations: DataFrame, added: DataFrame) -> DataFrame:

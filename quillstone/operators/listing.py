@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EXPORT = ("entity_id", "canonical_name", "province", "city", "status", "phone", "email", "domain", "composite", "sales_ready")
@@ -74,9 +74,8 @@ def page_info(rows: DataFrame, number: int, size: int, most: int = MOST_BUSINESS
 
 
 def sources_of(records: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The records that contributed to the wanted entities, and their ``place``, newest first, ties to the smaller id."""
-    rows = _member(records, wanted, True)
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("entity_id").orderBy(F.desc("created_at"), "record_id")))
+    """The records that contributed to the wanted entities: by entity, newest first, ties to the smaller id. A sort over all, which splits an entity of many records."""
+    return _member(records, wanted, True).orderBy("entity_id", F.desc("created_at"), "record_id")
 
 
 def detail(entities: DataFrame, **kids: DataFrame) -> DataFrame:

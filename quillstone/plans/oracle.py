@@ -242,8 +242,8 @@ SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THE
 WHERE status = 'ACTIVE' AND n_phone IS NOT NULL AND n_email IS NULL AND NOT dnc AND first_seen >= DATE '2024-01-01' ORDER BY first_seen DESC NULLS LAST, entity_id LIMIT 50"""),
     "list_businesses_total": _w(ENTITIES, """, n AS (SELECT count(*) AS total FROM scored WHERE status = 'ACTIVE' AND NOT dnc)
 SELECT total, 1 AS page, 10 AS page_size, CASE WHEN total > 10 THEN 2 END AS next_cursor FROM n UNION ALL SELECT total, 2, 10, CASE WHEN total > 20 THEN 3 END FROM n UNION ALL SELECT total, 1000000, 500, NULL FROM n"""),
-    "business_sources": _w(BASE, """SELECT row_key % 100 AS entity_id, record_id, source_key, run_id, CAST(DATE '2024-01-01' + CAST(row_key % 5 AS INT) AS DATE) AS created_at, row_number() OVER (PARTITION BY row_key % 100 ORDER BY row_key % 5 DESC, record_id) AS place
-FROM landing WHERE row_key % 10 <> 9 AND row_key % 100 < 50"""),
+    "business_sources": _w(BASE, """SELECT row_key % 100 AS entity_id, record_id, source_key, run_id, CAST(DATE '2024-01-01' + CAST(row_key % 5 AS INT) AS DATE) AS created_at
+FROM landing WHERE row_key % 10 <> 9 AND row_key % 100 < 50 ORDER BY entity_id, created_at DESC, record_id"""),
     "list_businesses_members": _w(ENTITIES, "SELECT entity_id, canonical_name, composite FROM scored WHERE province = 'ON' AND n_domain IS NOT NULL AND directors = 0 AND row_key % 2 = 1 AND first_seen IS NOT NULL"),
     "business_detail": _w(ENTITIES, "SELECT e.entity_id, canonical_name, coalesce((SELECT string_agg(kind || ':' || value, '|' ORDER BY kind, value) FROM contacts c WHERE c.entity_id = e.entity_id), '') AS contacts, CASE WHEN first_seen IS NULL THEN 0::BIGINT ELSE 1 END AS n_events, CASE WHEN dnc THEN 1::BIGINT ELSE 0 END AS n_flags FROM ent e"),
     "flag_updates": _w(ENTITIES, "SELECT entity_id, 'DNC' AS flag_type FROM ent WHERE dnc AND row_key % 2 <> 0 UNION ALL SELECT entity_id, 'VIP' FROM ent WHERE row_key % 13 = 0"),

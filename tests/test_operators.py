@@ -270,3 +270,15 @@ def test_filing_names_keep_their_digits(spark):
     text = "INCORPORATIONS\nFile No: A-1\n  1ST STREET BAKERY 11 \r\nFile No: A-2\nlower case\n\t22 SECOND AVENUE 2\n"
     got = readers.filings(spark.createDataFrame([(1, text), (2, None), (3, "")], "id int, text string"), "id").orderBy("file_no").collect()
     assert [(r["file_no"], r["company_name"]) for r in got] == [("A-1", "1ST STREET BAKERY 11"), ("A-2", "22 SECOND AVENUE 2")]
+
+
+def test_current_of_a_hot_entity_and_nulls(spark):
+    """One entity holds most rows; null keys and times form groups of their own; a batch expires only what it observes."""
+    rows = [(1, "status", str(i % 3), i % 50, i) for i in range(300)] + [(2, "city", "x", None, 1), (2, "city", "y", None, 2), (None, "city", "z", 5, 3), (None, None, "w", 1, 4)]
+    df = spark.createDataFrame(rows, "entity_id int, field string, value string, observed_at int, observation_id int")
+    now = {(r["entity_id"], r["field"], r["observation_id"]) for r in history.with_current(df).filter("is_current").collect()}
+    assert now == {(1, "status", 299), (2, "city", 2), (None, "city", 3), (None, None, 4)}
+    batch = spark.createDataFrame([(1, "status", "9", 99, 900), (3, "city", "q", 1, 901)], df.schema)
+    after = history.appended(history.with_current(df), batch)
+    assert after.count() == len(rows) + 2
+    assert {r["observation_id"] for r in after.filter("is_current").collect()} == {900, 901, 2, 3, 4}
