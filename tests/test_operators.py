@@ -2,6 +2,7 @@
 
 import io
 import json
+import random
 import re
 import zipfile
 
@@ -282,3 +283,60 @@ def test_current_of_a_hot_entity_and_nulls(spark):
     after = history.appended(history.with_current(df), batch)
     assert after.count() == len(rows) + 2
     assert {r["observation_id"] for r in after.filter("is_current").collect()} == {900, 901, 2, 3, 4}
+
+
+def plain_ld(blocks):
+    """Emails and people of JSON-LD blocks, by recursion."""
+    emails, people = set(), []
+
+    def emails_in(x):
+        for k, v in x.items() if isinstance(x, dict) else ():
+            if k.lower() == "email" and isinstance(v, str) and "@" in v:
+                emails.add(v.strip())
+        for v in x.values() if isinstance(x, dict) else x if isinstance(x, list) else ():
+            emails_in(v)
+
+    def people_in(x):
+        if isinstance(x, dict) and str(x.get("@type")).lower() == "person":
+            if x.get("name"):
+                people.append(f"{x['name']}|{x.get('jobTitle', x.get('roleName', ''))}")
+            return
+        for v in x.values() if isinstance(x, dict) else x if isinstance(x, list) else ():
+            people_in(v)
+
+    for b in blocks:
+        try:
+            found = json.loads(b)
+        except ValueError:
+            continue
+        emails_in(found)
+        people_in(found)
+    return sorted(emails), people
+
+
+def test_json_ld_and_phones_against_plain(spark, sf):
+    """All pages, and random nested blocks, broken ones among them; numbers by the standard library's patterns."""
+    r = random.Random(3)
+
+    def made(depth):
+        kind = r.random()
+        if depth == 0 or kind < 0.3:
+            return r.choice(["a@b.ca", " c@d.ca ", "none", 5, None, True])
+        if kind < 0.55:
+            return [made(depth - 1) for _ in range(r.randrange(4))]
+        keys = r.sample(["email", "Email", "@type", "name", "jobTitle", "roleName", "founder", "member"], r.randrange(1, 6))
+        return {k: r.choice(["Person", "person", "Organization"]) if k == "@type" else r.choice(["Ann Lee", "Bo", ""]) if k == "name" else r.choice(["CEO", "Owner"]) if k in ("jobTitle", "roleName") else made(depth - 1) for k in keys}
+
+    pages = [x["html"] for x in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    for _ in range(1500):
+        blocks = [json.dumps(made(4)) for _ in range(r.randrange(3))] + r.choice([[], ["{broken"]])
+        digits = "".join(r.choice(["4", "16", "555", "0199", "-", ".", " ", "(", ")", "+1", "1", "x"]) for _ in range(60))
+        pages.append(f"<p>{digits}</p>" + "".join(f"<SCRIPT id=x type='application/ld+json'>{b}</script>" for b in blocks))
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    got = df.select("i", extract.ld_emails(F.col("h")).alias("e"), extract.ld_persons(F.col("h")).alias("p"), extract.phones(F.col("h")).alias("n")).collect()
+    for row in got:
+        html = pages[row["i"]]
+        emails, people = plain_ld(re.findall(t.LD_JSON, html))
+        assert (row["e"], row["p"]) == (emails, people), html
+        assert row["n"] == list(dict.fromkeys("-".join(m.groups()) for m in re.finditer(t.PAGE_PHONE, html, re.ASCII))), html
+    assert sum(bool(x["p"]) for x in got) > 20 and sum(bool(x["n"]) for x in got) > 5
