@@ -131,18 +131,31 @@ def picked_resource(answers: DataFrame, keyword: Column, json_col: str = "json")
     return answers.withColumn("url", F.get(found, F.lit(0))["url"])
 
 
-CREDENTIALS = "topic_id string, credentials array<struct<latest:boolean,effective_date:string,names:array<struct<text:string>>,attributes:array<struct<type:string,value:string>>>>"
+CREDENTIALS = (
+    "topic_id string, credentials array<struct<id:string,credential_type:string,effective_date:string,revoked:boolean,revoked_date:string,latest:boolean,inactive:boolean,"
+    "names:array<struct<type:string,text:string>>,attributes:array<struct<type:string,value:string>>>>"
+)
+
+
+def _credential(c: Column) -> Column:
+    """One credential of a history: its dates and states, the name it gives and its attributes; flags that are absent are false."""
+    flag = lambda k: F.coalesce(c[k], F.lit(False)).alias(k)
+    names = F.coalesce(c["names"], F.array())
+    name = F.coalesce(F.get(F.filter(names, lambda x: x["type"].isin("entity_name", "legal_name")), F.lit(0))["text"], F.get(names, F.lit(0))["text"], F.lit(""))
+    kind = F.coalesce(F.get_json_object(c["credential_type"], "$.description"), F.when(~c["credential_type"].startswith("{"), c["credential_type"]), F.lit(""))
+    attributes = F.transform(F.coalesce(c["attributes"], F.array()), lambda a: F.struct(F.lower(F.coalesce(a["type"], F.lit(""))).alias("type"), F.coalesce(a["value"], F.lit("")).alias("value")))
+    return F.struct(c["id"].alias("credential_id"), kind.alias("credential_type"), c["effective_date"].alias("effective_date"), flag("revoked"), c["revoked_date"].alias("revoked_date"), flag("latest"), flag("inactive"), name.alias("legal_name"), attributes.alias("attributes"))
 
 
 def latest_credentials(docs: DataFrame, json_col: str = "json") -> DataFrame:
-    """Per topic: the last non-empty name and status among its latest credentials, and the number of all."""
+    """Per topic: the last non-empty name and status among its latest credentials, the number of all, and their history as JSON, in the order given."""
     rows = docs.select(F.from_json(json_col, CREDENTIALS).alias("d")).select("d.*")
     live = F.filter("credentials", lambda c: F.coalesce(c["latest"], F.lit(False)))
     names = F.filter(F.flatten(F.transform(live, lambda c: F.transform(F.coalesce(c["names"], F.array()), lambda x: F.trim(x["text"])))), lambda x: x != "")
     codes = F.filter(F.flatten(F.transform(live, lambda c: F.transform(F.filter(F.coalesce(c["attributes"], F.array()), lambda a: a["type"] == "entity_status"), lambda a: F.upper(a["value"])))), lambda x: x != "")
     code = F.try_element_at(codes, F.lit(-1))
     mapped = F.create_map(*[F.lit(x) for kv in t.CREDENTIAL_STATUS.items() for x in kv])[code]
-    return rows.select("topic_id", F.try_element_at(names, F.lit(-1)).alias("legal_name"), F.coalesce(mapped, F.when(code.isNotNull(), "UNKNOWN")).alias("status"), F.size(F.coalesce("credentials", F.array())).alias("n_credentials"))
+    return rows.select("topic_id", F.try_element_at(names, F.lit(-1)).alias("legal_name"), F.coalesce(mapped, F.when(code.isNotNull(), "UNKNOWN")).alias("status"), F.size(F.coalesce("credentials", F.array())).alias("n_credentials"), F.to_json(F.transform(F.coalesce("credentials", F.array()), _credential), {"ignoreNullFields": "false"}).alias("credential_history"))
 
 
 class _Tables(HTMLParser):

@@ -340,3 +340,16 @@ def test_json_ld_and_phones_against_plain(spark, sf):
         assert (row["e"], row["p"]) == (emails, people), html
         assert row["n"] == list(dict.fromkeys("-".join(m.groups()) for m in re.finditer(t.PAGE_PHONE, html, re.ASCII))), html
     assert sum(bool(x["p"]) for x in got) > 20 and sum(bool(x["n"]) for x in got) > 5
+
+
+def test_credential_history(spark):
+    """Every credential stays, in order, whatever is absent from it; topics without any have an empty history."""
+    full = {"id": 7, "credential_type": {"description": "registration"}, "effective_date": "2020-01-01", "revoked": True, "revoked_date": "2021-01-01", "names": [{"type": "other", "text": "a"}, {"type": "entity_name", "text": "b"}], "attributes": [{"type": "Entity_Status", "value": "ACT"}]}
+    answers = [json.dumps({"topic_id": "t", "credentials": [full, {"latest": True, "credential_type": "plain", "names": [{"text": "c"}]}, {}]}), json.dumps({"topic_id": "u"}), None]
+    got = {r["topic_id"]: r for r in readers.latest_credentials(spark.createDataFrame([(a,) for a in answers], "json string")).collect()}
+    first, second, third = json.loads(got["t"]["credential_history"])
+    assert (first["credential_id"], first["credential_type"], first["revoked"], first["latest"], first["legal_name"]) == ("7", "registration", True, False, "b")
+    assert first["attributes"] == [{"type": "entity_status", "value": "ACT"}] and first["revoked_date"] == "2021-01-01"
+    assert (second["credential_type"], second["latest"], second["legal_name"], second["effective_date"]) == ("plain", True, "c", None)
+    assert (third["legal_name"], third["attributes"], third["inactive"]) == ("", [], False)
+    assert got["t"]["legal_name"] == "c" and got["t"]["n_credentials"] == 3 and got["u"]["credential_history"] == "[]"
