@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quillstone.llm import ann, bpe, fingerprint, langid, linededup, packing, pii, secrets, simhash, warc
+from quillstone.llm import ann, bpe, curve, fingerprint, interactions, langid, linededup, packing, periodic, pii, secrets, simhash, warc
 from quillstone.llm.shared import table
 
 
@@ -48,11 +48,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curve.pack_along_curve(table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"), carry=["page_id"])
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_nearest, op3_fingerprints, op4_language_id, op5_line_dedup, op6_simhash, op7_pii, op8_warc, op9_bpe, op10_secrets, pages_language_id)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_nearest, op3_fingerprints, op4_language_id, op5_line_dedup, op6_simhash, op7_pii, op8_warc, op9_bpe, op10_secrets, op11_curve_packing, op12_periodic_runs, op13_filter_audit, pages_language_id)}
 
 _OP5 = r"""
 WITH lines AS (
@@ -84,4 +96,38 @@ SELECT page_id, payload_bytes,
 FROM groups
 """
 
-ORACLE_SQL = {"op5_line_dedup": _OP5, "op8_warc": _OP8}
+_OP13 = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w, min(doc_id) OVER (PARTITION BY text) AS first FROM texts
+), fails AS (
+  SELECT part, doc_id,
+         CASE WHEN len(w) < 100 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 2 ELSE 0 END
+         + CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) THEN 4 ELSE 0 END
+         + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask
+  FROM words
+), marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id
+), patterns AS (
+  SELECT part, mask, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic FROM fails LEFT JOIN marks USING (doc_id) GROUP BY part, mask
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit
+), orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a JOIN letters b ON b.x <> a.x JOIN letters c ON c.x NOT IN (a.x, b.x) JOIN letters d ON d.x NOT IN (a.x, b.x, c.x) JOIN letters e ON e.x NOT IN (a.x, b.x, c.x, d.x)
+), steps AS (
+  SELECT filter_order, k AS step, bits[k] AS bit, CAST(coalesce(list_sum(bits[1:k - 1]), 0) AS INT) AS before FROM orders, (SELECT unnest(range(1, 6)) AS k)
+), counted AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (WHERE mask & (before | bit) = 0), 0) AS kept, coalesce(sum(n) FILTER (WHERE mask & before = 0 AND mask & bit <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (WHERE mask & before <> 0 AND mask & bit <> 0), 0) AS redundant, coalesce(sum(n) FILTER (WHERE mask = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (WHERE mask & before = 0 AND mask & bit <> 0), 0) AS good_lost, coalesce(sum(toxic) FILTER (WHERE mask & before = 0 AND mask & bit <> 0), 0) AS toxic_lost
+  FROM patterns, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM counted
+"""
+
+ORACLE_SQL = {"op5_line_dedup": _OP5, "op8_warc": _OP8, "op13_filter_audit": _OP13}
