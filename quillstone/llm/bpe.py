@@ -151,7 +151,8 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Encode every text, then decode the ids.
 
     Returns doc_id, n_tokens, ids_sha256, decoded_sha256, one row per input row. Null text counts as
-    empty (no ids). Null ids and repeated rows are kept; other columns are not carried.
+    empty (no ids). Null ids and repeated rows are kept, each for itself; texts of any length are encoded whole; an empty table
+    gives no rows; other columns are not carried.
     """
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 

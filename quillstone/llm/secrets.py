@@ -5,12 +5,13 @@ endpoints - mean little alone: they are reported only where the parts of one cre
 part is an interval of its text; parts are joined by distance inside a scope (a paragraph: blank
 lines part texts of any length), swept in order of position, and a weak part is reported if an
 access identifier, a secret and an endpoint, or an access identifier and a secret, lie within reach.
-Weak parts in different paragraphs, or over ``REACH`` characters apart, are not linked.
+Weak parts in different paragraphs, or over ``reach`` characters apart, are not linked; with ``reach=None`` the
+paragraph alone decides.
 
 The interval join runs inside a text's row: its parts are already in one place, so nothing is shuffled,
-and the sweep keeps a window of parts in reach in place of all pairs. Weak parts have the lengths
-that their patterns state: opaque strings 20 characters or more, account names 3 to 64, host parts of
-endpoints 4 to 253 and their paths up to 512.
+and the sweep keeps a window of parts in reach in place of all pairs. A weak part is its whole token, of any length; opaque
+strings have 20 characters at least, account names 3, host parts of endpoints 4. What a label names as an account, or what
+has an endpoint's scheme, is that and no opaque string, whatever it looks like.
 """
 
 from __future__ import annotations
@@ -34,9 +35,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 #: A maximal run that is long enough is found as such; shorter ones never count.
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-ACCOUNT = re.compile(r"""\b(?:user|username|login|account|client_?id|access_?key_?id)\b["']?\x20{0,4}[:=]\x20{0,4}["']?([A-Za-z0-9@._-]{3,64})""", re.I | re.A)
-ENDPOINT = re.compile(r"\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.@:_-]{4,253}(?:/[A-Za-z0-9._~/-]{0,512})?", re.A)
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+ACCOUNT = re.compile(r"""\b(?:user|username|login|account|client_?id|access_?key_?id)\b["']?\x20*[:=]\x20*["']?([A-Za-z0-9@._+/-]{3,}=*)""", re.I | re.A)
+ENDPOINT = re.compile(r"\b(?:https?|ftp|s3|jdbc:[a-z]+|postgres|mysql|mongodb|redis|amqp)://[A-Za-z0-9.@:_-]{4,}(?:/[A-Za-z0-9._~/-]*)?", re.A)
 SCOPE = re.compile(r"\n[ \t]*\n")
 
 
@@ -54,32 +55,49 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _weak(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str]]:
-    """(start, end, kind, part) of weak candidates that no base span covers."""
-    found = [(m.start(1), m.end(1), "account", "id") for m in ACCOUNT.finditer(text)] if "=" in text or ":" in text else []
-    if "://" in text:
-        found += [(m.start(), m.end(), "endpoint", "endpoint") for m in ENDPOINT.finditer(text)]
-    for m in OPAQUE.finditer(text):
-        word = m[0]
-        if re.search("[0-9]", word) and re.search("[A-Za-z]", word) and _bits(word) >= MIN_BITS:
-            found.append((m.start(), m.end(), "opaque", "secret"))
-    covered: list[list[int]] = []  # base spans, the overlapping ones made one
-    for a, b, _ in base:
+def _free(spans: list[tuple[int, int, str]]):
+    """A test whether an interval overlaps none of ``spans``."""
+    covered: list[list[int]] = []  # the overlapping ones made one
+    for a, b, *_ in sorted(spans):
         if covered and a < covered[-1][1]:
             covered[-1][1] = max(covered[-1][1], b)
         else:
             covered.append([a, b])
-    starts, out, end = [a for a, _ in covered], [], 0
-    for a, b, kind, part in sorted(found, key=lambda s: (s[0], -s[1], KINDS.index(s[2]))):
-        k = bisect_left(starts, b) - 1  # the last base span that starts before the candidate ends
-        if a >= end and (k < 0 or covered[k][1] <= a):
-            out.append((a, b, kind, part))
-            end = b
+    starts = [a for a, _ in covered]
+
+    def free(a: int, b: int) -> bool:
+        k = bisect_left(starts, b) - 1  # the last that starts before the interval ends
+        return k < 0 or covered[k][1] <= a
+
+    return free
+
+
+def _apart(found: list[tuple[int, int, str, str]], free) -> list[tuple[int, int, str, str]]:
+    """Of the free candidates that overlap the one that starts first, of these the longest, then the first kind."""
+    out, end = [], 0
+    for x in sorted(found, key=lambda s: (s[0], -s[1], KINDS.index(s[2]))):
+        if x[0] >= end and free(x[0], x[1]):
+            out.append(x)
+            end = x[1]
     return out
 
 
-def linked_spans(text: str, base: list[tuple[int, int, str]], reach: int = REACH) -> list[tuple[int, int, str]]:
-    """The weak candidates whose complementary parts are within ``reach`` in the same scope."""
+def _weak(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, part) of weak candidates that overlap no base span: labelled ones, and opaque strings outside these."""
+    named = [(m.start(1), m.end(1), "account", "id") for m in ACCOUNT.finditer(text)] if "=" in text or ":" in text else []
+    if "://" in text:
+        named += [(m.start(), m.end(), "endpoint", "endpoint") for m in ENDPOINT.finditer(text)]
+    named = _apart(named, _free(base))
+    opaque = []
+    for m in OPAQUE.finditer(text):
+        word = m[0]
+        if re.search("[0-9]", word) and re.search("[A-Za-z]", word) and _bits(word) >= MIN_BITS:
+            opaque.append((m.start(), m.end(), "opaque", "secret"))
+    return sorted(named + _apart(opaque, _free([*base, *named]))) if opaque else named
+
+
+def linked_spans(text: str, base: list[tuple[int, int, str]], reach: int | None = REACH) -> list[tuple[int, int, str]]:
+    """The weak candidates whose complementary parts are in the same scope, and within ``reach`` unless that is None."""
     weak = _weak(text, base)
     if not weak:
         return []
@@ -91,6 +109,11 @@ def linked_spans(text: str, base: list[tuple[int, int, str]], reach: int = REACH
             k += 1
         scopes.append(k)
     out, lo = [], 0
+    if reach is None:
+        held: dict[int, set[str]] = {}
+        for p, scope in zip(parts, scopes, strict=True):
+            held.setdefault(scope, set()).add(p[3])
+        return [p[:3] for p, scope in zip(parts, scopes, strict=True) if p[4] and {"id", "secret"} <= held[scope]]
     for i, (a, b, kind, part, is_weak) in enumerate(parts):
         while parts[lo][1] < a - reach and lo < i:
             lo += 1
@@ -112,11 +135,13 @@ def _join(spans: list[tuple[int, int, str]]) -> str:
     return ",".join(f"{kind}:{a}:{b}" for a, b, kind in spans)
 
 
-def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int = REACH) -> DataFrame:
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", reach: int | None = REACH) -> DataFrame:
     """One row per input row: doc_id, n_assign, n_access, n_hex, base_sha256, spans.
 
     ``spans`` lists base and linked spans as kind:start:end in code points, by start, then kind. Null
-    text counts as empty. Null ids and repeated rows are kept; other columns are not carried.
+    text counts as empty. Null ids and repeated rows are kept, each for itself; an empty table gives no rows; texts and spans of any
+    length are taken whole; of weak candidates that overlap the first counts, then the longest, a labelled one before an
+    opaque one; other columns are not carried.
     """
     schema = T.StructType([
         T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_assign", T.LongType()), T.StructField("n_access", T.LongType()), T.StructField("n_hex", T.LongType()),
