@@ -34,7 +34,10 @@ TOKEN = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 #: Two words nearly always end within so many characters; where they don't, the whole text before a token is kept.
 CONTEXT_CHARS = 64
 TWO_WORDS = r"([^\x20\x09-\x0D]+[\x20\x09]+[^\x20\x09-\x0D]+)[\x20\x09]+$"
-#: Tokens longer than any identifier are told apart by a hash.
+#: All marks around a token are taken off; runs of them are looked at once.
+OPENING = r"^[(\[{<\"']++"
+CLOSING = r"(?<![.,;:!?)\]}>\"'])[.,;:!?)\]}>\"']++$"
+#: Longer tokens travel as a hash.
 LONG_TOKEN = 256
 BLOCK = 64
 
@@ -169,16 +172,16 @@ def _marked(rows: DataFrame) -> DataFrame:
 def _occurrences(marked: DataFrame) -> DataFrame:
     """Of each token: keys, start, stop, instance, pattern, and the kind a base span gives it (-1: none)."""
     rows = marked.select("_k1", "_k2", F.explode("_tokens").alias("t"))
-    lead = F.length(F.regexp_extract(F.col("t.found"), r"^[(\[{<\"']{0,8}", 0))
-    body = F.lower(F.regexp_extract("t.found", r"^[(\[{<\"']{0,8}(.*?)[.,;:!?)\]}>\"']{0,8}$", 1))
-    rows = rows.select("_k1", "_k2", (F.col("t.start") + lead).alias("start"), body.alias("body"), F.lower(F.regexp_extract("t.gap", TWO_WORDS, 1)).alias("pattern"), F.col("t.kind").alias("kind"))
+    opened = F.regexp_replace("t.found", OPENING, "")
+    body = F.lower(F.regexp_replace(opened, CLOSING, ""))
+    rows = rows.select("_k1", "_k2", (F.col("t.stop") - F.length(opened)).alias("start"), body.alias("body"), F.lower(F.regexp_extract("t.gap", TWO_WORDS, 1)).alias("pattern"), F.col("t.kind").alias("kind"))
     instance = F.when(F.length("body") > LONG_TOKEN, F.concat(F.lit("#"), F.sha2("body", 256))).otherwise(F.col("body"))
-    return rows.select("_k1", "_k2", "start", (F.col("start") + F.length("body")).alias("stop"), instance.alias("instance"), "pattern", "kind")
+    return rows.select("_k1", "_k2", "start", (F.col("start") + F.length("body")).alias("stop"), instance.alias("instance"), _identifier(F.col("body")).alias("whole"), "pattern", "kind")
 
 
-def _identifier(instance: Column) -> Column:
-    """Long enough, of identifier characters, and with an at sign or four digits."""
-    return instance.rlike(r"^[a-z0-9][a-z0-9@._/+()\[\]-]{4,62}[a-z0-9]$") & (instance.contains("@") | (F.length(_digits(instance)) >= 4))
+def _identifier(body: Column) -> Column:
+    """Six characters or more, all of them an identifier's, and with an at sign or four digits."""
+    return body.rlike(r"^[a-z0-9][a-z0-9@._/+()\[\]-]{4,}[a-z0-9]$") & (body.contains("@") | (F.length(_digits(body)) >= 4))
 
 
 def discover(occurrences: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -186,10 +189,10 @@ def discover(occurrences: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence:
 
     Rounds go on until one adds nothing: known instances only grow in number. Of kinds that tie, the first listed counts.
     """
-    edges = stored(occurrences.filter("pattern <> '' and instance <> ''").groupBy("pattern", "instance").agg(F.max("kind").alias("kind")), "pii-edges")
+    edges = stored(occurrences.filter("pattern <> '' and instance <> ''").groupBy("pattern", "instance").agg(F.max("whole").alias("whole")), "pii-edges")
     known = stored(occurrences.filter("kind >= 0").groupBy("instance").agg(F.min("kind").alias("kind")).withColumns({"score": F.lit(1.0), "seed": F.lit(True)}), "pii-known")
     while True:
-        marked = edges.drop("kind").join(known.select("instance", "kind"), "instance", "left")
+        marked = edges.drop("whole").join(known.select("instance", "kind"), "instance", "left")
         hits = marked.groupBy("pattern").agg(F.count("*").alias("all"), *(F.count_if(F.col("kind") == k).alias(f"n{k}") for k in range(len(KINDS))))
         most = F.greatest(*(F.col(f"n{k}") for k in range(len(KINDS))))
         good = stored(
@@ -197,7 +200,7 @@ def discover(occurrences: DataFrame, min_seeds: int = MIN_SEEDS, min_confidence:
             .select("pattern", (F.array_position(F.array(*(F.col(f"n{k}") for k in range(len(KINDS)))), most) - 1).cast("int").alias("kind"), (most / (F.col("all") + 1)).alias("confidence")),
             "pii-patterns",
         )
-        reached = edges.select("pattern", "instance").join(maybe_broadcast(good, 120), "pattern").join(known.select("instance"), "instance", "left_anti").filter(_identifier(F.col("instance")))
+        reached = edges.filter("whole").select("pattern", "instance").join(maybe_broadcast(good, 120), "pattern").join(known.select("instance"), "instance", "left_anti")
         scored = reached.groupBy("instance", "kind").agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"))
         best = scored.groupBy("instance").agg(F.min_by("kind", F.struct(-F.col("score"), F.col("kind"))).alias("kind"), F.max("score").alias("score")).withColumn("seed", F.lit(False))
         added = stored(best, "pii-reached")
@@ -222,8 +225,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **opti
     """One row per input row: doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
 
     Counts and hash are of the base spans; ``spans`` lists those and the discovered ones as
-    kind:start:end in code points, by start, then kind. Null text counts as empty; null ids and repeated
-    rows are kept; an empty table gives no rows; other columns are not carried.
+    kind:start:end in code points, by start, then kind. Discovered identifiers have six characters or more, without an upper bound,
+    and any number of marks around them. Null text counts as empty; null ids and repeated
+    rows are kept; of kinds that tie the first listed counts; an empty table gives no rows; other columns are not carried.
     """
     marked = _marked(_keyed(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text").drop("text"))
     found = _found(stored(_occurrences(marked), "pii-tokens"), **options)
