@@ -509,7 +509,7 @@ def plain_bootstrap(rows, min_seeds=pii.MIN_SEEDS, min_confidence=pii.MIN_CONFID
         for m in re.finditer(rf"(?<!{space})[^\x20\x09-\x0D0-9@]*[0-9@]{space}*", text):
             gap, end = text[end : m.start()], m.end()
             context = re.search(rf"({space}+[\x20\t]+{space}+)[\x20\t]+\Z", gap)
-            body = re.fullmatch(r"[(\[{<\"']{0,8}(.*?)[.,;:!?)\]}>\"']{0,8}", m[0])
+            body = re.fullmatch(r"[(\[{<\"']*(.*?)[.,;:!?)\]}>\"']*", m[0])
             before = [s for s in base[doc] if s[0] < m.end()]
             far = max(before, key=lambda s: s[2], default=None)
             tokens.append((doc, m.start() + body.start(1), body[1].lower(), context[1].lower() if context else "", far[1] if far and far[2] > m.start() else -1))
@@ -526,7 +526,7 @@ def plain_bootstrap(rows, min_seeds=pii.MIN_SEEDS, min_confidence=pii.MIN_CONFID
                 good[p] = (hits.index(max(hits)), max(hits) / (len(own) + 1))
         scores = {}
         for p, x in edges:
-            if p in good and x not in known and re.fullmatch(r"[a-z0-9][a-z0-9@._/+()\[\]-]{4,62}[a-z0-9]", x) and ("@" in x or sum(c.isdigit() for c in x) >= 4):
+            if p in good and x not in known and re.fullmatch(r"[a-z0-9][a-z0-9@._/+()\[\]-]{4,}[a-z0-9]", x) and ("@" in x or sum(c.isdigit() for c in x) >= 4):
                 scores.setdefault(x, {}).setdefault(good[p][0], []).append(1 - good[p][1])
         if not scores:
             break
