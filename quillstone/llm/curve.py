@@ -11,6 +11,7 @@ two, which need no padding.
 from __future__ import annotations
 
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,7 @@ def directions(dimensions: int = DIMENSIONS) -> np.ndarray:
 
 def projection(ids: np.ndarray, to: np.ndarray) -> np.ndarray:
     """The projections of a document's hashed vector, of unit length; none of no ids is zero."""
-    bucket = (ids.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
+    bucket = (ids * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKETS.bit_length() + 1)
     counts = np.bincount(bucket, minlength=BUCKETS)
     held = np.flatnonzero(counts)
     weight = 1 + np.log(counts[held])
@@ -85,10 +86,9 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, vocabulary: str, end_id
             rows = []
             for text in batch.column(1).to_pylist():
                 ids = encoder.ids(text or "")
-                at = projection(np.asarray(ids, dtype=np.uint32), to)
                 ids.append(end_id)
-                kept = np.asarray(ids, dtype="<u4")
-                rows.append((len(ids), (kept.astype("<u2") if kept.max() < 1 << 16 else kept).tobytes(), at))
+                kept = np.frombuffer(array("I", ids), np.uint32)  # much sooner made than from the list
+                rows.append((len(ids), kept.astype("<u2" if kept.max() < 1 << 16 else "<u4").tobytes(), projection(kept[:-1], to)))
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.binary(), pa.list_(pa.float64())), strict=True))], names=schema.names)
 
