@@ -32,9 +32,9 @@ def first_nonempty(*values: Column) -> Column:
     return F.coalesce(*(blank_to_null(stripped(v)) for v in values))
 
 
-def field(payload: Column, name: str) -> Column:
-    """The first non-empty payload value among a field's aliases."""
-    return first_nonempty(*(payload[k] for k in t.ALIASES[name]))
+def field(payload: Column, name: str, compat: bool = False) -> Column:
+    """The first non-empty payload value among a field's aliases; ``compat``: without those that the surveyed lists leave out."""
+    return first_nonempty(*(payload[k] for k in (*t.ALIASES[name], *(() if compat else t.MORE_ALIASES.get(name, ())))))
 
 
 def present(c: Column, absent: tuple[str, ...]) -> Column:
@@ -197,9 +197,10 @@ def iso(ts: Column) -> Column:
     return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
 
 
-def extra(payload: Column, source: Column) -> Column:
+def extra(payload: Column, source: Column, compat: bool = False) -> Column:
     """The payload's keys that no field reads; permits get their event type."""
-    known = [k for keys in t.ALIASES.values() for k in keys if k not in t.LEAKED]
+    lists = (*t.ALIASES.values(), *(() if compat else t.MORE_ALIASES.values()))
+    known = [k for keys in lists for k in keys if k not in t.LEAKED]
     rest = F.map_filter(payload, lambda k, v: ~k.isin(*known) & v.isNotNull() & (v != ""))
     tag = F.create_map(F.lit("event_type"), F.lit("MUNICIPAL_PERMIT_ISSUED"))
     tagged = F.map_concat(F.map_filter(rest, lambda k, v: k != "event_type"), tag)

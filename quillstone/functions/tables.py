@@ -86,6 +86,17 @@ ALIASES = {
     "expiry_date": ("exp_dt", "expiry_date", "expiration_date", "licence_expiry"),
     "incorporation_date": ("incorporation_date", "anniversary_date", "registration_date", "incorporated_date"),
 }
+#: Keys that sources land with and the lists above leave out; tried after them.
+MORE_ALIASES = {
+    "legal_name": ("corp_nme", "name of corporation", "business name", "nom", "nom_etablissement"),
+    "street": ("business_address", "adresse", "adresse_complete", "registered office"),
+    "city": ("city/town",),
+    "province": ("province/territory", "territory_province"),
+}
+CORP_NUMBER_KEYS = ("corp_number", "corp_no", "corp_num", "corporation_number", "corporation number")
+BN_KEYS = ("business_number_bn", "bn", "business_number")
+EXTERNAL_ID_KEYS = ("externalid", "external_id")
+EXTERNAL_ID_SOURCE = "edmonton"
 #: Read as names, yet also passed through among the unknown keys.
 LEAKED = ("businessname", "businesstradename", "business_trade_name")
 PERMITS = "quebec_city_permits"
@@ -138,3 +149,51 @@ EXCLUDED_DOMAINS = (
     "linkedin.com", "facebook.com", "twitter.com", "instagram.com", "yelp.com", "yellowpages.ca", "canada411.ca", "opencorporates.com", "wikipedia.org", "bbb.org", "google.com", "bing.com",
     "duckduckgo.com", "youtube.com", "tiktok.com", "pinterest.com", "yelp.ca", "foursquare.com", "tripadvisor.com", "indeed.com", "glassdoor.com", "canadabusiness.ca", "ic.gc.ca", "canada.ca", "gov.bc.ca",
 )
+
+# --- fixed values: headers of landed files, in lower case, and the payload keys they become -------
+_ONTARIO_PLANT = {
+    "name": "name", "plant name": "name", "business name": "name", "address": "address", "street address": "address", "city": "city", "postal code": "postal_code", "postal": "postal_code", "telephone": "phone",
+    "phone": "phone", "phone number": "phone", "licence number": "licence_number", "license number": "licence_number", "licence no": "licence_number", "licence #": "licence_number",
+}
+_ONTARIO_REGISTRANT = {
+    "name": "name", "registrant name": "name", "business name": "name", "address": "address", "street address": "address", "city": "city", "province": "province", "postal code": "postal_code", "postal": "postal_code",
+    "phone": "phone", "telephone": "phone",
+}
+HEADERS = {
+    "bc_indigenous": {
+        "business name": "name", "name": "name", "company name": "name", "phone": "phone", "telephone": "phone", "phone number": "phone", "email": "email", "email address": "email", "website": "website",
+        "web site": "website", "url": "website", "primary contact": "primary_contact", "contact name": "primary_contact", "contact": "primary_contact", "employee range": "employee_range",
+        "number of employees": "employee_range", "employees": "employee_range", "industry sector": "industry_sector", "industry": "industry_sector", "sector": "industry_sector", "category": "industry_sector",
+        "city": "city", "community": "city", "location": "city", "province": "province", "postal code": "postal_code", "postal": "postal_code", "address": "address", "street address": "address", "mailing address": "address",
+    },
+    "ontario_dairy_distributors": {
+        "name": "name", "business name": "name", "distributor name": "name", "address": "address", "street": "address", "street address": "address", "city": "city", "postal code": "postal_code", "postal": "postal_code",
+        "telephone": "phone", "phone": "phone", "phone number": "phone", "licence number": "licence_number", "license number": "licence_number", "licence no": "licence_number", "licence #": "licence_number", "province": "province",
+    },
+    "ontario_dairy_plants": _ONTARIO_PLANT | {"province": "province"},
+    "ontario_meat_plants": _ONTARIO_PLANT | {"latitude": "latitude", "longitude": "longitude", "animal class": "animal_class", "class": "animal_class", "province": "province"},
+    "ontario_tobacco": _ONTARIO_REGISTRANT | {"modification date": "modification_date", "date modified": "modification_date", "modified": "modification_date", "registration number": "licence_number", "registrant number": "licence_number"},
+    "ontario_fuel": _ONTARIO_REGISTRANT | {"authorization number": "licence_number", "registration number": "licence_number", "registrant number": "licence_number", "authorization type": "authorization_type", "type": "authorization_type"},
+    "ontario_csbif": {
+        "name": "name", "fund name": "name", "business name": "name", "address": "address", "street address": "address", "city": "city", "province": "province", "postal code": "postal_code", "postal": "postal_code",
+        "phone": "phone", "telephone": "phone", "contact": "contact_name", "contact name": "contact_name", "primary contact": "contact_name", "email": "email", "website": "website", "registration number": "licence_number",
+        "registration #": "licence_number", "registration date": "registration_date", "date registered": "registration_date", "status": "licence_status",
+    },
+    "nni": {
+        "business name": "business_name", "company name": "business_name", "business number": "business_number", "registration number": "business_number", "business type": "business_type", "type": "business_type",
+        "street address": "street_address", "address": "street_address", "city/community": "community", "community": "community", "city": "community", "location": "community", "postal code": "postal_code",
+        "postal": "postal_code", "phone": "phone", "telephone": "phone", "phone number": "phone", "contact name": "contact_name", "primary contact": "contact_name", "contact": "contact_name",
+        "no. of employees": "employee_count", "no of employees": "employee_count", "number of employees": "employee_count", "employees": "employee_count", "email": "email", "email address": "email",
+        "website": "website", "web site": "website", "territory/province": "territory_province", "territory": "territory_province", "province": "territory_province", "status": "business_status",
+        "business status": "business_status", "effective date": "effective_date", "sectors": "sectors", "goods": "goods", "services": "services",
+    },
+}
+#: The columns kept of a select licence file, and those of them in which a word for absent counts as absent.
+SELECT_LICENCE = {
+    "Legal Name": "legal_name", "Operating name": "operating_name", "Address": "address", "City": "city", "Province": "province", "Postal code": "postal_code", "Country": "country", "Telephone": "phone",
+    "Website": "website", "Email": "email", "Licence type": "licence_type", "Licence number": "licence_number", "Licence status": "licence_status", "Expiry date": "expiry_date",
+}
+SELECT_LICENCE_CLEANED = ("operating_name", "postal_code", "country", "phone", "website", "email", "expiry_date")
+SELECT_LICENCE_ABSENT = ("n/a", "na", "none", "", "null", "-")
+REGULATED_ABSENT = ("n/a", "na", "none", "", "null", "-", "not available")
+PROFILE_LISTS = ("sectors", "goods", "services")

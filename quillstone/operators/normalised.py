@@ -12,15 +12,23 @@ LATER = ("incorporation_date",)
 RAW = ("legal_name", "trade_name", "street", "city", "province", "postal_code", "phone", "email", "website", "status", "employees", "naics", "issued_date", *LATER)
 
 
-def from_payload(df: DataFrame, payload: str = "raw_payload", source: str = "source_key") -> DataFrame:
-    """Raw fields from a payload map by their aliases, and what no field reads as ``extra``; permits have defaults."""
+def from_payload(df: DataFrame, payload: str = "raw_payload", source: str = "source_key", compat: bool = False) -> DataFrame:
+    """Raw fields and identifiers from a payload map by their aliases, and what no field reads as ``extra``; permits have defaults.
+
+    Identifiers: corp_number, bn, external_id (of the one source that has it), and record_id, which is source and id in it
+    unless the rows have one. What ``extra`` holds stays there when it is read as an identifier. ``compat``: see ``normalise.field``.
+    """
     keys = F.map_from_entries(F.transform(F.map_entries(payload), lambda e: F.struct(F.lower(F.trim(e["key"])).alias("key"), e["value"].alias("value"))))
     permits = F.col(source) == n.t.PERMITS
     p = F.when(permits, keys).otherwise(F.col(payload))
-    fields = {c: n.field(p, c) for c in n.t.ALIASES}
+    fields = {c: n.field(p, c, compat) for c in n.t.ALIASES}
     fields["city"] = F.coalesce(fields["city"], F.when(permits, "Québec"))
     fields["province"] = F.coalesce(fields["province"], F.when(permits, "QC"))
-    return df.select("*", *(v.alias(k) for k, v in fields.items()), n.extra(p, F.col(source)).alias("extra"))
+    of = lambda keys: n.first_nonempty(*(p[k] for k in keys))
+    ids = {"corp_number": of(n.t.CORP_NUMBER_KEYS[:2] if compat else n.t.CORP_NUMBER_KEYS), "bn": of(n.t.BN_KEYS), "external_id": F.when(F.col(source) == n.t.EXTERNAL_ID_SOURCE, of(n.t.EXTERNAL_ID_KEYS))}
+    if "record_id" not in df.columns and "source_record_id" in df.columns:
+        ids["record_id"] = F.concat_ws(":", source, "source_record_id")
+    return df.select("*", *(v.alias(k) for k, v in (fields | ids).items()), n.extra(p, F.col(source), compat).alias("extra"))
 
 
 def normalised(df: DataFrame) -> DataFrame:

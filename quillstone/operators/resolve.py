@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quillstone.functions import tables as t
 from quillstone.functions.normalise import blank_to_null, let
 from quillstone.operators import history
+from quillstone.operators.store import Tables
 
 THRESHOLD = 88
 #: The steps on equal keys, in their order: rule, confidence, score.
@@ -24,13 +25,17 @@ RULES = (("EXACT_IDENTIFIER", "HIGH", 100.0), ("DOMAIN_POSTAL", "MEDIUM", 90.0),
 
 
 def match_keys(df: DataFrame, id_col: str, steps: tuple[int, ...]) -> DataFrame:
-    """(id_col, step, priority, kind, a, b): all keys by which a row can be matched; licence ids hold within their source."""
+    """(id_col, step, priority, kind, a, b): all keys by which a row can be matched.
+
+    Licence ids hold within their source: the ids that the source gives, where the rows have them, else that of the row.
+    """
     def one(step: int, priority: int, kind: str, a: Column, b: Column) -> Column:
         return F.struct(F.lit(step).alias("step"), F.lit(priority).alias("priority"), F.lit(kind).alias("kind"), a.alias("a"), b.alias("b"))
 
     none = F.lit("")
+    licences = [c for c in ("external_id", "source_record_id") if c in df.columns] or [id_col]
     keys = {
-        0: [one(0, 1, "CORP_NUMBER", blank_to_null(F.trim("corp_number")), none), one(0, 2, "BN", blank_to_null(F.trim("bn")), none), one(0, 3, "LICENCE_ID", F.col(id_col), F.col("source_key"))],
+        0: [one(0, 1, "CORP_NUMBER", blank_to_null(F.trim("corp_number")), none), one(0, 2, "BN", blank_to_null(F.trim("bn")), none), *(one(0, i, "LICENCE_ID", blank_to_null(F.trim(c)), F.col("source_key")) for i, c in enumerate(licences, 3))],
         1: [one(1, 1, "DOMAIN", F.col("domain"), F.col("postal_code"))],
         2: [one(2, 1, "PHONE", F.col("phone"), F.col("postal_code"))],
         3: [one(3, 1, "NAME", F.col(c), F.col("normalised_address")) for c in ("legal_name", "trade_name")],
@@ -98,36 +103,115 @@ def ratio(a: Column, b: Column) -> Column:
     return score.asNondeterministic()(a, b)
 
 
-def fuzzy_pairs(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD, salts: int = 8) -> DataFrame:
+#: Letters of the grams that names are looked up by; each name takes the size that leads to the fewest others.
+GRAMS = (2, 3, 4)
+#: Scores that ``match_fuzzy`` looks for first: the higher one is, the fewer and rarer grams need to be looked up.
+RUNGS = (96,)
+
+
+def grams(words: Column, size: int) -> Column:
+    """All grams of a size within the words, each with its number among the equal ones, so that they form a set."""
+    of = lambda w: F.when(F.length(w) >= size, F.transform(F.sequence(F.lit(1), F.length(w) - (size - 1)), lambda i: F.substring(w, i, F.lit(size)))).otherwise(F.array().cast("array<string>"))
+    numbered = lambda g: F.transform(g, lambda x, i: F.concat(F.lit(f"{size}:"), x, (i + 2 - F.array_position(g, x)).cast("string")))
+    return let(F.array_sort(F.flatten(F.transform(words, of))), numbered)
+
+
+def _looked_up(words: Column, whole: Column, share: float) -> Column:
+    """For each size of grams a name's, and how many of them the changes that a score allows can take, of a text of ``whole`` letters.
+
+    A deleted letter takes part in ``size`` grams at most, an inserted one in one fewer. Of lengths that differ, all changes are of one kind at the extremes.
+    """
+    def of(size: int) -> Column:
+        can = F.greatest(whole * (2 * size * share / (1 + share)), whole * (2 * (size - 1) * share / (1 - share)))
+        return F.struct(F.lit(size).alias("size"), grams(words, size).alias("grams"), F.floor(can + 1e-6).cast("int").alias("can"))
+
+    return F.array(*map(of, GRAMS))
+
+
+def names_to_compare(df: DataFrame, id_col: str, wanted: tuple[str, ...]) -> DataFrame:
+    """Block (first three characters of the postal code), words, length and code of each row's name, and its place if it has one; rows without a code left out."""
+    names = [F.col(c) for c in wanted if c in df.columns]
+    words = words_of(F.lower(F.coalesce(*names, F.lit(""))))
+    own = [c for c in ("place",) if c in df.columns]
+    rows = df.filter(F.col("postal_code").isNotNull()).select(id_col, F.upper(F.substring("postal_code", 1, 3)).alias("fsa"), words.alias("words"), words_of(F.upper("postal_code")).alias("code"), F.coalesce(*names).isNotNull().alias("named"), *own)
+    return rows.select("*", F.length(F.array_join("words", " ")).alias("length"), (F.length(F.array_join("code", " ")) + 1).alias("tail"))
+
+
+def gram_pairs(records: DataFrame, entities: DataFrame, threshold: int) -> DataFrame:
+    """(record_id, entity_id) of all pairs whose score can reach ``threshold``, and few others; of ``names_to_compare``.
+
+    The score allows an indel distance of ``(100 - threshold)`` percent of both lengths. A name whose changes cannot take all its grams of a size
+    shares one of its rarest with every name near enough: one more of them than can be taken. Rare are those that few
+    of the block's entities hold, and of the sizes that serve a record takes the one whose rarest grams are held least often. Postal codes are the same on both
+    sides and take no part. Names of so few grams that all can be taken meet the names of their block that are about as long.
+    """
+    share = (100 - threshold) / 100
+    whole = F.col("length") + F.col("tail")
+    own = ("record_id", "fsa", "l", "tail")
+    a = records.select("record_id", "fsa", "length", "tail", whole.alias("l"), _looked_up(F.col("words"), whole, share).alias("sizes"))
+    serves = lambda s: F.size(s["grams"]) > s["can"]
+    asked = a.select(*own, F.inline(F.filter("sizes", serves))).select(*own, "size", "can", F.explode("grams").alias("gram"))
+    held = entities.select("entity_id", "fsa", F.col("length").alias("name"), F.explode(F.concat(*(grams(F.col("words"), s) for s in GRAMS))).alias("gram"))
+    # Only grams that a record asks for are counted.
+    often = held.join(asked.select("fsa", "gram").distinct(), ["fsa", "gram"], "left_semi").groupBy("fsa", "gram").agg(F.count("*").alias("n"))
+    met = asked.join(often, ["fsa", "gram"], "left")
+    first = met.groupBy(*own, "size", "can").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), "gram"))).alias("g"))  # of one name
+    rarest = first.select(*own, "size", F.slice("g", F.lit(1), F.col("can") + 1).alias("g"))
+    cost = F.aggregate("g", F.lit(0).cast("long"), lambda t, x: t + x["n"])
+    least = rarest.groupBy(*own).agg(F.min_by("g", F.struct(cost, "size")).alias("g"))
+    x = least.select(*own, F.explode(F.filter("g", lambda y: y["n"] > 0)).alias("y")).select(*own, "y.gram")
+    near = lambda rows: rows.filter(F.abs(F.col("l") - F.col("name") - F.col("tail")) <= share * (F.col("l") + F.col("name") + F.col("tail")) + 1e-6).select("record_id", "entity_id")
+    low = F.ceil((F.col("length") * (1 - share) - 2 * share * F.col("tail")) / (1 + share) - 1e-6)
+    high = F.floor((F.col("length") * (1 + share) + 2 * share * F.col("tail")) / (1 - share) + 1e-6)
+    short = a.filter(~F.exists("sizes", serves)).select(*own, F.explode(F.sequence(F.greatest(low, F.lit(0)).cast("int"), high.cast("int"))).alias("name"))
+    return near(held.join(x, ["fsa", "gram"])).unionByName(near(short.join(entities.select("entity_id", "fsa", F.col("length").alias("name")), ["fsa", "name"]))).distinct()
+
+
+def fuzzy_pairs(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(record_id, entity_id, score) of names that are similar enough, within a postal block (first three characters).
 
-    Both names are compared with the record's postal code behind them, words sorted. The score allows
-    an indel distance of at most ``(100 - threshold)`` percent of both lengths; lengths further apart than that do not meet in the join, and
-    the edit distance with substitutions, which is never larger, drops pairs before any is scored. Nothing is lost by either.
-    A block's records are dealt over ``salts`` tasks, so that a common postal code is not one task's work; pairs to score are dealt by record.
+    Both names are compared with the record's postal code behind them, words sorted. Pairs that share a rare gram (``gram_pairs``) are compared by
+    the edit distance with substitutions, which is never larger than the one that counts, and what that leaves is scored. Nothing is lost by
+    either. Where both sides have a ``place``, only entities without one or of a smaller one are compared.
     """
-    fsa, length = F.upper(F.substring("postal_code", 1, 3)), F.length(F.array_join("words", " "))
-    names = [F.col(c) for c in ("legal_name", "trade_name", "canonical_name")]
-    a = records.filter(F.coalesce(*names[:2]).isNotNull() & F.col("postal_code").isNotNull())
-    a = a.select("record_id", fsa.alias("fsa"), words_of(F.lower(F.coalesce(*names[:2]))).alias("words"), words_of(F.upper("postal_code")).alias("code"))
-    share, tail = (100 - threshold) / 100, F.length(F.array_join("code", " ")) + 1
-    low, high = (length * (1 - share) - 2 * share * tail) / (1 + share), (length * (1 + share) + 2 * share * tail) / (1 - share)
-    a = a.select("record_id", "fsa", "code", key_of(F.col("words"), F.col("code")).alias("x"), F.explode(F.sequence(F.greatest(F.ceil(low - 1e-6), F.lit(0)).cast("int"), F.floor(high + 1e-6).cast("int"))).alias("length"))
-    b = entities.filter(F.col("postal_code").isNotNull()).select("entity_id", fsa.alias("fsa"), words_of(F.lower(F.coalesce(*(c for c, n in zip(names, ("legal_name", "trade_name", "canonical_name"), strict=True) if n in entities.columns), F.lit("")))).alias("words"))
-    a = a.withColumn("salt", F.pmod(F.xxhash64("record_id"), F.lit(salts)).cast("int"))
-    b = b.select("*", length.alias("length"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    # Dealt as a join that shuffles wants it; where the records are few enough to broadcast, it spreads the comparing.
-    pairs = a.join(b.repartition("fsa", "length", "salt"), ["fsa", "length", "salt"])
-    close = lambda k: F.when(F.levenshtein(k["x"], k["y"]) <= F.floor(share * (F.length(k["x"]) + F.length(k["y"])) + 1e-6), k)
-    keys = F.struct("x", key_of(F.col("words"), F.col("code")).alias("y"))
-    pairs = pairs.select("record_id", "entity_id", let(keys, close).alias("k")).filter("k is not null").repartition("record_id")
+    a = names_to_compare(records, "record_id", ("legal_name", "trade_name")).filter("named")
+    b = names_to_compare(entities, "entity_id", ("legal_name", "trade_name", "canonical_name"))
+    return _scored(a, b, threshold)
+
+
+def _scored(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
+    share = (100 - threshold) / 100
+    pairs = gram_pairs(a, b, threshold)
+    own = [F.col("place").alias(c) for c in ("_after",) if "place" in a.columns]
+    pairs = pairs.join(a.select("record_id", F.col("words").alias("u"), "code", *own), "record_id").join(b.select("entity_id", F.col("words").alias("v"), *(c for c in ("place",) if c in b.columns)), "entity_id")
+    if own and "place" in b.columns:
+        pairs = pairs.filter(F.col("place").isNull() | (F.col("place") < F.col("_after")))
+    # With its bound the distance is looked for near the diagonal only; beyond it the answer is -1.
+    most = lambda k: F.floor(share * (F.length(k["x"]) + F.length(k["y"])) + 1e-6).cast("int")
+    close = lambda k: F.when(F.call_function("levenshtein", k["x"], k["y"], most(k)) >= 0, k)
+    keys = F.struct(key_of(F.col("u"), F.col("code")).alias("x"), key_of(F.col("v"), F.col("code")).alias("y"))
+    pairs = pairs.select("record_id", "entity_id", let(keys, close).alias("k")).filter("k is not null")
     return pairs.select("record_id", "entity_id", ratio(F.col("k.x"), F.col("k.y")).alias("score")).filter(F.col("score") >= threshold)
 
 
-def match_fuzzy(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The highest score of each record, ties to the smallest entity."""
-    best = fuzzy_pairs(records, entities, threshold).groupBy("record_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "entity_id")).alias("m"))
-    return best.select("record_id", F.col("m.entity_id").alias("entity_id"), F.lit("FUZZY_NAME").alias("rule"), F.lit("LOW").alias("confidence"), F.round(-F.col("m.s"), 2).alias("score"))
+def match_fuzzy(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD, rungs: tuple[int, ...] = RUNGS) -> DataFrame:
+    """The highest score of each record, ties to the smallest entity.
+
+    Rung by rung, from the highest score down: all pairs that reach a rung are found there, so a record that has one is answered, and only the others
+    look up the more and commoner grams of the next.
+    """
+    tables = Tables(records.sparkSession, "fuzzy")
+    # Dealt, so that grams of few and small rows are not one task's work either.
+    dealt = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    a = tables.put("a", names_to_compare(records, "record_id", ("legal_name", "trade_name")).filter("named").repartition(dealt, "record_id"))
+    b = tables.put("b", names_to_compare(entities, "entity_id", ("legal_name", "trade_name", "canonical_name")).repartition(dealt, "entity_id"))
+    found: DataFrame | None = None
+    for i, rung in enumerate((*(r for r in sorted(rungs, reverse=True) if r > threshold), threshold)):
+        left = a if found is None else a.join(found.select("record_id"), "record_id", "left_anti")
+        best = _scored(left, b, rung).groupBy("record_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "entity_id")).alias("m"))
+        best = tables.put(f"rung-{i}", best) if rung > threshold else best
+        found = best if found is None else found.unionByName(best)
+    return found.select("record_id", F.col("m.entity_id").alias("entity_id"), F.lit("FUZZY_NAME").alias("rule"), F.lit("LOW").alias("confidence"), F.round(-F.col("m.s"), 2).alias("score"))
 
 
 def has_identity(columns: list[str]) -> Column:

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillstone.operators.store import spread
+
 
 def pick(by: str, *values: str) -> str:
     """The value at ``by`` modulo their number."""
@@ -59,7 +61,8 @@ def landing_sql() -> str:
 
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sql = landing_sql()
-    for name in ("customer", "supplier"):
-        sql = sql.replace(f"FROM {name}", f"FROM parquet.`{sf_dir}/{name}.parquet`")
-    return spark.sql(sql)
+    """The view as a frame. Its rows are dear to normalise, so that small tables are spread over the cores first."""
+    sql, tables = landing_sql(), {name: spread(spark.read.parquet(f"{sf_dir}/{name}.parquet")) for name in ("customer", "supplier")}
+    for name in tables:
+        sql = sql.replace(f"FROM {name}", f"FROM {{{name}}}")
+    return spark.sql(sql, **tables)

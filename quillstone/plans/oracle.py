@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quillstone.functions import tables as t
+from quillstone.plans.batch_sql import batch_oracles
 from quillstone.plans.landing import landing_sql
 
 AS_OF = "TIMESTAMP '2024-06-01 00:00:00'"
@@ -353,3 +354,4 @@ SELECT p.page_id, coalesce(string_agg(u, '|' ORDER BY place), '') AS domains FRO
     "domain_verification": rf"""WITH p AS (SELECT page_id, lower({_text("html")}) AS body, list_filter(regexp_split_to_array(lower('The ' || substr(html, 200, 12) || ' article Inc'), '\W+'), lambda w: length(w) > 2 AND w NOT IN {_in(t.NAME_NOISE)}) AS words FROM pages)
 SELECT page_id, CASE WHEN len(list_filter(words, lambda w: contains(body, w))) >= 2 AND (contains(body, 'nowhere') OR contains(body, 'the')) THEN 'VERIFIED' WHEN len(list_filter(words, lambda w: contains(body, w))) >= 1 THEN 'PLAUSIBLE' ELSE 'NOT_VERIFIED' END AS verdict FROM p""",
 }
+ORACLE_SQL |= batch_oracles(BASE, STORES, _STEPS, _HAS_ID)

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import normalise as n
 from quillstone.functions import tables as t
-from quillstone.operators import enrich, extract, history, listing, profile, quality, records, resolve
+from quillstone.operators import batch, enrich, extract, history, listing, profile, quality, records, resolve
 from quillstone.operators.normalised import normalised
+from quillstone.operators.store import Tables, hadoop_path
+from quillstone.plans.landed import source_records
 from quillstone.plans.landing import landing
 from quillstone.sources import readers
 
@@ -29,9 +31,24 @@ def norm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalised(landing(spark, sf_dir))
 
 
+_kept: dict[tuple, DataFrame] = {}
+
+
+def kept_norm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalised records as a table, written once per application for the files as they are: what all but the normalisers begin with.
+
+    They are dear to make and read by many; a plan that reads the table holds none of their expressions.
+    """
+    files = [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for name in ("customer", "supplier") for fs, p in [hadoop_path(spark, f"{sf_dir}/{name}.parquet")] for f in fs.listStatus(p)]
+    key = (spark.sparkContext.applicationId, sf_dir, *files)
+    if key not in _kept:
+        _kept[key] = Tables(spark, "normalised").put("rows", norm(spark, sf_dir))
+    return _kept[key]
+
+
 def stores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Incoming records (the second source) and known entities (the first)."""
-    rows = norm(spark, sf_dir)
+    rows = kept_norm(spark, sf_dir)
     return rows.filter("source_key = 'bc_indigenous'"), rows.filter("source_key = 'vancouver'").withColumn("entity_id", F.col("record_id"))
 
 
@@ -183,6 +200,27 @@ def resolve_outcomes(spark, sf_dir):
     return resolve.resolve(*stores(spark, sf_dir))
 
 
+@query
+def resolve_batch(spark, sf_dir):
+    """Records of both sources, of which some belong together, against the entities that every other record of the first made before."""
+    rows = kept_norm(spark, sf_dir)
+    known = rows.filter("source_key = 'vancouver' AND row_key % 2 = 1").withColumn("entity_id", F.col("record_id"))
+    return batch.resolve_batch(rows.filter("source_key = 'bc_indigenous' OR row_key % 2 = 0"), known)
+
+
+@query
+def source_to_entity(spark, sf_dir):
+    """From landed files of five sources, each in its own form, to the entities that their records make or join."""
+    tables = Tables(spark, "arrival")
+    arrived = source_records(spark, sf_dir, tables)
+    outcomes = tables.put("outcomes", batch.resolve_batch(arrived, arrived.limit(0).withColumn("entity_id", F.col("record_id"))))
+    rows = resolve.placed(arrived, outcomes)
+    made = resolve.new_entities(rows).select("entity_id", "canonical_name")
+    own = rows.withColumn("made", F.when(F.col("outcome").isin("CANDIDATE", "NEW"), F.col("entity_id")))
+    named = own.join(made.withColumnRenamed("entity_id", "made"), "made", "left")
+    return named.select("record_id", "source_key", "outcome", "rule", "confidence", "score", "entity_id", "canonical_name", "corp_number", "normalised_address")
+
+
 @query
 def resolve_exact_steps(spark, sf_dir):
     """The cascade without its fuzzy step, which SQL cannot score."""
@@ -279,7 +317,7 @@ def field_history(spark, sf_dir):
 def business_events(spark, sf_dir):
     kinds = F.element_at(F.array(*map(F.lit, (*t.TYPED_EVENTS, "OTHER"))), (F.col("row_key") % 9 + 1).cast("int"))
     status = F.element_at(F.array(*map(F.lit, ("NEW", "CANDIDATE", "MATCHED"))), (F.col("row_key") % 3 + 1).cast("int"))
-    rows = norm(spark, sf_dir).select(
+    rows = kept_norm(spark, sf_dir).select(
         (F.col("row_key") % 400).alias("entity_id"), "run_id", status.alias("resolution_status"), F.when(F.col("row_key") % 2 == 0, "EVENT").otherwise("LICENCE").alias("grain"), kinds.alias("event_type"),
         F.col("issued_date").cast("date").alias("event_date"), F.when(F.col("row_key") % 5 != 0, F.col("legal_name")).alias("display_name"), F.concat(F.lit("P"), F.col("row_key").cast("string")).alias("permit_number"),
     )
@@ -310,7 +348,7 @@ def event_fields(spark, sf_dir):
         "effective date": when(4, F.col("raw_issued_date")), "issue_date": when(6, F.lit("no date")), "registration_date": when(3, F.lit("2024-02-01")), "company_name": when(2, F.col("raw_legal_name")), "name": when(3, F.lit("named")),
         "numero_permis": when(5, F.lit("")), "permit_number": F.concat(F.lit("P"), k.cast("string")), "event_type": when(7, F.lit(t.FIRST_ISSUE)),
     }
-    rows = norm(spark, sf_dir).select(
+    rows = kept_norm(spark, sf_dir).select(
         "record_id", when(5, F.col("legal_name")).alias("legal_name"), when(11, F.col("trade_name")).alias("trade_name"), when(7, F.col("issued_date")).alias("issued_date"), when(13, F.lit("2020-01-01").cast("timestamp")).alias("incorporation_date"),
         F.create_map(F.lit("event_type"), when(3, F.lit("REGISTRY_FILING"))).alias("extra"), F.create_map(*(x for name, c in payload.items() for x in (F.lit(name), c))).alias("raw_payload"),
     )
@@ -320,7 +358,7 @@ def event_fields(spark, sf_dir):
 # --- quality and listing -------------------------------------------------------------------------
 def entities(spark, sf_dir) -> DataFrame:
     """Entities with everything that is scored and listed; what no record holds is a formula of the key."""
-    rows = norm(spark, sf_dir)
+    rows = kept_norm(spark, sf_dir)
     k = F.col("row_key")
     return rows.select(
         F.col("record_id").alias("entity_id"), "row_key", "source_key", F.coalesce("legal_name", "trade_name", "source_key").alias("canonical_name"), "legal_name", F.when(k % 3 == 0, "CORPORATION").alias("entity_type"), "corp_number", "bn",
@@ -455,7 +493,7 @@ def stats_by_province(spark, sf_dir):
 
 @query
 def stats_by_source(spark, sf_dir):
-    return listing.by_source(norm(spark, sf_dir).select("source_key", F.col("legal_name").alias("entity_id")))
+    return listing.by_source(kept_norm(spark, sf_dir).select("source_key", F.col("legal_name").alias("entity_id")))
 
 
 @query
@@ -521,7 +559,7 @@ def enrich_directors_due(spark, sf_dir):
 
 @query
 def enrich_registers_due(spark, sf_dir):
-    rows = norm(spark, sf_dir)
+    rows = kept_norm(spark, sf_dir)
     k = F.col("row_key")
     known = rows.filter("row_key % 2 = 0").select(F.col("record_id").alias("entity_id"), F.lit("BC_REG_ID").alias("id_type"), k.cast("string").alias("id_value"))
     seen = rows.select(F.col("record_id").alias("entity_id"), F.lit("legal_name").alias("field"), (k % 5 != 0).alias("is_current"), F.when(k % 7 < 3, enrich.REGISTER).alias("enrichment_source"))
@@ -546,7 +584,7 @@ def large_values(spark, sf_dir):
 
 @query
 def duplicate_rows(spark, sf_dir):
-    return profile.duplicates(norm(spark, sf_dir).select("record_id", "trade_name"), F.col("trade_name"), ["record_id"])
+    return profile.duplicates(kept_norm(spark, sf_dir).select("record_id", "trade_name"), F.col("trade_name"), ["record_id"])
 
 
 @query
@@ -586,7 +624,7 @@ def multi_value_groups(spark, sf_dir):
 
 @query
 def recency_buckets(spark, sf_dir):
-    return profile.recency_buckets(norm(spark, sf_dir), F.col("issued_date").cast("date"), F.lit("2024-04-01").cast("date"))
+    return profile.recency_buckets(kept_norm(spark, sf_dir), F.col("issued_date").cast("date"), F.lit("2024-04-01").cast("date"))
 
 
 @query
@@ -620,13 +658,13 @@ def contact_quality(spark, sf_dir):
 @query
 def stream_counters(spark, sf_dir):
     """Gaps and classes of a whole table in one pass."""
-    rows = norm(spark, sf_dir)
+    rows = kept_norm(spark, sf_dir)
     return rows.groupBy("source_key").agg(F.count("*").alias("n"), F.count_if(F.col("province").isNull()).alias("no_province"), F.count_if(F.col("status") == "ACTIVE").alias("n_active"), F.countDistinct("province").alias("n_provinces"))
 
 
 @query
 def province_distribution(spark, sf_dir):
-    return profile.shares(norm(spark, sf_dir).filter("province is not null"), "province")
+    return profile.shares(kept_norm(spark, sf_dir).filter("province is not null"), "province")
 
 
 @query
@@ -647,7 +685,7 @@ def label_buckets(spark, sf_dir):
 @query
 def coverage_matrix(spark, sf_dir):
     regions = spark.createDataFrame([(p,) for p in t.PROVINCES], "province string")
-    return profile.coverage(norm(spark, sf_dir), regions, "province")
+    return profile.coverage(kept_norm(spark, sf_dir), regions, "province")
 
 
 @query

@@ -21,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions import tables as t
-from quillstone.functions.normalise import blank_to_null
+from quillstone.functions.normalise import blank_to_null, let
+from quillstone.operators.records import composite_id
 
+# --- fixed values: what a text table may be written in -------------------------------------------
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252", "latin-1")
 DELIMITERS = ",\t;|"
 
@@ -40,8 +42,7 @@ def sniff(head: bytes) -> tuple[str, str]:
     try:
         return encoding, csv.Sniffer().sniff(text, DELIMITERS).delimiter
     except csv.Error:
-        line = text.split("\n", 1)[0]
-        return encoding, max(DELIMITERS, key=line.count)
+        return encoding, max(DELIMITERS, key=text.count)
 
 
 def _decodes(head: bytes, encoding: str) -> bool:
@@ -52,31 +53,59 @@ def _decodes(head: bytes, encoding: str) -> bool:
     return True
 
 
-def read_table(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", keep_case: bool = False) -> DataFrame:
-    """A text table with a header, all values text. Unless ``keep_case``: names in lower case, values stripped, none null."""
-    rows = spark.read.csv(path, header=True, sep=sep, encoding=encoding, multiLine=True, escape='"', inferSchema=False)
+#: Names that Spark reads an encoding by. The one it does not know differs from the last in 27 characters, which are put right after reading.
+READ_AS = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "cp1252": "ISO-8859-1", "latin-1": "ISO-8859-1"}
+_CP1252 = {bytes([b]).decode("latin-1"): c for b in range(0x80, 0xA0) if (c := bytes([b]).decode("cp1252", "ignore"))}
+
+
+def written_in(spark: SparkSession, path: str, lines: int = 50) -> tuple[str, str]:
+    """Encoding and delimiter of landed text tables, from the first lines of one of them; UTF-8 and comma where there is none."""
+    # Each byte is a character of this encoding, and no delimiter or quote parts a line.
+    rows = spark.read.option("encoding", "ISO-8859-1").option("sep", "\u0001").option("quote", "").schema("line string").csv(path).limit(lines).collect()
+    head = "\n".join(r["line"] or "" for r in rows).encode("latin-1")
+    return sniff(head) if head else ("utf-8", ",")
+
+
+def read_table(spark: SparkSession, path: str, sep: str | None = None, encoding: str | None = None, keep_case: bool = False) -> DataFrame:
+    """A text table with a header, all values text. Unless ``keep_case``: names in lower case, values stripped, none null.
+
+    Encoding and delimiter are looked up in the files where they are not given.
+    """
+    if sep is None or encoding is None:
+        found, delimiter = written_in(spark, path)
+        sep, encoding = sep or delimiter, encoding or found
+    rows = spark.read.csv(path, header=True, sep=sep, encoding=READ_AS.get(encoding, encoding), multiLine=True, escape='"', inferSchema=False)
+    if encoding == "cp1252":
+        a, b = "".join(_CP1252), "".join(_CP1252.values())
+        rows = rows.select(*(F.translate(F.col(f"`{c}`"), a, b).alias(c.translate(str.maketrans(_CP1252))) for c in rows.columns))
     if keep_case:
         return rows
     return rows.select(*(F.coalesce(F.trim(F.col(f"`{c}`")), F.lit("")).alias(c.strip().lower().removeprefix("﻿")) for c in rows.columns))
 
 
-def renamed(df: DataFrame, aliases: dict[str, str]) -> DataFrame:
-    """Known headers by ``aliases`` (lower-cased header: field), others in lower case with underscores; the first of equal names wins."""
-    out, taken = [], set()
+def _clean(c: Column, absent: tuple[str, ...]) -> Column:
+    """The trimmed value, empty where it is null or a word for absent."""
+    return F.when(F.lower(F.trim(c)).isin(*absent), "").otherwise(F.coalesce(F.trim(c), F.lit("")))
+
+
+def renamed(df: DataFrame, aliases: dict[str, str], absent: tuple[str, ...] = (), underscores: bool = True) -> DataFrame:
+    """Known headers by ``aliases`` (lower-cased header: field), others in lower case, with underscores if so wanted; empty rows go.
+
+    Of several columns that become one field the last counts, as it would in a row read into a map.
+    """
+    out: dict[str, str] = {}
     for c in df.columns:
-        name = aliases.get(c.strip().lower(), re.sub(r"\s+", "_", c.strip().lower()))
-        if name not in taken:
-            taken.add(name)
-            out.append(F.col(f"`{c}`").alias(name))
-    return df.select(*out)
+        own = c.strip().lower().removeprefix("\ufeff")
+        out[aliases.get(own, own.replace(" ", "_") if underscores else own)] = c
+    rows = df.select(*(_clean(F.col(f"`{c}`"), absent).alias(name) for name, c in out.items()))
+    return rows.filter(F.greatest(*(F.length(f"`{c}`") for c in rows.columns), F.lit(0)) > 0)
 
 
-def projected(df: DataFrame, columns: dict[str, str], absent: tuple[str, ...], required: str) -> DataFrame:
-    """Fixed columns, words for absent made empty, rows without the required one dropped."""
-    low = {c.strip().lower(): c for c in df.columns}
-    clean = lambda c: F.when(F.lower(F.trim(c)).isin(*absent), "").otherwise(F.coalesce(F.trim(c), F.lit("")))
-    rows = df.select(*(clean(F.col(f"`{low[h]}`") if h in low else F.lit("")).alias(name) for h, name in columns.items()))
-    return rows.filter(F.col(required) != "")
+def projected(df: DataFrame, columns: dict[str, str], absent: tuple[str, ...], required: str, cleaned: tuple[str, ...] | None = None) -> DataFrame:
+    """Fixed columns (by header, as written), words for absent made empty (in the fields ``cleaned``, else in all), rows without the required one dropped."""
+    own = {c.strip().removeprefix("\ufeff"): c for c in df.columns}
+    of = lambda h, name: _clean(F.col(f"`{own[h]}`") if h in own else F.lit(""), absent if cleaned is None or name in cleaned else ())
+    return df.select(*(of(h, name).alias(name) for h, name in columns.items())).filter(F.col(required) != "")
 
 
 def texts(spark: SparkSession, path: str) -> DataFrame:
@@ -89,10 +118,10 @@ def row_map(df: DataFrame) -> Column:
     return F.map_from_arrays(F.array(*map(F.lit, df.columns)), F.array(*(F.col(f"`{c}`").cast("string") for c in df.columns)))
 
 
-def raw_records(df: DataFrame, payload: Column, source_key: str, grain: str, ids: list[str], repeats: bool = False) -> DataFrame:
+def raw_records(df: DataFrame, payload: Column, source_key: str, grain: str, ids: list[str], repeats: bool = False, made_of: tuple[str, ...] = ()) -> DataFrame:
     """Raw records: source_key, grain, source_record_id, raw_payload.
 
-    The id is the first value among ``ids``, else a hash of the row. ``repeats``: id, hash of the row and the
+    The id is the first value among ``ids``, else a hash of the row; or that of the values of ``made_of``, joined by colons. ``repeats``: id, hash of the row and the
     number among rows that are equal, joined by colons, so that no two rows share an id.
     """
     digest = F.substring(F.sha2(F.to_json("raw_payload"), 256), 1, 32)
@@ -100,6 +129,8 @@ def raw_records(df: DataFrame, payload: Column, source_key: str, grain: str, ids
     known = F.coalesce(*(blank_to_null(F.trim(F.col("raw_payload")[c])) for c in ids), F.lit(None).cast("string"))
     rows = rows.select("raw_payload", known.alias("known"), digest.alias("digest"))
     rid = F.coalesce("known", "digest")
+    if made_of:
+        rid = F.coalesce("known", composite_id(*(F.col("raw_payload")[c] for c in made_of)))
     if repeats:
         place = F.row_number().over(Window.partitionBy("known", "digest").orderBy(F.lit(0)))  # rows of a window are alike
         rid = F.concat_ws(":", F.coalesce("known", F.lit("")), "digest", place.cast("string"))
@@ -219,14 +250,56 @@ def page_tables(pages: DataFrame, html_col: str = "html", headers: tuple[str, ..
     return pages.mapInPandas(read, schema)
 
 
+#: Character references that pages write text with.
+REFERENCES = {"&nbsp;": " ", "&#160;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&#039;": "'", "&apos;": "'", "&amp;": "&"}
+
+
+def page_text(markup: Column) -> Column:
+    """The text of a piece of markup: without tags, references resolved, white space collapsed."""
+    s = F.regexp_replace(markup, r"<[^>]*>", " ")
+    s = reduce(lambda x, kv: F.replace(x, F.lit(kv[0]), F.lit(kv[1])), REFERENCES.items(), s)
+    return F.trim(F.regexp_replace(s, r"\s+", " "))
+
+
+def _last_of_each(entries: Column) -> Column:
+    """Entries (k, v) as a map; the last of equal keys wins."""
+    return let(entries, lambda e: F.map_from_entries(F.filter(e, lambda x, i: ~F.exists(F.slice(e, i + 2, F.size(e)), lambda y: y["k"] == x["k"]))))
+
+
 def profile_pairs(html: Column) -> Column:
-    """Label and value of two-cell table rows, as a map; the first of equal labels wins."""
-    row = r"(?is)<tr\b[^>]*>\s*<t[hd]\b[^>]*>(.*?)</t[hd]>\s*<td\b[^>]*>(.*?)</td>\s*</tr>"
-    text = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, r"<[^>]*>", " "), r"\s+", " "))
-    pairs = F.arrays_zip(F.regexp_extract_all(html, F.lit(row), F.lit(1)).alias("k"), F.regexp_extract_all(html, F.lit(row), F.lit(2)).alias("v"))
-    named = F.transform(pairs, lambda p: F.struct(F.lower(F.regexp_replace(text(p["k"]), ":$", "")).alias("k"), text(p["v"]).alias("v")))
-    first = F.aggregate(named, F.array().cast("array<struct<k:string,v:string>>"), lambda a, x: F.when(F.exists(a, lambda y: y["k"] == x["k"]), a).otherwise(F.concat(a, F.array(x))))
-    return F.map_from_entries(first)
+    """Label (lower case, without a colon behind it) and value of the table rows that have two cells, as a map; the last of equal labels wins."""
+    cells = lambda row: F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<(td|th)\b[^>]*>(.*?)</\1\s*>"), F.lit(2)), page_text)
+    rows = F.filter(F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1)), cells), lambda c: F.size(c) == 2)
+    return _last_of_each(F.transform(rows, lambda c: F.struct(F.rtrim(F.lower(c[0]), F.lit(":")).alias("k"), c[1].alias("v"))))
+
+
+def _page_list(html: Column, label: str) -> Column:
+    """The items of the list whose class names ``label``, else of the first list behind a heading that does; null where there is none."""
+    own = F.regexp_extract(html, rf"(?is)<ul\b[^>]*\bclass\s*=\s*[\"'][^\"'>]*{label}[^>]*>(.*?)</ul\s*>", 0)
+    behind = F.regexp_extract(html, rf"(?is)<(?:h3|h4|td|th|strong)\b[^>]*>[^<]*{label}.*?(<ul\b[^>]*>.*?</ul\s*>)", 1)
+    found = F.coalesce(blank_to_null(own), blank_to_null(behind))
+    items = F.transform(F.regexp_extract_all(found, F.lit(r"(?is)<li\b[^>]*>(.*?)(?=<li\b|</li\b|</ul\b)"), F.lit(1)), page_text)
+    return F.when(found.isNotNull(), F.to_json(items))
+
+
+def profiles(pages: DataFrame, html_col: str = "html", path_col: str = "path") -> DataFrame:
+    """(profile): the payload of each profile page, by the label map of the source, all in expressions.
+
+    Labels and values stand in table rows of two cells; the first ``<time>`` gives the effective date if it has a datetime; sectors, goods and services
+    are lists, kept as JSON. The employee count is the first number of its text, which is kept beside it. The number at the end of the path
+    is the page's (``profile_id``; ``profile_key`` is what an id is made of where the business number is missing). A heading must name a list in its own text, not in a tag inside it.
+    """
+    html = F.coalesce(F.col(html_col), F.lit(""))
+    when = F.regexp_extract(F.regexp_extract(html, r"(?is)<time\b[^>]*>", 0), r"(?is)\bdatetime\s*=\s*[\"']([^\"']*)[\"']", 1)
+    names = F.create_map(*[F.lit(x) for kv in t.HEADERS["nni"].items() for x in kv])
+    own = F.transform(F.map_entries(F.col("_pairs")), lambda e: F.struct(F.coalesce(names[e["key"]], e["key"]).alias("k"), e["value"].alias("v")))
+    number = F.regexp_extract(path_col, r"(\d+)[^/\d]*$", 1)
+    more = [("effective_date", when), *((label, _page_list(html, label)) for label in t.PROFILE_LISTS), ("profile_id", number), ("profile_key", F.when(number != "", F.concat(F.lit("nni:"), number)))]
+    given = F.filter(F.array(*(F.struct(F.lit(k).alias("k"), v.alias("v")) for k, v in more)), lambda x: x["v"].isNotNull() & (x["v"] != ""))
+    rows = pages.select(profile_pairs(html).alias("_pairs"), html_col, path_col).select(_last_of_each(F.concat(own, given)).alias("p"))
+    staff = F.col("p")["employee_count"]
+    counted = F.map_filter(F.map_from_arrays(F.array(F.lit("employee_count"), F.lit("raw_employee_value")), F.array(blank_to_null(F.regexp_extract(staff, r"\d+", 0)), blank_to_null(staff))), lambda k, v: v.isNotNull())
+    return rows.select(F.map_concat(F.map_filter("p", lambda k, v: k != "employee_count"), counted).alias("profile"))
 
 
 def latest_link(links: DataFrame, href: str, pattern: str = r"(\d{4}-\d{2}-\d{2})") -> DataFrame:
