@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,13 +35,25 @@ def qualified(spark: SparkSession, folder: str) -> str:
     return f"file://{whole[5:]}" if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
-#: Scratch paths given out and not yet deleted, in order.
-_made: dict[str, None] = {}
+#: The scratch paths of the job that runs in this context, if it keeps account of them.
+_scope: ContextVar[set[str] | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch_scope() -> Iterator[set[str]]:
+    """The set of scratch paths that are made inside, by this job alone: others in the session, or in other threads, have scopes of their own."""
+    own: set[str] = set()
+    token = _scope.set(own)
+    try:
+        yield own
+    finally:
+        _scope.reset(token)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-    _made[path] = None
+    if (own := _scope.get()) is not None:
+        own.add(path)
     return path
 
 
@@ -55,7 +70,6 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def _delete(spark: SparkSession, folder: str) -> None:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    _made.pop(folder, None)
 
 
 def drop(df: DataFrame) -> None:
@@ -63,21 +77,15 @@ def drop(df: DataFrame) -> None:
     _delete(df.sparkSession, df.scratch)
 
 
-def made() -> list[str]:
-    """The scratch paths that exist now."""
-    return list(_made)
-
-
-def release(spark: SparkSession, before: list[str], keep: DataFrame) -> None:
-    """Delete the scratch made since ``before``, but for the table ``keep``: for a caller that has stored all it needs."""
-    for path in set(_made) - set(before) - {keep.scratch}:
+def release(spark: SparkSession, own: set[str], keep: DataFrame) -> None:
+    """Delete the scratch of a scope, but for the table ``keep``: for a caller that has stored all it needs."""
+    for path in own - {keep.scratch}:
         _delete(spark, path)
 
 
 def purge(spark: SparkSession) -> None:
     """Delete all scratch tables of this application, once no frame made from them is needed."""
     _delete(spark, scratch_root(spark))
-    _made.clear()
 
 
 def file_system(uri: str):
