@@ -209,7 +209,7 @@ def test_fuzzy_loses_nothing(spark, threshold, rungs):
 
 
 def test_few_of_a_block_are_compared(spark):
-    """In one block of names that share most of their grams, the pairs to compare grow with the records, not with their square."""
+    """In one block of names that share two words, under one pair in a hundred is compared at the first rung."""
     def compared(n):
         r = random.Random(n)
         own = [" ".join("".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(3)) + " holdings limited" for _ in range(n)]
@@ -221,7 +221,7 @@ def test_few_of_a_block_are_compared(spark):
         return len(found) / n
 
     few, many = compared(200), compared(800)
-    assert many < 40 and many < 2.5 * few + 1, (few, many)
+    assert few < 2 + 1 and many < 8 + 1, (few, many)  # its own name besides
 
 
 # --- tables between steps ------------------------------------------------------------------------
