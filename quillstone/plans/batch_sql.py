@@ -30,7 +30,7 @@ def fuzzy_sql(new: str, known: str, name: str, pairs: str, where: str = "TRUE")
 )"""
 
 
-def batch_ctes(batch: str, snap: str, own: str) -> str:
+def batch_ctes(batch: str, snap: str, own: str, fuzzy: bool = True) -> str:
     """CTEs up to ``answer``: the resolution of ``batch`` (ordered by source and ``own``) against ``snap``; columns as in the normalised view."""
     keys = lambda rows, who: f"""
   SELECT {who}, 1 AS step, n_domain AS a, n_postal AS b FROM {rows} WHERE n_domain IS NOT NULL AND n_postal IS NOT NULL UNION ALL SELECT {who}, 2, n_phone, n_postal FROM {rows} WHERE n_phone IS NOT NULL AND n_postal IS NOT NULL
@@ -59,7 +59,7 @@ weaker AS (
 ),
 pool AS (SELECT entity_id, n_legal, n_trade, n_postal, 0 AS place FROM {snap} UNION ALL SELECT entity_id, n_legal, n_trade, n_postal, place FROM free),
 unmet AS (SELECT * FROM free WHERE record_id NOT IN (SELECT record_id FROM weaker)),{fuzzy_sql('unmet', 'pool', 'low', 'low_pairs', 'k.place < n.place')},
-found AS (SELECT * FROM weaker UNION ALL SELECT * FROM low),
+found AS (SELECT * FROM weaker{' UNION ALL SELECT * FROM low' if fuzzy else ''}),
 answer AS (
   SELECT t.record_id, t.source_key, CASE WHEN strongly THEN 'MATCHED' WHEN t.nameless THEN 'UNRESOLVED' WHEN f.confidence = 'MEDIUM' THEN 'CANDIDATE' ELSE 'NEW' END AS outcome, CASE WHEN strongly THEN 'EXACT_IDENTIFIER' ELSE f.rule END AS rule,
     CASE WHEN strongly THEN 'HIGH' ELSE f.confidence END AS confidence, CASE WHEN strongly THEN 100.0::DOUBLE ELSE f.score END AS score, coalesce(t.entity, CASE WHEN strongly THEN 'entity:' || seed_record END, f.entity_id) AS matched_entity,
@@ -99,4 +99,12 @@ SELECT record_id, outcome, rule, confidence, score, matched_entity, seed FROM an
 {landed_ctes()},{batch_ctes('arrived', 'nothing', 'own_id')}
 SELECT a.record_id, a.source_key, a.outcome, a.rule, a.confidence, a.score, CASE outcome WHEN 'MATCHED' THEN matched_entity WHEN 'UNRESOLVED' THEN NULL ELSE 'entity:' || a.record_id END AS entity_id, CASE WHEN outcome IN ('CANDIDATE', 'NEW') THEN coalesce(g.n_legal, g.n_trade, g.source_key) END AS canonical_name, g.corp_number, g.whole AS normalised_address
 FROM answer a JOIN arrived g USING (record_id)""",
+        "run_stages": f"""WITH RECURSIVE {stores.strip()},{batch_ctes('new', 'known', 'record_id', fuzzy=False)},
+made AS (SELECT a.*, n.n_date, coalesce(n.n_legal, n.n_trade) AS own_name FROM answer a JOIN new n USING (record_id)),
+counts AS (
+  SELECT 'normalise' AS stage, 1 AS attempts, 'records' AS table_name, (SELECT count(*) FROM new) AS n_rows UNION ALL SELECT 'resolve', 2, 'records', (SELECT count(*) FROM made)
+  UNION ALL SELECT 'resolve', 2, 'entities', (SELECT count(*) FROM made WHERE outcome IN ('CANDIDATE', 'NEW')) UNION ALL SELECT 'resolve', 2, 'edges', (SELECT count(*) FROM made WHERE confidence IN ('MEDIUM', 'LOW'))
+  UNION ALL SELECT 'events', 1, 'events', (SELECT count(*) FROM made WHERE outcome = 'NEW') UNION ALL SELECT 'quality', 1, 'scores', (SELECT count(*) FROM made WHERE outcome IN ('CANDIDATE', 'NEW'))
+)
+SELECT stage, 'COMPLETED' AS state, attempts, table_name, n_rows FROM counts""",
     }

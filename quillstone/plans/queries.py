@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import normalise as n
 from quillstone.functions import tables as t
-from quillstone.operators import batch, enrich, extract, history, listing, profile, quality, records, resolve
+from quillstone.operators import batch, enrich, extract, history, listing, profile, quality, records, resolve, stages
 from quillstone.operators.normalised import normalised
 from quillstone.operators.store import Tables, hadoop_path
 from quillstone.plans.landed import source_records
@@ -221,6 +221,17 @@ def source_to_entity(spark, sf_dir):
     return named.select("record_id", "source_key", "outcome", "rule", "confidence", "score", "entity_id", "canonical_name", "corp_number", "normalised_address")
 
 
+@query
+def run_stages(spark, sf_dir):
+    """A run of the incoming records that stopped after resolution, taken up at that stage: per stage its state, attempts and tables with their rows."""
+    rows = landing(spark, sf_dir).filter("source_key = 'bc_indigenous'")
+    known = kept_norm(spark, sf_dir).filter("source_key = 'vancouver'").withColumn("entity_id", F.col("record_id"))
+    run = stages.Run(spark, Tables(spark, "runs").folder, "run-1", stages.record_stages(rows, known, fuzzy=False, as_of=AS_OF))
+    run.run(until="resolve")
+    run.run(stage_from="resolve")
+    return run.states().select("stage", "state", "attempts", F.explode("tables").alias("table_name", "n_rows"))
+
+
 @query
 def resolve_exact_steps(spark, sf_dir):
     """The cascade without its fuzzy step, which SQL cannot score."""
