@@ -343,8 +343,8 @@ def link_similar(sigs: np.ndarray, fps: np.ndarray, sets: list[np.ndarray], simi
                 free = free[~np.isin(free, hit)]
 
 
-def similar_links(nodes: DataFrame, similarity: float, most: int) -> DataFrame:
-    """A spanning forest (src, dst) of the links between distinct shingle sets ``sig``."""
+def similar_links(nodes: DataFrame, similarity: float, most: int, max_bits: int = SAMPLE_BITS) -> DataFrame:
+    """A spanning forest (src, dst) of the links between distinct shingle sets ``sig`` that share a key, of pairs that the pivots do not discard."""
     dealt = nodes.select("sig", F.explode("keys").alias("key"))
     met = stored(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "similar-keys")
     # Only texts that meet another are moved with their shingles; a bucket of over ``most`` goes out in pairs of tiles.
@@ -359,7 +359,7 @@ def similar_links(nodes: DataFrame, similarity: float, most: int) -> DataFrame:
             sigs, fps, sets = table.column("sig").to_numpy(), table.column("fp").to_numpy(), table.column("shingles").to_pylist()
             for a, b in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
                 if b - a > 1:
-                    link_similar(sigs[a:b], fps[a:b], [np.frombuffer(s, "<u4") for s in sets[a:b]], similarity, forest, refs)
+                    link_similar(sigs[a:b], fps[a:b], [np.frombuffer(s, "<u4") for s in sets[a:b]], similarity, forest, refs, max_bits)
             if len(forest.up) > 500_000:
                 yield forest.batch()
                 forest = Forest()
@@ -368,17 +368,51 @@ def similar_links(nodes: DataFrame, similarity: float, most: int) -> DataFrame:
     return rows.repartition("key", "pair").sortWithinPartitions("key", "pair").mapInArrow(run, "src long, dst long").distinct()
 
 
-def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY, orders: int = ORDERS, most: int = 20_000) -> DataFrame:
+def rare_keys(nodes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+    """``nodes`` that may be similar to one of another component, with keys of which such a pair shares one at least.
+
+    Of two sets that share so much, the shingles that come first in any one order, ``size - ceil(similarity * size) + 1`` of each, share one. The
+    order here puts those first that one component alone holds, which no pair across components shares, then the others by the
+    number of sets that hold them: a text whose own part is large enough needs no key at all, and a passage that many texts
+    share comes last. Only counts of shingles are shuffled, combined before; what is sorted at once is one text's shingles.
+    """
+    schema = "sig long, root long, size int, shingle long"
+
+    def each(batches):
+        for batch in batches:
+            sets = [np.frombuffer(s, "<u4") for s in batch.column(2).to_pylist()]
+            for at in range(0, len(sets), 256):  # a batch of texts would hold too many shingles at once
+                part = sets[at : at + 256]
+                sizes = np.array([len(x) for x in part], dtype=np.int64)
+                take = pa.array(np.repeat(np.arange(at, at + len(part)), sizes))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.uint32), *part]).astype(np.int64))], names=["sig", "root", "size", "shingle"])
+
+    rows = nodes.join(roots, "sig").select("sig", "root", "shingles").mapInArrow(each, schema)
+    shared = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle", "n")
+    own = rows.join(shared, "shingle").groupBy("sig", "size").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("common"))
+    first = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - 1e-9).cast("int") + 1
+    wanted = F.greatest(first - (F.col("size") - F.size("common")), F.lit(0))
+    keys = own.select("sig", F.transform(F.slice("common", F.lit(1), wanted), lambda x: x["shingle"]).alias("keys")).filter(F.size("keys") > 0)
+    return nodes.drop("keys").join(keys, "sig")
+
+
+def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY, orders: int = ORDERS, most: int = 20_000, exact: bool = False) -> DataFrame:
     """(doc_id, component_id) of every row; rows whose shingle sets are similar, directly or over others, share a component.
 
     component_id is the smallest id of the component. Rows without words are copies of one another. Null ids
-    never name a component unless all its ids are null.
+    never name a component unless all its ids are null. Repeated rows share a component; an empty table gives no rows. ``exact``: after the links that the random orders
+    find, those between components are looked for by rare shingles (``rare_keys``), of which no similar pair is without, and nothing is discarded by pivots there.
     """
     marked = stored(sketches(docs, id_col, text_col, words, orders), "sketches")
     nodes = marked.groupBy("sig").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys"))
     nodes = stored(nodes, "shingle-sets")
     found = stored(similar_links(nodes, similarity, most), "similar-links")
     roots = components(found).select(F.col("node").alias("sig"), "root")
+    if exact:
+        placed = stored(nodes.select("sig").join(roots, "sig", "left").select("sig", F.coalesce("root", "sig").alias("root")), "similar-roots")
+        rest = stored(rare_keys(nodes, placed, similarity), "rare-keys")
+        more = stored(similar_links(rest, similarity, most, max_bits=64), "rare-links")
+        roots = components(stored(found.unionByName(more).distinct(), "all-links")).select(F.col("node").alias("sig"), "root")
     grouped = nodes.select("sig", "first").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     first = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = stored(grouped.join(first, "root").select("sig", "component_id"), "similar-groups")
