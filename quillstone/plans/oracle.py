@@ -183,6 +183,7 @@ ORACLE_SQL = {
 SELECT source_key, count(*) AS n_rows, count(*) FILTER (WHERE NOT (a OR b OR c)) AS n_valid, count(*) FILTER (WHERE a OR b OR c) AS n_invalid, bool_and(NOT (a OR b OR c)) AS passed, count(*) FILTER (WHERE a) AS missing_trade_name, count(*) FILTER (WHERE b) AS missing_city, count(*) FILTER (WHERE c) AS missing_status FROM v GROUP BY source_key"""),
     "validation_errors": _w(BASE, "SELECT substr(record_id, 1, 12) AS record, field FROM (" + " UNION ALL ".join(f"SELECT record_id, '{c}' AS field FROM landing WHERE coalesce(trim({c}), '') = ''" for c in ("trade_name", "city", "status")) + ")"),
     "incremental_cursor": "SELECT e.event_id, e.event_type AS kind FROM events e JOIN (SELECT event_type, min(ts) + INTERVAL 120 HOUR AS c FROM events GROUP BY 1) r ON e.event_type = r.event_type WHERE e.ts >= r.c",
+    "incremental_files": "SELECT event_id, event_type AS kind, user_id, strftime(ts, '%Y-%m-%d') AS day FROM events WHERE CAST(ts AS DATE) >= (SELECT max(CAST(ts AS DATE)) - 10 FROM events)",
     "run_lifecycle": "WITH r AS (SELECT user_id % 200 AS run_id, (['RUNNING', 'FAILED', 'COMPLETED', 'PARTIAL'])[CAST(event_id % 4 + 1 AS INT)] AS run_status, ts AS changed_at FROM events) SELECT run_id, last(run_status ORDER BY changed_at, run_status) AS run_status, max(changed_at) AS changed_at, count(*) FILTER (WHERE run_status = 'FAILED') AS retry_count FROM r GROUP BY run_id",
     "match_exact": _w(STORES, "SELECT * FROM m1"),
     "match_domain_postal": _w(STORES, "SELECT * FROM m2"),

@@ -12,7 +12,7 @@ from quillstone.operators.normalised import normalised
 from quillstone.operators.store import Tables, hadoop_path
 from quillstone.plans.landed import source_records
 from quillstone.plans.landing import landing
-from quillstone.sources import readers
+from quillstone.sources import incremental, readers
 
 QUERIES: dict = {}
 AS_OF = "2024-06-01 00:00:00"
@@ -163,6 +163,17 @@ def incremental_cursor(spark, sf_dir):
     return records.since(table(spark, sf_dir, "events").withColumnRenamed("event_type", "kind"), log, "ts", "kind").select("event_id", "kind")
 
 
+@query
+def incremental_files(spark, sf_dir):
+    """The event stream as it lands, a file a day; read are the files of the last ten days, which planning picks by their date."""
+    rows = table(spark, sf_dir, "events")
+    folder = f"{Tables(spark, 'landed').folder}/events"
+    rows.select("event_id", "event_type", "user_id", F.date_format("ts", "yyyy-MM-dd").alias("day")).repartition("day").write.partitionBy("day").option("header", True).csv(folder)
+    cursor = F.lit(rows.agg(F.max(F.to_date("ts"))).first()[0]).cast("timestamp") - F.expr("INTERVAL 10 DAYS")
+    got = incremental.landed(spark, folder, cursor, dated=r"day=(\d{4}-\d{2}-\d{2})")
+    return got.select(F.col("row")["event_id"].cast("long").alias("event_id"), F.col("row")["event_type"].alias("kind"), F.col("row")["user_id"].cast("long").alias("user_id"), F.date_format("modified", "yyyy-MM-dd").alias("day"))
+
+
 @query
 def run_lifecycle(spark, sf_dir):
     state = F.element_at(F.array(*map(F.lit, ("RUNNING", "FAILED", "COMPLETED", "PARTIAL"))), (F.col("event_id") % 4 + 1).cast("int"))

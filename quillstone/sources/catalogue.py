@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import tables as t
 from quillstone.operators import records
-from quillstone.sources import readers
+from quillstone.sources import incremental, readers
 
 
 @dataclass(frozen=True)
@@ -118,3 +118,26 @@ def read(spark: SparkSession, key: str, path: str, terms: str = "CLEARED", targe
         payload = F.map_concat(F.map_filter(payload, lambda k, v: k != "event_type"), F.create_map(F.lit("event_type"), F.lit(s.event_type)))
     out = readers.raw_records(rows, payload, s.key, s.grain, list(s.ids), s.repeats, s.made_of).withColumn("source_class", F.lit(s.cls))
     return out if limit is None else out.orderBy("source_record_id").limit(limit)
+
+
+def read_since(spark: SparkSession, key: str, path: str, runs: DataFrame | None = None, limit: int | None = None, seen: str | None = None, **options: str) -> DataFrame:
+    """Raw records of the files that a source has landed since its last completed run; of all files where none completed or a ``limit`` is set.
+
+    ``runs``: source_key, run_status, completed_at. Files are pruned in planning and streamed (``incremental.landed``), so that tables, archives of them and workbooks of any size can be read. For
+    sources whose files are tables or workbooks under their own headers.
+    """
+    s = source(key)
+    if s.form not in ("table", "workbook") or s.keep_case:
+        raise ValueError(f"{key} does not land as plain rows")
+    since = None
+    if runs is not None:
+        done = runs.filter((F.col("source_key") == s.key) & (F.col("run_status") == "COMPLETED"))
+        since = done.agg(F.max("completed_at")).first()[0]  # one value
+    rows = incremental.landed(spark, path, None if since is None else F.lit(since), limit, seen, **options).select("row")
+    payload = F.col("row")
+    if s.event_only:
+        rows = records.status_events(rows, F.col("row")["status"]).select("row")
+        payload = F.map_concat(F.map_filter("row", lambda k, v: k != "event_type"), F.create_map(F.lit("event_type"), F.lit("LICENCE_STATUS_CHANGE")))
+    elif s.event_type:
+        payload = F.map_concat(F.map_filter("row", lambda k, v: k != "event_type"), F.create_map(F.lit("event_type"), F.lit(s.event_type)))
+    return readers.raw_records(rows, payload, s.key, s.grain, list(s.ids), s.repeats, s.made_of).withColumn("source_class", F.lit(s.cls))
