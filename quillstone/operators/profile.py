@@ -73,16 +73,37 @@ def date_profile(df: DataFrame, value: Column, parsed: Column, most: int = 5) ->
     return top.join(F.broadcast(low)).join(F.broadcast(high))  # one row each
 
 
+def bracketed(values: DataFrame, share: float, accuracy: int = 10_000) -> DataFrame:
+    """The values (``x``, nulls left out) among which the one of rank ``floor(share * n)`` is, with ``rank`` and ``before``, the number of values below them.
+
+    A quantile sketch, which combines before its shuffle, gives a bracket around the rank that is a few ranks in ``accuracy`` wide however the values are
+    spread; below, inside and above it are counted exactly, and the part that holds the rank is taken. The sketch's error decides only how many rows that is.
+    """
+    given = values.filter("x is not null").select("x")
+    near = [min(max(share + d / accuracy, 0.0), 1.0) for d in (-3, 3)]
+    ends = given.agg(F.count("x").alias("n"), F.percentile_approx("x", near, accuracy).alias("q"))  # one row
+    part = F.when(F.col("x") < F.col("q")[0], 0).when(F.col("x") <= F.col("q")[1], 1).otherwise(2)
+    rows = given.join(F.broadcast(ends)).select("x", part.alias("part"), F.floor(F.col("n") * share).alias("rank"))
+    counts = rows.groupBy("part").agg(F.count("*").alias("m"), F.first("rank").alias("rank"))  # three rows
+    upto = F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("part"))
+    held = counts.select("part", (upto - F.col("m")).alias("before"), upto.alias("upto"), "rank").filter("before <= rank and rank < upto").select("part", "before")
+    return rows.join(F.broadcast(held), "part").select("x", "rank", "before")
+
+
+def order_statistic(values: DataFrame, share: float, name: str) -> DataFrame:
+    """One row: the value of ``x`` at rank ``floor(share * n)`` of the sorted values, exactly; null if there is none. Only the bracket around it is sorted."""
+    counts = bracketed(values, share).groupBy("x", "rank", "before").agg(F.count("*").alias("m"))
+    upto = F.col("before") + F.sum("m").over(Window.partitionBy(F.lit(0)).orderBy("x"))
+    return counts.select("x", "rank", upto.alias("upto")).filter("upto > rank").agg(F.min("x").alias(name))
+
+
 def numeric_profile(df: DataFrame, value: Column) -> DataFrame:
     """Readable, zero, negative and positive values, extremes, and the upper median (element n // 2 of the sorted values).
 
-    The median comes from counts per value: no task sorts all rows.
+    The median is an order statistic within a bracket: no task sorts all values, whatever outliers there are.
     """
     numbers = df.select(value.cast("string").alias("raw"), value.try_cast("double").alias("x"))
-    counts = numbers.groupBy("x").agg(F.count("*").alias("n")).filter("x is not null")
-    total = counts.agg(F.sum("n").alias("total"))
-    upto = _running(counts, "x", "n")
-    middle = upto.join(F.broadcast(total)).filter(F.col("upto") > F.floor(F.col("total") / 2)).agg(F.min("x").alias("upper_median"))
+    middle = order_statistic(numbers, 0.5, "upper_median")
     row = numbers.agg(
         F.count("raw").alias("n_given"), F.count("x").alias("n_numeric"), F.count_if(F.col("x") == 0).alias("n_zero"), F.count_if(F.col("x") < 0).alias("n_negative"), F.count_if(F.col("x") > 0).alias("n_positive"),
         F.min("x").alias("min_value"), F.max("x").alias("max_value"),
@@ -90,17 +111,6 @@ def numeric_profile(df: DataFrame, value: Column) -> DataFrame:
     return row.join(F.broadcast(middle))  # one row
 
 
-def _running(counts: DataFrame, key: str, n: str, slices: int = 1024) -> DataFrame:
-    """Running totals in key order: within slices of the key's range, then over the slices' sums."""
-    ends = counts.agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
-    sliced = counts.join(F.broadcast(ends)).withColumn("slice", F.when(F.col("hi") > F.col("lo"), F.floor((F.col(key) - F.col("lo")) / (F.col("hi") - F.col("lo")) * (slices - 1))).otherwise(0).cast("int"))
-    sums = sliced.groupBy("slice").agg(F.sum(n).alias("s"))
-    # ``slices`` rows at most, so one task may order them.
-    before = sums.select("slice", (F.sum("s").over(Window.partitionBy(F.lit(0)).orderBy("slice")) - F.col("s")).alias("before"))
-    inside = F.sum(n).over(Window.partitionBy("slice").orderBy(key))
-    return sliced.withColumn("inside", inside).join(F.broadcast(before), "slice").select(key, n, (F.col("before") + F.col("inside")).alias("upto"))
-
-
 def histogram(df: DataFrame, value: Column) -> DataFrame:
     """Rows per employee band, with a band for zero; others uncounted."""
     band = F.when(value == 0, "0")
