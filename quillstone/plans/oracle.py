@@ -157,6 +157,7 @@ _HAS_ID = "coalesce(n_legal, n_trade, nullif(trim(corp_number), ''), nullif(trim
 _ROWHASH = lambda *cs: "substr(sha256(concat_ws('|', " + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in cs) + ")), 1, 32)"
 _REAL = lambda c: f"CASE WHEN lower(trim({c})) NOT IN {_in(t.NO_CONTACT)} THEN {c} END"
 _LABEL = "replace(replace(lower(employees), ' ', ''), ',', '')"
+_GROUPS = "(SELECT 'source:' || source_key AS grp, n_legal FROM rec UNION ALL SELECT 'kind:PHONE', n_legal FROM rec WHERE n_phone IS NOT NULL UNION ALL SELECT 'kind:EMAIL', n_legal FROM rec WHERE n_email IS NOT NULL UNION ALL SELECT 'kind:WEBSITE', n_legal FROM rec WHERE n_domain IS NOT NULL)"
 _FIRST = f"try_cast(regexp_extract({_LABEL}, '([0-9]+)', 1) AS BIGINT)"
 
 ORACLE_SQL = {
@@ -217,6 +218,7 @@ SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THE
     "back_references": "SELECT 'vancouver' AS source_key, c_custkey AS source_record_id, min('bc_indigenous:' || s_suppkey) AS entity_id, 'MATCHED' AS outcome FROM supplier JOIN customer ON s_suppkey % 40 = c_custkey GROUP BY c_custkey",
     "unpivot_observations": _w(BASE, "SELECT * FROM (" + " UNION ALL ".join(f"SELECT record_id, '{f}' AS field, nullif({raw}, '') AS raw_value, {own} AS normalised_value FROM rec" for f, raw, own in _OBSERVED) + ") WHERE raw_value IS NOT NULL OR normalised_value IS NOT NULL"),
     "scd2_current": _w(OBS, "SELECT observation_id, entity_id, field, is_current FROM cur"),
+    "scd2_batches": _w(OBS, "SELECT observation_id, entity_id, field, is_current FROM cur"),
     "field_history": _w(OBS, "SELECT entity_id, field, count(*) AS n_observations, last(value ORDER BY observed_at, observation_id) AS current_value, string_agg(coalesce(value, ''), '>' ORDER BY observed_at DESC, observation_id DESC) AS history FROM obs GROUP BY 1, 2"),
     "business_events": _w(BASE, f""", r AS (
   SELECT row_key % 400 AS entity_id, run_id, (['NEW', 'CANDIDATE', 'MATCHED'])[CAST(row_key % 3 + 1 AS INT)] AS st, row_key % 2 = 0 AS is_event, ([{', '.join(f"'{x}'" for x in (*t.TYPED_EVENTS, 'OTHER'))}])[CAST(row_key % 9 + 1 AS INT)] AS kind,
@@ -255,6 +257,8 @@ SELECT source_key, last_run, last_status, last_started FROM (SELECT DISTINCT 's'
     "stats_totals": _w(ENTITIES, "SELECT count(*) AS n_businesses, count(*) FILTER (WHERE sales_ready) AS n_sales_ready, count(*) FILTER (WHERE first_seen >= DATE '2024-03-02') AS n_recent FROM scored"),
     "stats_by_province": _w(ENTITIES, "SELECT coalesce(province, 'UNKNOWN') AS province, count(*) AS n, count(*) FILTER (WHERE sales_ready AND province IS NOT NULL) AS n_ready, CASE province WHEN 'NU' THEN 'CONFIRMED' WHEN 'YT' THEN 'PARTIAL' WHEN 'QC' THEN 'DEFERRED' END AS gap FROM scored GROUP BY province"),
     "stats_by_source": _w(BASE, "SELECT source_key, count(DISTINCT n_legal) AS n_entities FROM rec GROUP BY 1"),
+    "stats_merged": _w(BASE, "SELECT grp, count(DISTINCT n_legal) AS n FROM " + _GROUPS + " WHERE n_legal IS NOT NULL GROUP BY grp"),
+    "overlaps_merged": _w(BASE, "SELECT a.grp AS a, b.grp AS b, count(*) AS n_both FROM (SELECT DISTINCT grp, n_legal FROM " + _GROUPS + ") a JOIN (SELECT DISTINCT grp, n_legal FROM " + _GROUPS + ") b ON a.n_legal = b.n_legal AND a.grp < b.grp GROUP BY 1, 2"),
     "contact_fill_rates": _w(ENTITIES, "SELECT kind, count(DISTINCT entity_id) AS n, round_even(count(DISTINCT entity_id)::DOUBLE / (SELECT count(*) FROM ent), 4) AS rate FROM contacts GROUP BY 1"),
     "export_rows": _w(ENTITIES, "SELECT entity_id, coalesce(canonical_name, '') AS canonical_name, coalesce(province, '') AS province, coalesce(city, '') AS city, status, n_phone AS phone, coalesce(n_email, '') AS email, coalesce(n_domain, '') AS domain, CASE WHEN composite = 0 THEN '' ELSE CAST(composite AS VARCHAR) END AS composite, CAST(sales_ready AS VARCHAR) AS sales_ready FROM scored WHERE NOT dnc AND n_phone IS NOT NULL"),
     "missingness": _w(BASE, _gaps("landing", ("trade_name", "street", "city", "province", "postal_code", "phone", "email"))),

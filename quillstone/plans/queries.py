@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import normalise as n
 from quillstone.functions import tables as t
-from quillstone.operators import batch, enrich, extract, history, listing, profile, quality, records, resolve, stages
+from quillstone.operators import batch, counts, enrich, extract, history, listing, profile, quality, records, resolve, snapshot, stages
 from quillstone.operators.normalised import normalised
 from quillstone.operators.store import Tables, hadoop_path
 from quillstone.plans.landed import source_records
@@ -330,6 +330,17 @@ def scd2_current(spark, sf_dir):
     return history.with_current(observations(spark, sf_dir)).select("observation_id", "entity_id", "field", "is_current")
 
 
+@query
+def scd2_batches(spark, sf_dir):
+    """The observations taken in by three batches that interleave in time, the last one of few entities: as if all had come at once."""
+    rows = observations(spark, sf_dir)
+    kept = snapshot.Observations(spark, Tables(spark, "observed").folder, rows.schema, 16)
+    part = F.when(F.col("entity_id") % 40 == 7, 2).otherwise(F.col("observation_id") % 2)
+    for k in range(3):
+        kept.append(str(k), rows.filter(part == k))
+    return kept.history().select("observation_id", "entity_id", "field", "is_current")
+
+
 @query
 def field_history(spark, sf_dir):
     return history.field_history(observations(spark, sf_dir))
@@ -518,6 +529,28 @@ def stats_by_source(spark, sf_dir):
     return listing.by_source(kept_norm(spark, sf_dir).select("source_key", F.col("legal_name").alias("entity_id")))
 
 
+def counted(spark, sf_dir) -> DataFrame:
+    """Bitmaps of names by source and by kind of contact: those of two thirds of the records, then a delta merged into them."""
+    rows = kept_norm(spark, sf_dir)
+    kinds = F.array_compact(F.array(F.concat(F.lit("source:"), "source_key"), *(F.when(F.col(c).isNotNull(), F.lit(k)) for c, k in (("phone", "kind:PHONE"), ("email", "kind:EMAIL"), ("domain", "kind:WEBSITE")))))
+    members = rows.select("row_key", F.col("legal_name").alias("entity_id"), F.explode(kinds).alias("grp"))
+    tables, delta = Tables(spark, "counted"), F.col("row_key") % 3 == 0
+    numbers = counts.numbered(tables, members.filter(~delta).select("entity_id"))
+    kept = tables.put("bitmaps", counts.bitmaps(members.filter(~delta), numbers, ["grp"]))
+    numbers = counts.numbered(tables, members.filter(delta).select("entity_id"), numbers)
+    return tables.put("merged", counts.merged(kept, counts.bitmaps(members.filter(delta), numbers, ["grp"]), ["grp"]))
+
+
+@query
+def stats_merged(spark, sf_dir):
+    return counts.distinct_counts(counted(spark, sf_dir), ["grp"])
+
+
+@query
+def overlaps_merged(spark, sf_dir):
+    return counts.overlaps(counted(spark, sf_dir), "grp")
+
+
 @query
 def contact_fill_rates(spark, sf_dir):
     rows, contacts, *_ = listed(spark, sf_dir)
