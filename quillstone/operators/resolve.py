@@ -313,3 +313,16 @@ def linked_references(matched: DataFrame, references: DataFrame, unresolved: Dat
     named = references.join(matched.select("record_id", "entity_id"), "record_id").select("source_key", "source_record_id", "entity_id")
     hit = unresolved.join(named, ["source_key", "source_record_id"])
     return hit.groupBy("source_key", "source_record_id").agg(F.min("entity_id").alias("entity_id")).withColumn("outcome", F.lit("MATCHED"))
+
+
+def follow_ups(matched: DataFrame, references: DataFrame, earlier: DataFrame, existing: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(records, observations, events) of ``earlier`` records that a resolved one names and that are still without an entity.
+
+    They attach with HIGH confidence, in the run they came with: their fields are observed for the entity and their typed events found, other than those
+    that ``existing`` has. Where several resolved records name one, the least entity takes it; rows of one id in several runs all attach; nulls name nothing.
+    ``earlier``: source_key, source_record_id, entity_id, resolution_status, run_id, grain, and what ``unpivot`` and ``event_fields`` read.
+    """
+    waiting = earlier.filter("entity_id is null and resolution_status = 'UNRESOLVED'").drop("entity_id")
+    links = linked_references(matched, references, waiting.select("source_key", "source_record_id")).select("source_key", "source_record_id", "entity_id")
+    rows = waiting.join(links, ["source_key", "source_record_id"]).withColumns({"resolution_status": F.lit("MATCHED"), "confidence": F.lit("HIGH")})
+    return rows, history.unpivot(rows, ("entity_id", "run_id", "confidence")), history.new_business_events(history.event_fields(rows), existing)

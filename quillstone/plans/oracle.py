@@ -216,6 +216,13 @@ SELECT n.record_id, CASE confidence WHEN 'HIGH' THEN 'MATCHED' WHEN 'MEDIUM' THE
   UNION ALL SELECT record_id, 'industry', n_naics, n_sector, NULL, NULL, NULL FROM rec WHERE n_naics IS NOT NULL OR n_sector IS NOT NULL
   UNION ALL SELECT record_id, 'flag', employees, 'EMPLOYEE_RANGE_AMBIGUITY', e_low, e_high, NULL FROM rec WHERE form = 3 AND e_low = 55 AND e_high = 99"""),
     "back_references": "SELECT 'vancouver' AS source_key, c_custkey AS source_record_id, min('bc_indigenous:' || s_suppkey) AS entity_id, 'MATCHED' AS outcome FROM supplier JOIN customer ON s_suppkey % 40 = c_custkey GROUP BY c_custkey",
+    "back_reference_follow_ups": _w(BASE, """, link AS (
+  SELECT record_id, run_id, row_key, coalesce(CASE WHEN row_key % 3 <> 0 THEN coalesce(n_legal, n_trade) END, 'P' || row_key) AS shown, CAST(n_date AS DATE) AS day, l.entity_id FROM rec
+  JOIN (SELECT s_suppkey % 40 AS row_key, min('bc_indigenous:' || s_suppkey) AS entity_id FROM supplier GROUP BY 1) l USING (row_key) WHERE source_key = 'vancouver' AND row_key % 4 <> 0
+) SELECT entity_id, run_id, 'observation' AS kind, field AS name, normalised_value AS value, CAST(NULL AS DATE) AS event_date FROM link JOIN (""" + " UNION ALL ".join(f"SELECT record_id, '{f}' AS field, nullif({raw}, '') AS raw_value, {own} AS normalised_value FROM rec" for f, raw, own in _OBSERVED) + """) USING (record_id)
+  WHERE (raw_value IS NOT NULL OR normalised_value IS NOT NULL) AND NOT (row_key % 3 = 0 AND field IN ('legal_name', 'trade_name'))
+UNION ALL SELECT entity_id, run_id, 'observation', 'extra.event_type', 'MUNICIPAL_PERMIT_ISSUED', NULL FROM link
+UNION ALL SELECT entity_id, run_id, 'event', 'MUNICIPAL_PERMIT_ISSUED', shown, day FROM link"""),
     "unpivot_observations": _w(BASE, "SELECT * FROM (" + " UNION ALL ".join(f"SELECT record_id, '{f}' AS field, nullif({raw}, '') AS raw_value, {own} AS normalised_value FROM rec" for f, raw, own in _OBSERVED) + ") WHERE raw_value IS NOT NULL OR normalised_value IS NOT NULL"),
     "scd2_current": _w(OBS, "SELECT observation_id, entity_id, field, is_current FROM cur"),
     "scd2_batches": _w(OBS, "SELECT observation_id, entity_id, field, is_current FROM cur"),
@@ -250,6 +257,15 @@ SELECT total, 1 AS page, 10 AS page_size, CASE WHEN total > 10 THEN 2 END AS nex
 FROM landing WHERE row_key % 10 <> 9 AND row_key % 100 < 50 ORDER BY entity_id, created_at DESC, record_id"""),
     "list_businesses_members": _w(ENTITIES, "SELECT entity_id, canonical_name, composite FROM scored WHERE province = 'ON' AND n_domain IS NOT NULL AND directors = 0 AND row_key % 2 = 1 AND first_seen IS NOT NULL"),
     "business_detail": _w(ENTITIES, "SELECT e.entity_id, canonical_name, coalesce((SELECT string_agg(kind || ':' || value, '|' ORDER BY kind, value) FROM contacts c WHERE c.entity_id = e.entity_id), '') AS contacts, CASE WHEN first_seen IS NULL THEN 0::BIGINT ELSE 1 END AS n_events, CASE WHEN dnc THEN 1::BIGINT ELSE 0 END AS n_flags FROM ent e"),
+    "business_detail_rows": _w(ENTITIES, """, ready AS (SELECT * FROM scored WHERE sales_ready)
+SELECT entity_id, 'locations' AS child, CAST(json_object('address_line1', line1, 'city', city, 'province', province, 'postal_code', n_postal) AS VARCHAR) AS value FROM ready
+UNION ALL SELECT entity_id, 'identifiers', CAST(json_object('kind', 'CORP_NUMBER', 'value', corp_number) AS VARCHAR) FROM ready WHERE corp_number IS NOT NULL
+UNION ALL SELECT entity_id, 'identifiers', CAST(json_object('kind', 'BN', 'value', bn) AS VARCHAR) FROM ready WHERE bn IS NOT NULL
+UNION ALL SELECT entity_id, 'contacts', CAST(json_object('kind', kind, 'value', value) AS VARCHAR) FROM contacts WHERE entity_id IN (SELECT entity_id FROM ready)
+UNION ALL SELECT entity_id, 'persons', CAST(json_object('role_type', 'DIRECTOR', 'place', unnest(range(1, directors + 1))) AS VARCHAR) FROM ready
+UNION ALL SELECT entity_id, 'employee_data', CAST(json_object('employee_bucket', e_bucket, 'employee_exact', e_exact) AS VARCHAR) FROM ready WHERE e_bucket IS NOT NULL
+UNION ALL SELECT entity_id, 'industries', CAST(json_object('naics', n_naics, 'naics_sector', n_sector) AS VARCHAR) FROM ready WHERE n_naics IS NOT NULL OR n_sector IS NOT NULL
+UNION ALL SELECT entity_id, 'quality_score', CAST(json_object('composite', composite, 'sales_ready', sales_ready) AS VARCHAR) FROM ready"""),
     "flag_updates": _w(ENTITIES, "SELECT entity_id, 'DNC' AS flag_type FROM ent WHERE dnc AND row_key % 2 <> 0 UNION ALL SELECT entity_id, 'VIP' FROM ent WHERE row_key % 13 = 0"),
     "list_events": _w(ENTITIES, "SELECT entity_id, event_type, event_date FROM ev WHERE event_type = 'BUSINESS_DISCOVERED' AND event_date BETWEEN DATE '2024-01-01' AND DATE '2024-03-31' AND entity_id IN (SELECT entity_id FROM ent WHERE province = 'ON') ORDER BY event_date DESC NULLS FIRST, entity_id LIMIT 100"),
     "source_status": """WITH r AS (SELECT 's' || user_id % 30 AS source_key, last(event_id ORDER BY ts, event_id) AS last_run, last(event_type ORDER BY ts, event_id) AS last_status, max(ts) AS last_started FROM events GROUP BY 1)

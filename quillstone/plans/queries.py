@@ -312,6 +312,28 @@ def back_references(spark, sf_dir):
     return resolve.linked_references(new.select("record_id", F.col("record_id").alias("entity_id")), references, unresolved)
 
 
+def earlier_permits(spark, sf_dir) -> DataFrame:
+    """The first source's records as permits of an earlier run: one in four has an entity already, one in three no name."""
+    k, permit = F.col("row_key"), F.lit("MUNICIPAL_PERMIT_ISSUED")
+    rows = kept_norm(spark, sf_dir).filter("source_key = 'vancouver'")
+    done, unnamed = k % 4 == 0, {c: F.when(k % 3 != 0, F.col(c)) for c in ("legal_name", "raw_legal_name", "trade_name", "raw_trade_name")}
+    more = {
+        "source_record_id": k, "entity_id": F.when(done, "other"), "resolution_status": F.when(done, "MATCHED").otherwise("UNRESOLVED"), "grain": F.lit("EVENT"), "extra": F.create_map(F.lit("event_type"), permit),
+        "raw_payload": F.create_map(F.lit("permit_number"), F.concat(F.lit("P"), k.cast("string"))), "incorporation_date": F.lit(None).cast("timestamp"), "raw_incorporation_date": F.lit(None).cast("string"),
+    }
+    return rows.withColumns({**unnamed, **more})
+
+
+@query
+def back_reference_follow_ups(spark, sf_dir):
+    """Observations and events of the earlier permits that incoming records name."""
+    new, _ = stores(spark, sf_dir)
+    references = new.select("record_id", F.lit("vancouver").alias("source_key"), (F.col("row_key") % 40).alias("source_record_id"))
+    _, observed, events = resolve.follow_ups(new.select("record_id", F.col("record_id").alias("entity_id")), references, earlier_permits(spark, sf_dir))
+    seen = observed.select("entity_id", "run_id", F.lit("observation").alias("kind"), F.col("field").alias("name"), F.col("normalised_value").alias("value"), F.lit(None).cast("date").alias("event_date"))
+    return seen.unionByName(events.select("entity_id", "run_id", F.lit("event").alias("kind"), F.col("event_type").alias("name"), F.col("raw_value").alias("value"), "event_date"))
+
+
 # --- history and events --------------------------------------------------------------------------
 def observations(spark, sf_dir) -> DataFrame:
     """The event stream as observations: user, kind of event as field, value from the properties, run by number."""
@@ -491,6 +513,18 @@ def business_detail(spark, sf_dir):
     return out.select("entity_id", "canonical_name", F.array_join(F.transform("contacts", lambda c: F.concat_ws(":", c["kind"], c["value"])), "|").alias("contacts"), F.size("events").cast("long").alias("n_events"), F.size("flags").cast("long").alias("n_flags"))
 
 
+@query
+def business_detail_rows(spark, sf_dir):
+    """All seven child tables of the entities that are sales ready."""
+    rows, contacts, *_ = listed(spark, sf_dir)
+    ids = F.array(*(F.struct(F.lit(kind).alias("kind"), F.col(c).alias("value")) for kind, c in (("CORP_NUMBER", "corp_number"), ("BN", "bn"))))
+    return listing.detail_rows(
+        rows.filter("sales_ready"), locations=rows.select("entity_id", "address_line1", "city", "province", "postal_code"), identifiers=rows.select("entity_id", F.inline(F.filter(ids, lambda x: x["value"].isNotNull()))), contacts=contacts,
+        persons=rows.filter("directors > 0").select("entity_id", F.lit("DIRECTOR").alias("role_type"), F.explode(F.sequence(F.lit(1), F.col("directors"))).alias("place")), employee_data=rows.filter("employee_bucket is not null").select("entity_id", "employee_bucket", "employee_exact"),
+        industries=rows.filter("naics is not null or naics_sector is not null").select("entity_id", "naics", "naics_sector"), quality_score=rows.select("entity_id", "composite", "sales_ready"),
+    )
+
+
 @query
 def flag_updates(spark, sf_dir):
     rows, _, _, flags, _ = listed(spark, sf_dir)
