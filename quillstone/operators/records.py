@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillstone.functions import normalise as n
 from quillstone.functions import tables as t
+from quillstone.operators.store import Tables
 
 
 def row_hash(*columns: Column) -> Column:
@@ -25,15 +26,32 @@ def composite_id(*columns: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", *(F.coalesce(c, F.lit("")) for c in columns)), 256), 1, 32)
 
 
-def with_occurrence(df: DataFrame, external: Column, columns: list[Column], position: Column) -> DataFrame:
+#: A key of more alike rows than this is numbered in ranges of its own; the sketch that finds such keys tracks TRACKED of them.
+MOST_ALIKE = 1_000_000
+TRACKED = 100_000
+
+
+def with_occurrence(df: DataFrame, external: Column, columns: list[Column], position: Column, tables: Tables | None = None, most: int = MOST_ALIKE) -> DataFrame:
     """``occurrence_id`` = id:rowhash:occurrence, so that repeated rows stay apart.
 
-    Rows that are alike are told apart by their place in the file; only those share a window.
+    Rows that are alike are told apart by their place in the file, which is one row's alone. Only those share a window; with ``tables``, keys of more
+    than ``most`` rows are found by a sketch in one pass, sorted into ranges that tasks share, and numbered there behind the ranges before. The numbers
+    are the same either way. Null and empty ids are alike, a null place comes first, an empty table gives none.
     """
-    digest = row_hash(*columns)
-    window = Window.partitionBy("_external", "_digest").orderBy(position)
-    out = df.withColumn("_external", F.coalesce(external, F.lit(""))).withColumn("_digest", digest)
-    return out.withColumn("occurrence_id", F.concat_ws(":", "_external", "_digest", F.row_number().over(window).cast("string"))).drop("_external", "_digest")
+    out = df.withColumns({"_external": F.coalesce(external, F.lit("")), "_digest": row_hash(*columns), "_place": position})
+    key, same = F.xxhash64("_external", "_digest"), ("_external", "_digest")
+    numbered = lambda rows, *more: rows.withColumn("_number", F.row_number().over(Window.partitionBy(*same, *more).orderBy("_place")).cast("long"))
+    hot = {} if tables is None else {r["item"]: r["count"] for r in out.agg(F.call_function("approx_top_k", key, F.lit(1000), F.lit(TRACKED))).first()[0] if r["count"] > most}
+    if not hot:
+        rows = numbered(out)
+    else:
+        ranges = out.filter(key.isin(*hot)).repartitionByRange(1 + sum(hot.values()) // most, *same, "_place").withColumn("_range", F.spark_partition_id())
+        ranges = tables.put("ranges", ranges)  # stored: a row's range is the same on every reading
+        before = F.coalesce(F.sum("count").over(Window.partitionBy(*same).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        offsets = ranges.groupBy(*same, "_range").count().select(*same, "_range", before.alias("_before"))  # a row a range
+        split = numbered(ranges, "_range").join(offsets, [*same, "_range"]).withColumn("_number", F.col("_number") + F.col("_before"))
+        rows = numbered(out.filter(~key.isin(*hot))).unionByName(split.drop("_range", "_before"))
+    return rows.withColumn("occurrence_id", F.concat_ws(":", *same, F.col("_number").cast("string"))).drop(*same, "_place", "_number")
 
 
 def status_events(df: DataFrame, status: Column) -> DataFrame:

@@ -137,7 +137,7 @@ def record_ids(spark, sf_dir):
 @query
 def occurrence_ids(spark, sf_dir):
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus")
-    out = records.with_occurrence(rows, F.col("l_returnflag"), [F.col("l_linestatus"), F.col("l_partkey")], F.struct("l_orderkey", "l_linenumber"))
+    out = records.with_occurrence(rows, F.col("l_returnflag"), [F.col("l_linestatus"), F.col("l_partkey")], F.struct("l_orderkey", "l_linenumber"), Tables(spark, "occurrences"))
     return out.select("l_orderkey", "l_linenumber", "occurrence_id")
 
 

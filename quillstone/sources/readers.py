@@ -17,7 +17,7 @@ from html.parser import HTMLParser
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import tables as t
@@ -132,8 +132,10 @@ def raw_records(df: DataFrame, payload: Column, source_key: str, grain: str, ids
     if made_of:
         rid = F.coalesce("known", composite_id(*(F.col("raw_payload")[c] for c in made_of)))
     if repeats:
-        place = F.row_number().over(Window.partitionBy("known", "digest").orderBy(F.lit(0)))  # rows of a window are alike
-        rid = F.concat_ws(":", F.coalesce("known", F.lit("")), "digest", place.cast("string"))
+        alike = rows.groupBy("known", "digest").agg(F.any_value("raw_payload").alias("raw_payload"), F.count("*").alias("n"))  # counted before they move
+        spans = alike.withColumn("span", F.explode(F.sequence(F.lit(0), F.expr("(n - 1) div 65536"))))  # no long array for a row that repeats often
+        rows = spans.withColumn("place", F.explode(F.sequence(F.col("span") * 65536 + 1, F.least("n", (F.col("span") + 1) * 65536))))
+        rid = F.concat_ws(":", F.coalesce("known", F.lit("")), "digest", F.col("place").cast("string"))
     return rows.select(F.lit(source_key).alias("source_key"), F.lit(grain).alias("grain"), rid.alias("source_record_id"), "raw_payload")
 
 
