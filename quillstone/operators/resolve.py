@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from quillstone.functions import tables as t
 from quillstone.functions.normalise import blank_to_null, let
 from quillstone.operators import history
+from quillstone.operators.nearest_names import lcs, tile
 from quillstone.operators.store import Tables
 
 THRESHOLD = 88
@@ -70,19 +71,6 @@ def match_name_address(records: DataFrame, entities: DataFrame) -> DataFrame:
     return match(records, entities, (3,))
 
 
-def lcs(a: str, b: str) -> int:
-    """Length of the longest common subsequence, a row of bits at a time."""
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | 1 << i
-    full = (1 << len(a)) - 1
-    row = full
-    for ch in b:
-        hit = row & masks.get(ch, 0)
-        row = ((row + hit) | (row - hit)) & full
-    return len(a) - row.bit_count()
-
-
 def words_of(c: Column) -> Column:
     return F.array_remove(F.split(c, r"\s+"), "")
 
@@ -105,8 +93,10 @@ def ratio(a: Column, b: Column) -> Column:
 
 #: Letters of the grams that names are looked up by; each name takes the size that leads to the fewest others.
 GRAMS = (2, 3, 4)
-#: Scores that ``match_fuzzy`` looks for first: the higher one is, the fewer and rarer grams need to be looked up.
-RUNGS = (96,)
+#: Scores that ``match_fuzzy`` looks for first: pairs that cannot reach one are not scored before those that can.
+RUNGS = (98, 96, 94, 92, 90)
+#: Names of a block, on each side, that one task compares; larger blocks go out in pairs of tiles.
+TILE = 8192
 
 
 def grams(words: Column, size: int) -> Column:
@@ -194,24 +184,34 @@ def _scored(a: DataFrame, b: DataFrame, threshold: int) -> DataFrame:
     return pairs.select("record_id", "entity_id", ratio(F.col("k.x"), F.col("k.y")).alias("score")).filter(F.col("score") >= threshold)
 
 
-def match_fuzzy(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD, rungs: tuple[int, ...] = RUNGS) -> DataFrame:
-    """The highest score of each record, ties to the smallest entity.
+def match_fuzzy(records: DataFrame, entities: DataFrame, threshold: int = THRESHOLD, rungs: tuple[int, ...] = RUNGS, most: int = TILE) -> DataFrame:
+    """The highest score of each record, ties to the smallest entity: of the pairs of ``fuzzy_pairs``, without making them.
 
-    Rung by rung, from the highest score down: all pairs that reach a rung are found there, so a record that has one is answered, and only the others
-    look up the more and commoner grams of the next.
+    Both sides are dealt by their block, in pairs of tiles of about ``most`` names where it is large; a tile's task keeps the best of each record
+    (``nearest_names``). What is shuffled are the names, once in blocks of up to ``most``; the bounds that a task computes grow with the square of a block.
     """
     tables = Tables(records.sparkSession, "fuzzy")
-    # Dealt, so that grams of few and small rows are not one task's work either.
     dealt = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    a = tables.put("a", names_to_compare(records, "record_id", ("legal_name", "trade_name")).filter("named").repartition(dealt, "record_id"))
-    b = tables.put("b", names_to_compare(entities, "entity_id", ("legal_name", "trade_name", "canonical_name")).repartition(dealt, "entity_id"))
-    found: DataFrame | None = None
-    for i, rung in enumerate((*(r for r in sorted(rungs, reverse=True) if r > threshold), threshold)):
-        left = a if found is None else a.join(found.select("record_id"), "record_id", "left_anti")
-        best = _scored(left, b, rung).groupBy("record_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "entity_id")).alias("m"))
-        best = tables.put(f"rung-{i}", best) if rung > threshold else best
-        found = best if found is None else found.unionByName(best)
-    return found.select("record_id", F.col("m.entity_id").alias("entity_id"), F.lit("FUZZY_NAME").alias("rule"), F.lit("LOW").alias("confidence"), F.round(-F.col("m.s"), 2).alias("score"))
+    join = lambda c: F.array_join(c, " ")
+    never = F.lit(None).cast("boolean")
+    a = names_to_compare(records, "record_id", ("legal_name", "trade_name")).filter("named")
+    b = names_to_compare(entities, "entity_id", ("legal_name", "trade_name", "canonical_name"))
+    both = "place" in a.columns and "place" in b.columns
+    a = tables.put("a", a.select("record_id", "fsa", join("words").alias("name"), join("code").alias("code"), (F.col("place") if both else never).alias("after")))
+    b = tables.put("b", b.select("entity_id", "fsa", join("words").alias("name"), (F.col("place") if both else never).alias("place")))
+    tiles = lambda df, name: df.groupBy("fsa").agg(F.ceil(F.count("*") / most).cast("int").alias(name))
+    blocks = tables.put("blocks", tiles(a, "of_a").join(tiles(b, "of_b"), "fsa"))
+    at = ("fsa", "_a", "_b")
+    own = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = a.join(blocks, "fsa").select("*", own("record_id", "of_a").alias("_a"), each("of_b").alias("_b")).drop("of_a", "of_b").repartition(dealt, *at)
+    right = b.join(blocks, "fsa").select("*", each("of_a").alias("_a"), own("entity_id", "of_b").alias("_b")).drop("of_a", "of_b").repartition(dealt, *at)
+    cuts = [*(float(r) for r in sorted(rungs, reverse=True) if r > threshold), float(threshold)]
+    schema = f"record_id {records.schema['record_id'].dataType.simpleString()}, entity_id {entities.schema['entity_id'].dataType.simpleString()}, score double"
+    found = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(tile(threshold, cuts), schema)
+    # Stored, as tasks are long and those who join with it may read it more than once.
+    best = tables.put("best", found.groupBy("record_id").agg(F.min(F.struct((-F.col("score")).alias("s"), "entity_id")).alias("m")))
+    return best.select("record_id", F.col("m.entity_id").alias("entity_id"), F.lit("FUZZY_NAME").alias("rule"), F.lit("LOW").alias("confidence"), F.round(-F.col("m.s"), 2).alias("score"))
 
 
 def has_identity(columns: list[str]) -> Column:
