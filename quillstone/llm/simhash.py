@@ -368,32 +368,53 @@ def similar_links(nodes: DataFrame, similarity: float, most: int, max_bits: int
     return rows.repartition("key", "pair").sortWithinPartitions("key", "pair").mapInArrow(run, "src long, dst long").distinct()
 
 
-def rare_keys(nodes: DataFrame, roots: DataFrame, similarity: float) -> DataFrame:
+def _common_shingles(nodes: DataFrame, sets: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sorted shingles, their counts) of what recurs in about ``sets`` sets, the ``most`` commonest: a hint which shingles are common, of bounded size."""
+    share = max(1, nodes.count() // sets)
+
+    def each(batches):
+        for batch in batches:
+            for s in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(s, "<u4").astype(np.int64))], names=["shingle"])
+
+    seen = nodes.filter(F.pmod(F.xxhash64("sig"), F.lit(share)) == 0).select("shingles").mapInArrow(each, "shingle long")
+    top = seen.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 2").orderBy(F.desc("n"), "shingle").limit(most).orderBy("shingle").toArrow()
+    return top.column("shingle").to_numpy().astype(np.uint32), top.column("n").to_numpy()
+
+
+def rare_keys(nodes: DataFrame, roots: DataFrame, similarity: float, sets: int = 4096, most: int = 200_000) -> DataFrame:
     """``nodes`` that may be similar to one of another component, with keys of which such a pair shares one at least.
 
     Of two sets that share so much, the shingles that come first in any one order, ``size - ceil(similarity * size) + 1`` of each, share one. The
-    order here puts those first that one component alone holds, which no pair across components shares, then the others by the
-    number of sets that hold them: a text whose own part is large enough needs no key at all, and a passage that many texts
-    share comes last. Only counts of shingles are shuffled, combined before; what is sorted at once is one text's shingles.
+    order here puts last what recurs in some of the sets (``_common_shingles``), so that a passage that many texts share is seldom a key; it decides how much is
+    compared, not what is found. Of keys that the same sets hold one is kept, and none that one component holds alone. Moved are a fifth of
+    the shingles, once. ``roots``: of nodes with links; a node without is its own.
     """
-    schema = "sig long, root long, size int, shingle long"
+    common, counts = _common_shingles(nodes, sets, most)
 
-    def each(batches):
+    def first(batches):
         for batch in batches:
-            sets = [np.frombuffer(s, "<u4") for s in batch.column(2).to_pylist()]
-            for at in range(0, len(sets), 256):  # a batch of texts would hold too many shingles at once
-                part = sets[at : at + 256]
-                sizes = np.array([len(x) for x in part], dtype=np.int64)
-                take = pa.array(np.repeat(np.arange(at, at + len(part)), sizes))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(np.repeat(sizes, sizes).astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.uint32), *part]).astype(np.int64))], names=["sig", "root", "size", "shingle"])
-
-    rows = nodes.join(roots, "sig").select("sig", "root", "shingles").mapInArrow(each, schema)
-    shared = rows.groupBy("shingle").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("shingle", "n")
-    own = rows.join(shared, "shingle").groupBy("sig", "size").agg(F.array_sort(F.collect_list(F.struct("n", "shingle"))).alias("common"))
-    first = F.col("size") - F.ceil(F.col("size") * F.lit(similarity) - 1e-9).cast("int") + 1
-    wanted = F.greatest(first - (F.col("size") - F.size("common")), F.lit(0))
-    keys = own.select("sig", F.transform(F.slice("common", F.lit(1), wanted), lambda x: x["shingle"]).alias("keys")).filter(F.size("keys") > 0)
-    return nodes.drop("keys").join(keys, "sig")
+            keys = []
+            for s in batch.column(1).to_pylist():
+                x = np.frombuffer(s, "<u4")
+                wanted = int(len(x) - np.ceil(len(x) * similarity - 1e-9) + 1) if len(x) else 0
+                n = np.zeros(len(x), dtype=np.int64)
+                if len(common) and len(x):
+                    at = np.minimum(np.searchsorted(common, x), len(common) - 1)
+                    n = np.where(common[at] == x, counts[at], 0)
+                keys.append(x[np.argsort(n, kind="stable")[:wanted]].astype(np.int64))  # the sets are sorted
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.list_(pa.int64()))], names=["sig", "keys"])
+
+    keys = stored(nodes.select("sig", "shingles").mapInArrow(first, "sig long, keys array<long>"), "prefix-keys")
+    each = keys.join(maybe_broadcast(roots, 24), "sig", "left").select("sig", F.coalesce("root", "sig").alias("root"), F.explode("keys").alias("key"))
+    # Sums that tell which sets hold a key; they wrap.
+    of = (F.count("*").alias("n"), F.bit_xor(F.xxhash64("sig")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "sig")).alias("y"))
+    met = each.groupBy("key").agg(*of, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    kept = stored(met.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "prefix-met")
+    own = keys.select("sig", F.explode("keys").alias("key")).join(maybe_broadcast(kept, 16), "key").groupBy("sig").agg(F.collect_list("key").alias("keys"))  # of one text
+    own = stored(own, "prefix-own")
+    drop(keys)
+    return nodes.drop("keys").join(maybe_broadcast(own, 64), "sig")
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY, orders: int = ORDERS, most: int = 20_000, exact: bool = False) -> DataFrame:
@@ -401,16 +422,17 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     component_id is the smallest id of the component. Rows without words are copies of one another. Null ids
     never name a component unless all its ids are null. Repeated rows share a component; an empty table gives no rows. ``exact``: after the links that the random orders
-    find, those between components are looked for by rare shingles (``rare_keys``), of which no similar pair is without, and nothing is discarded by pivots there.
+    find, those between components are looked for by shingles that come first in one order (``rare_keys``), of which no similar pair is without, and nothing is discarded by pivots there.
     """
     marked = stored(sketches(docs, id_col, text_col, words, orders), "sketches")
     nodes = marked.groupBy("sig").agg(F.min("doc_id").alias("first"), F.first("fp").alias("fp"), F.first("shingles").alias("shingles"), F.first("keys").alias("keys"))
-    nodes = stored(nodes, "shingle-sets")
+    nodes, sketched = stored(nodes, "shingle-sets"), marked
+    marked = stored(marked.select("doc_id", "sig"), "sigs")
+    drop(sketched)  # the sets are in the nodes
     found = stored(similar_links(nodes, similarity, most), "similar-links")
     roots = components(found).select(F.col("node").alias("sig"), "root")
     if exact:
-        placed = stored(nodes.select("sig").join(roots, "sig", "left").select("sig", F.coalesce("root", "sig").alias("root")), "similar-roots")
-        rest = stored(rare_keys(nodes, placed, similarity), "rare-keys")
+        rest = stored(rare_keys(nodes, stored(roots, "similar-roots"), similarity), "rare-keys")
         more = stored(similar_links(rest, similarity, most, max_bits=64), "rare-links")
         roots = components(stored(found.unionByName(more).distinct(), "all-links")).select(F.col("node").alias("sig"), "root")
     grouped = nodes.select("sig", "first").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
