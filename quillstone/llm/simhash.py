@@ -382,13 +382,13 @@ def _common_shingles(nodes: DataFrame, sets: int, most: int) -> tuple[np.ndarray
     return top.column("shingle").to_numpy().astype(np.uint32), top.column("n").to_numpy()
 
 
-def rare_keys(nodes: DataFrame, roots: DataFrame, similarity: float, sets: int = 4096, most: int = 200_000) -> DataFrame:
+def rare_keys(nodes: DataFrame, roots: DataFrame, similarity: float, tile: int = 2000, sets: int = 4096, most: int = 200_000) -> DataFrame:
     """``nodes`` that may be similar to one of another component, with keys of which such a pair shares one at least.
 
     Of two sets that share so much, the shingles that come first in any one order, ``size - ceil(similarity * size) + 1`` of each, share one. The
     order here puts last what recurs in some of the sets (``_common_shingles``), so that a passage that many texts share is seldom a key; it decides how much is
     compared, not what is found. Of keys that the same sets hold one is kept, and none that one component holds alone. Moved are a fifth of
-    the shingles, once. ``roots``: of nodes with links; a node without is its own.
+    the shingles, once, and of texts that share a key two bits a shingle (``parity``), by which most pairs are discarded for certain. ``roots``: of nodes with links; a node without is its own.
     """
     common, counts = _common_shingles(nodes, sets, most)
 
@@ -411,10 +411,62 @@ def rare_keys(nodes: DataFrame, roots: DataFrame, similarity: float, sets: int =
     of = (F.count("*").alias("n"), F.bit_xor(F.xxhash64("sig")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "sig")).alias("y"))
     met = each.groupBy("key").agg(*of, F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
     kept = stored(met.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key"), "prefix-met")
-    own = keys.select("sig", F.explode("keys").alias("key")).join(maybe_broadcast(kept, 16), "key").groupBy("sig").agg(F.collect_list("key").alias("keys"))  # of one text
-    own = stored(own, "prefix-own")
+    near = stored(_near_pairs(nodes, each.join(maybe_broadcast(kept, 16), "key"), similarity, tile), "near-pairs")
     drop(keys)
-    return nodes.drop("keys").join(maybe_broadcast(own, 64), "sig")
+    # A pair is a bucket of its own: only the sets of these are moved.
+    pair = F.xxhash64("a", "b").alias("key")
+    own = near.select(F.col("a").alias("sig"), pair).unionByName(near.select(F.col("b").alias("sig"), pair)).groupBy("sig").agg(F.collect_list("key").alias("keys"))
+    return nodes.drop("keys").join(maybe_broadcast(stored(own, "prefix-own"), 64), "sig")
+
+
+def parity(shingles: np.ndarray) -> bytes:
+    """Bits that say whether an odd number of the shingles falls on them, two or more a shingle. Sets whose bits differ in n places differ in n shingles at least."""
+    bits = max(64, 1 << int(2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    odd = np.bincount(shingles & np.uint32(bits - 1), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Parities as of ``width`` bits, a power of two that is not larger."""
+    return np.bitwise_xor.reduce(bits.reshape(-1, width // 64), axis=0)
+
+
+def _near_pairs(nodes: DataFrame, met: DataFrame, similarity: float, tile: int) -> DataFrame:
+    """(a, b) of the sets of different components that share a key and whose parities allow the similarity; of ``met``: sig, root, key."""
+    def small(batches):
+        for batch in batches:
+            sets = [np.frombuffer(s, "<u4") for s in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in sets], pa.int32()), pa.array([parity(x) for x in sets], pa.binary())], names=["sig", "size", "bits"])
+
+    bits = nodes.select("sig", "shingles").mapInArrow(small, "sig long, size int, bits binary")
+    counts = stored(met.groupBy("key").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles")), "near-counts")
+    rows = met.join(maybe_broadcast(counts, 16), "key").join(bits, "sig").withColumn("tile", F.pmod(F.xxhash64("sig"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select("key", (F.least("tile", "other") * F.lit(1 << 20).cast("long") + F.greatest("tile", "other")).alias("pair"), "sig", "root", "size", "bits")
+
+    def run(batches):
+        most = (1 - similarity) / (1 + similarity)  # of both sizes may differ
+        for table, starts in sorted_runs(batches, 2):
+            sig, root, size = (table.column(c).to_numpy() for c in ("sig", "root", "size"))
+            held = [np.frombuffer(x, "<u8") for x in table.column("bits").to_pylist()]
+            for first, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
+                order = first + np.argsort(size[first:end], kind="stable")
+                a, b = [], []
+                for k, i in enumerate(order.tolist()):
+                    # Sets up to this size, as large as may be similar: by how wide their parities are.
+                    low = np.searchsorted(size[order[:k]], np.ceil(similarity * size[i] - 1e-9))
+                    others = order[low:k]
+                    others = others[root[others] != root[i]]
+                    for width in {64 * len(held[j]) for j in others.tolist()}:
+                        same = others[[64 * len(held[j]) == width for j in others.tolist()]]
+                        differ = np.bitwise_count(np.stack([held[j] for j in same.tolist()]) ^ _folded(held[i], width)).sum(axis=1, dtype=np.int64)
+                        for j in same[differ <= most * (size[same] + size[i]) + 1e-6].tolist():
+                            a.append(min(sig[i], sig[j]))
+                            b.append(max(sig[i], sig[j]))
+                if a:
+                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key", "pair").sortWithinPartitions("key", "pair").mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SIMILAR_WORDS, similarity: float = SIMILARITY, orders: int = ORDERS, most: int = 20_000, exact: bool = False) -> DataFrame:
@@ -432,7 +484,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stored(similar_links(nodes, similarity, most), "similar-links")
     roots = components(found).select(F.col("node").alias("sig"), "root")
     if exact:
-        rest = stored(rare_keys(nodes, stored(roots, "similar-roots"), similarity), "rare-keys")
+        rest = stored(rare_keys(nodes, stored(roots, "similar-roots"), similarity, min(most, 2000)), "rare-keys")
         more = stored(similar_links(rest, similarity, most, max_bits=64), "rare-links")
         roots = components(stored(found.unionByName(more).distinct(), "all-links")).select(F.col("node").alias("sig"), "root")
     grouped = nodes.select("sig", "first").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
