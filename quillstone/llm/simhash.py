@@ -451,16 +451,19 @@ def _near_pairs(nodes: DataFrame, met: DataFrame, similarity: float, tile: int)
             held = [np.frombuffer(x, "<u8") for x in table.column("bits").to_pylist()]
             for first, end in zip(starts.tolist(), [*starts[1:].tolist(), table.num_rows], strict=True):
                 order = first + np.argsort(size[first:end], kind="stable")
-                a, b = [], []
+                sizes, roots, a, b = size[order], root[order], [], []
+                # Larger sets have wider parities: those of one width stand together.
+                widths = np.array([64 * len(held[j]) for j in order.tolist()])
+                blocks = [(int(x), int(y), np.stack([held[j] for j in order[x:y].tolist()])) for w in np.unique(widths).tolist() for x, y in [np.searchsorted(widths, [w, w + 1])]]
+                lows = np.searchsorted(sizes, np.ceil(similarity * sizes - 1e-9))
                 for k, i in enumerate(order.tolist()):
-                    # Sets up to this size, as large as may be similar: by how wide their parities are.
-                    low = np.searchsorted(size[order[:k]], np.ceil(similarity * size[i] - 1e-9))
-                    others = order[low:k]
-                    others = others[root[others] != root[i]]
-                    for width in {64 * len(held[j]) for j in others.tolist()}:
-                        same = others[[64 * len(held[j]) == width for j in others.tolist()]]
-                        differ = np.bitwise_count(np.stack([held[j] for j in same.tolist()]) ^ _folded(held[i], width)).sum(axis=1, dtype=np.int64)
-                        for j in same[differ <= most * (size[same] + size[i]) + 1e-6].tolist():
+                    for x, y, table_of in blocks:
+                        low, high = max(int(lows[k]), x), min(k, y)
+                        if low >= high:
+                            continue
+                        differ = np.bitwise_count(table_of[low - x : high - x] ^ _folded(held[i], 64 * table_of.shape[1])).sum(axis=1, dtype=np.int64)
+                        ok = (differ <= most * (sizes[low:high] + sizes[k]) + 1e-6) & (roots[low:high] != roots[k])
+                        for j in order[low:high][ok].tolist():
                             a.append(min(sig[i], sig[j]))
                             b.append(max(sig[i], sig[j]))
                 if a:
